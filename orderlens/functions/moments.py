@@ -6,9 +6,9 @@ Amounts are therefore held as whole units of ``10**-scale`` in ``DECIMAL(18,0)``
 
 With ``q`` the mean rounded to a whole unit, ``d = sum((x-q)^2)`` and ``r = sum(x-q)`` follow from those sums exactly,
 and the variance is ``d/n - (r/n)^2``. That has no cancellation to speak of since ``|r/n| <= 1``.
-Limits: one amount below ``10**(18-scale)``; the squares of one group sum to less than ``10**38`` units; and for
-``spread``, which only breaks ties, ``n`` times that sum as well (total amount of a bucket under ``10**(19-scale)``).
-Beyond them Spark raises an overflow error; it does not round.
+Limits: an amount is kept exactly up to ``2**53`` units (9e11 at the default scale); the squares of one group sum to
+less than ``10**38`` units; and for ``spread``, which breaks ties, ``n`` times that sum as well, which holds while the
+group's total amount is under ``10**(19-scale)``. Beyond them Spark raises an overflow error; it does not round.
 """
 
 from __future__ import annotations
@@ -21,8 +21,8 @@ DEFAULT_SCALE = 4
 
 def units(amount: Column, scale: int = DEFAULT_SCALE) -> Column:
     """Amount in whole units of ``10**-scale``; null when it is not a finite number."""
-    exact = amount.try_cast("double").try_cast(f"decimal(18,{scale})")
-    return (exact * F.lit(10**scale).cast("decimal(18,0)")).cast("decimal(18,0)")
+    scaled = F.rint(amount.try_cast("double") * float(10**scale))
+    return scaled.try_cast("bigint").try_cast("decimal(18,0)")
 
 
 def sum_units(u: Column) -> Column:
@@ -55,5 +55,10 @@ def spread(n: Column, s: Column, ss: Column) -> Column:
     return (count * d - r * r).cast("decimal(38,0)")
 
 
+def variance_of_spread(spread_value: Column, n: Column, scale: int = DEFAULT_SCALE) -> Column:
+    """The variance that a ``spread`` stands for."""
+    return spread_value.cast("double") / (n * n).cast("double") / float(10 ** (2 * scale))
+
+
 def stddev(n: Column, s: Column, ss: Column, scale: int = DEFAULT_SCALE) -> Column:
     return F.sqrt(variance(n, s, ss, scale))

@@ -143,7 +143,7 @@ def pick_winners(
             "window_date",
             F.col(category).alias(f"most_bought_{category}"),
             n.alias("frequency"),
-            moments.variance(n, s, ss, scale).alias("population_variance"),
+            moments.variance_of_spread(F.col("_spread"), n, scale).alias("population_variance"),
         )
     )
 

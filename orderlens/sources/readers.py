@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from orderlens.functions.text import strip
 from orderlens.operators.checks import quality_profile
@@ -22,18 +22,23 @@ def read_sales(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_sales_strict(spark: SparkSession, path: str) -> DataFrame:
-    """CSV with columns named by its header; a row of another width ends the job."""
+    """CSV with columns named by its header; a row of another width ends the job.
+
+    Spark skips the fields a query does not use and with them the width check, so that is switched off here.
+    """
     reader = spark.read.option("header", True).option("inferSchema", False).option("mode", "FAILFAST")
-    return reader.csv(path)
+    return reader.option("columnPruning", False).csv(path)
 
 
 def read_sales_lines(spark: SparkSession, path: str, unescape_quotes: bool = True) -> DataFrame:
     """Every line of headerless or many-headed CSV, with ``_corrupt`` holding the lines that are not 24 fields wide.
 
-    A doubled quote inside quotes becomes one quote, or stays as it is without ``unescape_quotes``.
+    A doubled quote inside quotes becomes one quote, or stays as it is without ``unescape_quotes``. All fields are
+    parsed whatever the query uses: with column pruning on, Spark does not look at the width.
     """
-    schema = StructType(SALES_SCHEMA.fields).add(CORRUPT, StringType())
+    schema = StructType([*SALES_SCHEMA.fields, StructField(CORRUPT, StringType())])
     reader = spark.read.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+    reader = reader.option("columnPruning", False)
     if unescape_quotes:
         reader = reader.option("escape", '"')
     return reader.csv(path)
