@@ -10,7 +10,7 @@ from orderlens.catalog.base import Entry, with_
 from orderlens.operators import comparison as cmp
 from orderlens.operators import percentiles as pct
 from orderlens.operators import promotions as promo
-from orderlens.operators.lookup import lookup_join, stage
+from orderlens.operators.lookup import as_lookup, lookup_join, stage
 from orderlens.operators.variety import qualifying_styles
 from orderlens.operators.windows import key_counts
 from orderlens.sources.sample import sales
@@ -19,21 +19,21 @@ from orderlens.sources.sample import sales
 def state_count_lookup(spark: SparkSession, folder: str) -> DataFrame:
     """Bought rows with their state's total; only states above the threshold are in the table."""
     rows = base.bought(spark, folder)
-    busy = stage(key_counts(rows).where(F.col("n") > base.TEST_THRESHOLD), "counts")
+    busy = as_lookup(key_counts(rows).where(F.col("n") > base.TEST_THRESHOLD), "counts")
     return lookup_join(rows.select("order_id", "state", "size"), busy, "state")
 
 
 def states_without_count(spark: SparkSession, folder: str) -> DataFrame:
     """Bought rows whose state the table lacks, counted."""
     rows = base.bought(spark, folder)
-    busy = stage(key_counts(rows).where(F.col("n") > base.TEST_THRESHOLD), "counts")
+    busy = as_lookup(key_counts(rows).where(F.col("n") > base.TEST_THRESHOLD), "counts")
     missed = lookup_join(rows.select("state"), busy, "state", "left_anti")
     return missed.groupBy("state").agg(F.count(F.lit(1)).alias("missed_rows"))
 
 
 def valid_style_rows(spark: SparkSession, folder: str) -> DataFrame:
     rows = sales(spark, folder)
-    styles = stage(qualifying_styles(rows), "styles")
+    styles = as_lookup(qualifying_styles(rows), "styles")
     return lookup_join(rows.select("order_id", "style", "sku", "size"), styles, "style", "left_semi")
 
 

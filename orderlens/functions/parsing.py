@@ -6,7 +6,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 DATE_PATTERN = "MM-dd-yy"
-MONTH_PATTERN = "yyyy-MM"
 MALFORMED_MODES = ("null", "fail")
 
 
@@ -27,4 +26,5 @@ def parse_double(c: Column, malformed: str = "null") -> Column:
 
 
 def month_of(c: Column) -> Column:
-    return F.date_format(c, MONTH_PATTERN)
+    """``yyyy-MM`` of a date, cut from its ISO text: the same as ``date_format`` up to the year 9999, but cheaper."""
+    return F.substring(c.cast("string"), 1, 7)

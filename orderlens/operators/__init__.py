@@ -16,7 +16,7 @@ from orderlens.operators.comparison import (
     timing_summary,
     top_changes,
 )
-from orderlens.operators.lookup import lookup_join, stage
+from orderlens.operators.lookup import Lookup, as_lookup, lookup_join, stage
 from orderlens.operators.percentiles import (
     approx_thresholds,
     exact_thresholds,
@@ -51,7 +51,9 @@ from orderlens.operators.windows import (
 )
 
 __all__ = [
+    "Lookup",
     "approx_thresholds",
+    "as_lookup",
     "assert_unique_key",
     "below_benchmark",
     "below_benchmark_percentage",

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 BROADCAST_BYTES = 32 * 1024 * 1024
@@ -44,21 +45,34 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """Measure ``df`` (staged, so cheap to read) as the bytes of its rows written out as text."""
-    measured = df.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0]
-    return (measured or 0) <= max_bytes
+@dataclass(frozen=True)
+class Lookup:
+    """A staged table with at most one row per key, and the bytes of its rows written out as text."""
+
+    table: DataFrame
+    text_bytes: int
+
+
+def as_lookup(df: DataFrame, name: str = "lookup") -> Lookup:
+    """Stage ``df`` and measure it on the way: the size is observed while the rows are written."""
+    spark = df.sparkSession
+    size = F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0)).alias("text_bytes")
+    if shared_folder(spark) is None:
+        return Lookup(df, df.agg(size).first()[0])
+    observation = Observation()
+    table = stage(df.observe(observation, size), name)
+    return Lookup(table, observation.get["text_bytes"])
 
 
 def lookup_join(
-    big: DataFrame, small: DataFrame, on: str | list[str], how: str = "inner", max_bytes: int = BROADCAST_BYTES
+    big: DataFrame, small: Lookup, on: str | list[str], how: str = "inner", max_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
-    """Join to a staged table with at most one row per key.
+    """Join to a lookup table.
 
-    When the measured table is within ``max_bytes`` it is broadcast, and ``big`` is not shuffled. Otherwise both
+    When its measured size is within ``max_bytes`` it is broadcast, and ``big`` is not shuffled. Otherwise both
     sides are shuffled on the key; both exchanges then sit right under the join, which is what adaptive execution
     needs to split a key that holds a large share of ``big``.
     """
-    if fits_broadcast(small, max_bytes):
-        return big.join(F.broadcast(small), on, how)
-    return big.join(small.hint("merge"), on, how)
+    if small.text_bytes <= max_bytes:
+        return big.join(F.broadcast(small.table), on, how)
+    return big.join(small.table.hint("merge"), on, how)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from orderlens.functions import moments
 from orderlens.functions.text import distinct_tokens
-from orderlens.operators.lookup import lookup_join, stage
+from orderlens.operators.lookup import as_lookup, lookup_join
 
 MIN_ACTIVE_DAYS = 2
 MIN_PROMOTIONS = 3
@@ -49,7 +49,7 @@ def valid_promotion_counts(
     The valid list is staged and measured. If broadcast, the appearances are never shuffled one by one: each task
     counts its own per order first. If it is too big, adaptive execution splits promotions that are everywhere.
     """
-    listed = stage(valid.select("promotion_id"), "valid")
+    listed = as_lookup(valid.select("promotion_id"), "valid")
     return (
         lookup_join(appearances, listed, "promotion_id")
         .groupBy(order)
@@ -91,7 +91,7 @@ def below_benchmark(
     ``amount < s/n`` is tested as ``amount * n < s`` on whole numbers, so an amount equal to it is never below.
     """
     u = F.coalesce(moments.units(F.col(amount), scale), F.lit(0).cast("decimal(18,0)"))
-    table = stage(averages.select(key, F.col("n").alias("_n"), F.col("s").alias("_s")), "averages")
+    table = as_lookup(averages.select(key, F.col("n").alias("_n"), F.col("s").alias("_s")), "averages")
     return (
         lookup_join(records, table, key, "left")
         .withColumn("below_benchmark", F.coalesce(u * F.col("_n").cast("decimal(20,0)") < F.col("_s"), F.lit(False)))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderlens.functions.text import BIG_SIZE_RANK, has_text, size_rank
-from orderlens.operators.lookup import lookup_join, stage
+from orderlens.operators.lookup import as_lookup, lookup_join, stage
 
 
 def is_big_size(size: Column, min_rank: int = BIG_SIZE_RANK) -> Column:
@@ -62,9 +62,9 @@ def median_variety(
     if styles is None:
         rule = is_big_size(F.col("size")) if qualifies is None else qualifies
         counted = stage(style_variety(records, period, group, style, item, rule), "variety")
-        allowed = stage(counted.where("qualifies").select(style).distinct(), "styles")
+        allowed = as_lookup(counted.where("qualifies").select(style).distinct(), "styles")
     else:
         counted = style_variety(records, period, group, style, item)
-        allowed = stage(styles.select(style).distinct(), "styles")
+        allowed = as_lookup(styles.select(style).distinct(), "styles")
     kept = lookup_join(counted.where("variety > 0"), allowed, style, "left_semi")
     return kept.groupBy(period, group).agg(F.median("variety").alias("median_variety"))

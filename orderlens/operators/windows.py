@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from orderlens.functions import moments
 from orderlens.functions.text import has_text
 from orderlens.operators.checks import quality_profile
-from orderlens.operators.lookup import lookup_join, stage
+from orderlens.operators.lookup import as_lookup, lookup_join, stage
 
 THRESHOLD = 10_000
 SHORT_DAYS = 5
@@ -66,8 +66,8 @@ def _with_length(
 ) -> DataFrame:
     if totals is None:
         totals = cells.groupBy(key).agg(F.sum("n").alias("n"))
-    lengths = stage(totals.select(key, window_length(F.col("n"), threshold, short, long).alias("_length")), "lengths")
-    return lookup_join(cells, lengths, key, how)
+    lengths = totals.select(key, window_length(F.col("n"), threshold, short, long).alias("_length"))
+    return lookup_join(cells, as_lookup(lengths, "lengths"), key, how)
 
 
 def _block(day: Column, block_days: int) -> Column:

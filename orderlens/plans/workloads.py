@@ -11,7 +11,7 @@ from orderlens.operators import percentiles as pct
 from orderlens.operators import promotions as promo
 from orderlens.operators.checks import quality_profile
 from orderlens.operators.comparison import compare_levels
-from orderlens.operators.lookup import lookup_join, stage
+from orderlens.operators.lookup import as_lookup, lookup_join, stage
 from orderlens.operators.variety import is_big_size, median_variety, qualifying_styles
 from orderlens.operators.windows import LONG_DAYS, SHORT_DAYS, THRESHOLD, trailing_window_winner
 from orderlens.plans import records
@@ -35,7 +35,7 @@ def variety_quality(raw: DataFrame) -> DataFrame:
     """What the variety medians used and skipped, as rows (rule, rows)."""
     rows = records.variety_records(raw)
     big = is_big_size(F.col("size"))
-    styles = stage(qualifying_styles(rows, qualifies=big).withColumn("_valid", F.lit(True)), "styles")
+    styles = as_lookup(qualifying_styles(rows, qualifies=big).withColumn("_valid", F.lit(True)), "styles")
     marked = lookup_join(rows, styles, "style", "left")
     valid = F.coalesce(F.col("_valid"), F.lit(False))
     return quality_profile(marked, records.variety_rules(marked, big, valid))
