@@ -284,7 +284,7 @@ FROM buckets QUALIFY row_number() OVER (PARTITION BY city, window_date ORDER BY
   WHERE size <> 'Free')""",
             select="""SELECT 'BOUGHT_RECORDS' AS rule, count(*) AS rows FROM seen WHERE day IS NOT NULL AND total IS NOT NULL
 UNION ALL SELECT 'MISSING_AMOUNT', count(*) FROM seen WHERE day IS NOT NULL AND total IS NOT NULL AND cents IS NULL
-UNION ALL SELECT 'BUCKET_EMISSIONS', CAST(sum(length) AS BIGINT) FROM seen WHERE day IS NOT NULL AND total IS NOT NULL
+UNION ALL SELECT 'BUCKET_EMISSIONS', CAST(coalesce(sum(length), 0) AS BIGINT) FROM seen WHERE day IS NOT NULL AND total IS NOT NULL
 UNION ALL SELECT 'INVALID_DATE', count(*) FROM seen WHERE day IS NULL
 UNION ALL SELECT 'STATE_COUNT_MISSING', count(*) FROM seen WHERE day IS NOT NULL AND total IS NULL""",
         ),

@@ -46,7 +46,7 @@ def variance(n: Column, s: Column, ss: Column, scale: int = DEFAULT_SCALE) -> Co
     _, r, d = _centred(n, s, ss)
     mean_off = r.cast("double") / n
     raw = d.cast("double") / n - mean_off * mean_off
-    return F.greatest(raw, F.lit(0.0)) / float(10 ** (2 * scale))
+    return F.when(raw < 0, 0.0).otherwise(raw) / float(10 ** (2 * scale))
 
 
 def spread(n: Column, s: Column, ss: Column) -> Column:

@@ -8,9 +8,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderlens.functions import moments
+from orderlens.operators.lookup import stage
 
 PROBABILITIES = (0.8, 0.9)
 ACCURACY = 10_000
+MAX_GROUP_VALUES = 1_000_000
 
 
 def level_name(probability: float) -> str:
@@ -64,38 +66,63 @@ def approx_thresholds(
     return sketched.select(*keys, "order_count", *levels)
 
 
+def _running_counts(profile: DataFrame, keys: Sequence[str], value: str, max_group_values: int) -> DataFrame:
+    """``profile`` with ``_upto``, the rows of the group up to each value, and ``_total``, those of the whole group.
+
+    A group with more than ``max_group_values`` distinct values is not sorted in one task: the table is then cut into
+    ranges of (keys, value), counted within each range, and shifted by what the group has in earlier ranges.
+    """
+    # A null value is a row of its group but has no place in the sorted list.
+    placed = F.when(F.col(value).isNotNull(), F.col("n")).otherwise(0)
+    rows = profile.select(*keys, value, "n", placed.alias("_placed"))
+    widest = profile.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0] or 0
+    group = Window.partitionBy(*keys)
+    start, here = Window.unboundedPreceding, Window.currentRow
+    if widest <= max_group_values:
+        return rows.withColumns(
+            {
+                "_upto": F.sum("_placed").over(group.orderBy(value).rowsBetween(start, here)),
+                "_total": F.sum("_placed").over(group),
+            }
+        )
+    ranges = stage(rows.repartitionByRange(*keys, value).withColumn("_range", F.spark_partition_id()), "ranges")
+    earlier = F.sum("_in_range").over(group.orderBy("_range").rowsBetween(start, -1))
+    shifts = (
+        ranges.groupBy(*keys, "_range")
+        .agg(F.sum("_placed").alias("_in_range"))
+        .withColumns({"_before": F.coalesce(earlier, F.lit(0)), "_total": F.sum("_in_range").over(group)})
+        .drop("_in_range")
+    )
+    same = [F.col(f"l.{name}").eqNullSafe(F.col(f"r.{name}")) for name in (*keys, "_range")]
+    joined = ranges.alias("l").join(shifts.alias("r"), same).select("l.*", "_before", "_total")
+    within = Window.partitionBy(*keys, "_range").orderBy(value).rowsBetween(start, here)
+    return joined.withColumn("_upto", F.col("_before") + F.sum("_placed").over(within))
+
+
 def profile_thresholds(
     profile: DataFrame,
     keys: Sequence[str],
     value: str = "promotion_count",
     probs: Sequence[float] = PROBABILITIES,
+    max_group_values: int = MAX_GROUP_VALUES,
 ) -> DataFrame:
-    """Exact interpolated percentiles from a ``value_profile``.
+    """Exact interpolated percentiles from a staged ``value_profile``.
 
     The value at sorted position i is the first whose running count exceeds i, so the sorted list is never built.
     """
-    group = Window.partitionBy(*keys)
-    running = group.orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    # A null value is a row of its group but has no place in the sorted list.
-    placed = F.when(F.col(value).isNotNull(), F.col("n")).otherwise(0)
-    ranked = profile.select(
-        *keys,
-        value,
-        "n",
-        F.sum(placed).over(running).alias("_upto"),
-        F.sum(placed).over(group).alias("_total"),
-    )
+    names = [level_name(p) for p in probs]
     picks: list[Column] = []
     levels: list[Column] = []
-    for i, p in enumerate(probs):
+    for p, name in zip(probs, names, strict=True):
         position = (F.col("_total").cast("double") - 1.0) * float(p)
         for end, index in (("lo", F.floor(position)), ("hi", F.ceil(position))):
             reached = F.col(value).isNotNull() & (F.col("_upto") > index)
-            picks.append(F.min(F.when(reached, F.col(value))).cast("double").alias(f"_{end}{i}"))
-        lower, upper = F.col(f"_lo{i}"), F.col(f"_hi{i}")
-        levels.append((lower + (position - F.floor(position)) * (upper - lower)).alias(level_name(p)))
+            picks.append(F.min(F.when(reached, F.col(value))).cast("double").alias(f"_{end}_{name}"))
+        lower, upper = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
+        levels.append((lower + (position - F.floor(position)) * (upper - lower)).alias(name))
     return (
-        ranked.groupBy(*keys)
+        _running_counts(profile, keys, value, max_group_values)
+        .groupBy(*keys)
         .agg(F.sum("n").alias("order_count"), F.max("_total").alias("_total"), *picks)
         .select(*keys, "order_count", *levels)
     )
@@ -108,7 +135,7 @@ def exact_thresholds(
     probs: Sequence[float] = PROBABILITIES,
 ) -> DataFrame:
     """Rows and exact percentiles per group: linear between the two values around position (n - 1) * p."""
-    return profile_thresholds(value_profile(df, keys, value), keys, value, probs)
+    return profile_thresholds(stage(value_profile(df, keys, value), "profile"), keys, value, probs)
 
 
 def profile_statistics(
