@@ -40,3 +40,26 @@ def test_empty_lookup(spark, big):
     empty = lookup.as_lookup(spark.createDataFrame([], "k string, w double"))
     assert empty.text_bytes == 0
     assert lookup.lookup_join(big, empty, "k").count() == 0
+
+
+def test_a_hot_key_is_split_beyond_the_broadcast_size(spark, small):
+    settings = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        big = spark.range(0, 60_000, 1, 8).selectExpr(
+            "if(id % 3 = 0, 'hot', concat('k', id)) k", "concat('a value of some length ', id) v"
+        )
+        counts = lookup.lookup_join(big, small, "k", "left", 0).groupBy("v").count()
+        total = counts.agg({"count": "sum"})
+        assert total.collect()[0][0] == 60_000
+        assert "skew=true" in total._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
