@@ -163,8 +163,9 @@ def profile_statistics(
                 moments.stddev(n, s.cast("decimal(28,0)"), ss.cast("decimal(38,0)"), scale), F.lit(0.0)
             ).alias(f"{name}_stddev"),
         ]
-    order = [*keys, "order_count", *names]
-    return joined.groupBy(*order).agg(*sums).select(*order, *shown)
+    # One value per group: carried along rather than grouped by, so that the keys alone decide the partitioning.
+    carried = [F.max(name).alias(name) for name in ("order_count", *names)]
+    return joined.groupBy(*keys).agg(*carried, *sums).select(*keys, "order_count", *names, *shown)
 
 
 def threshold_statistics(
