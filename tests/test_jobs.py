@@ -22,7 +22,7 @@ def source(tmp_path):
             row = dict.fromkeys(SALES_COLUMNS, "")
             row |= {
                 "index": str(i), "Order ID": f"o{i}", "Date": f"04-{1 + i % 5:02d}-22",
-                "Status": "Shipped" if i % 2 else "Cancelled", "Fulfilment": "Merchant" if i % 2 else "Amazon",
+                "Status": "Shipped" if i % 2 else "Cancelled", "Fulfilment": "Merchant" if i % 2 else "Platform",
                 "ship-service-level": "Standard", "Style": f"st{i % 4}", "SKU": f"sku{i % 8}",
                 "Size": "XXL" if i % 4 == 0 else "M", "Courier Status": "Shipped" if i % 2 else "Cancelled",
                 "Qty": "1", "Amount": str(10 + i), "ship-city": f"City, {i % 2}", "ship-state": "GOA" if i < 30 else "Kerala",

@@ -53,7 +53,7 @@ def test_amount_equal_to_the_average_is_not_below(spark):
 
 def record(order, city, state="GOA", amount="10", promotions="p,q,r", date="01-01-22", **more):
     base = {"Order ID": order, "ship-city": city, "ship-state": state, "Amount": amount, "promotion-ids": promotions,
-            "Date": date, "Status": "Cancelled", "ship-service-level": "Standard", "Fulfilment": "Amazon",
+            "Date": date, "Status": "Cancelled", "ship-service-level": "Standard", "Fulfilment": "Platform",
             "Courier Status": "Unshipped"}
     return {**base, **more}
 
