@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from orderlens.catalog import base
 from orderlens.catalog.base import Entry, with_, with_raw
-from orderlens.catalog.joins import METHODS, PROMOTIONS, ROUNDED, _merchant_averages, results, rounded, rounded_sql
+from orderlens.catalog.joins import METHODS, ROUNDED, merchant_averages, results, rounded, rounded_sql
 from orderlens.functions import moments
 from orderlens.operators import checks, variety, windows
 from orderlens.operators import percentiles as pct
@@ -111,7 +111,7 @@ def valid_promotions(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def benchmark_averages(spark: SparkSession, folder: str) -> DataFrame:
-    averages = _merchant_averages(base.lowered(spark, folder))
+    averages = merchant_averages(base.lowered(spark, folder))
     return averages.select("state", "n", F.round("average", 4).alias("average"))
 
 
@@ -216,16 +216,9 @@ MEDIAN_SQL = """SELECT month, {group}, CAST(median(variety) AS DOUBLE) AS median
   WHERE style IN (SELECT style FROM sales WHERE {rule}) GROUP BY ALL) AS counted
 GROUP BY month, {group}"""
 BIG_RULE = "size IN ('XXL', '3XL')"
-PERCENTAGE_SQL = with_(
-    *PROMOTIONS,
-    base.AVERAGES_SQL,
-    base.SHARE_SQL,
-    select="""SELECT city, CAST(qualifying_records AS DOUBLE) / CAST(total_records AS DOUBLE) * 100.0 AS percentage
-FROM share""",
-)
 TAGGED_SQL = """SELECT * REPLACE (round(p80, 4) AS p80, round(p90, 4) AS p90, round(p80_stddev, 4) AS p80_stddev,
     round(p90_stddev, 4) AS p90_stddev), '{name}' AS method FROM {name}"""
-SKU_KEYS = 'sku, year_month'
+SKU_KEYS = "sku, year_month"
 
 ENTRIES = {
     "state_counts": Entry(
@@ -329,11 +322,11 @@ UNION ALL SELECT 'QUALIFIED_STYLE_ROWS', count(*) FILTER (valid AND NOT bad_date
         benchmark_averages,
         with_(base.AVERAGES_SQL, select="SELECT state, n, round(average, 4) AS average FROM averages"),
     ),
-    "below_benchmark_percentage": Entry(below_benchmark_percentage, PERCENTAGE_SQL),
+    "below_benchmark_percentage": Entry(below_benchmark_percentage, base.PERCENTAGE_SQL),
     "percentage_range": Entry(
         percentage_range,
         f"""SELECT min(percentage) AS min_percentage, max(percentage) AS max_percentage
-FROM ({PERCENTAGE_SQL}) AS percentages""",
+FROM ({base.PERCENTAGE_SQL}) AS percentages""",
     ),
     "approx_thresholds": Entry(
         approx_thresholds,
@@ -439,7 +432,7 @@ UNION ALL SELECT 'total_qty', CAST(sum(qty) AS BIGINT) FROM sales"""
         raw_variety_medians, with_raw(select=MEDIAN_SQL.format(group="state", rule=BIG_RULE))
     ),
     "raw_promotion_percentages": Entry(
-        raw_promotion_percentages, PERCENTAGE_SQL.replace(base.SALES_SQL, base.RAW_SALES_SQL)
+        raw_promotion_percentages, with_raw(*base.PERCENTAGE_CTES, select=base.PERCENTAGE_SELECT)
     ),
     "raw_percentile_comparison": Entry(
         raw_percentile_comparison,
@@ -450,7 +443,8 @@ UNION ALL SELECT 'total_qty', CAST(sum(qty) AS BIGINT) FROM sales"""
             base.statistics_sql("approx", "a", SKU_KEYS),
             base.statistics_sql("exact", "e", SKU_KEYS),
             base.comparison_sql(SKU_KEYS),
-            select=rounded_sql().replace("FROM comparison", "FROM (SELECT sku AS \"SKU\", * EXCLUDE (sku) FROM comparison) AS c"),
+            'named AS (SELECT sku AS "SKU", * EXCLUDE (sku) FROM comparison)',
+            select=rounded_sql("named"),
         ),
     ),
 }

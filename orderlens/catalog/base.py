@@ -177,3 +177,9 @@ def with_(*parts: str, select: str, records: str = SALES_SQL) -> str:
 
 def with_raw(*parts: str, select: str) -> str:
     return with_(*parts, select=select, records=RAW_SALES_SQL)
+
+
+PERCENTAGE_CTES = (APPEARANCES_SQL, VALID_SQL, ORDER_COUNTS_SQL, AVERAGES_SQL, SHARE_SQL)
+PERCENTAGE_SELECT = """SELECT city,
+  CAST(qualifying_records AS DOUBLE) / CAST(total_records AS DOUBLE) * 100.0 AS percentage FROM share"""
+PERCENTAGE_SQL = with_(*PERCENTAGE_CTES, select=PERCENTAGE_SELECT)

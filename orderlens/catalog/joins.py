@@ -55,7 +55,7 @@ def record_promotion_counts(spark: SparkSession, folder: str) -> DataFrame:
     return joined.select("order_id", "city", "records", count)
 
 
-def _merchant_averages(rows: DataFrame) -> DataFrame:
+def merchant_averages(rows: DataFrame) -> DataFrame:
     return promo.benchmark_averages(rows.where(promo.is_merchant_shipped()))
 
 
@@ -65,7 +65,7 @@ def below_benchmark_flags(spark: SparkSession, folder: str) -> DataFrame:
     checked = rows.where(promo.is_cancelled_standard()).withColumn(
         "state", F.when(~F.col("city").rlike("[13]$"), F.col("state"))
     )
-    flagged = promo.below_benchmark(checked, _merchant_averages(rows))
+    flagged = promo.below_benchmark(checked, merchant_averages(rows))
     return flagged.select("order_id", "city", "state", "amount", "below_benchmark")
 
 
@@ -73,7 +73,7 @@ def qualifying_share(spark: SparkSession, folder: str) -> DataFrame:
     rows = base.lowered(spark, folder)
     appearances = promo.promotion_appearances(rows)
     counts = promo.valid_promotion_counts(appearances, promo.valid_promotions(appearances))
-    return promo.qualifying_share(rows.where(promo.is_cancelled_standard()), counts, _merchant_averages(rows))
+    return promo.qualifying_share(rows.where(promo.is_cancelled_standard()), counts, merchant_averages(rows))
 
 
 def threshold_membership(spark: SparkSession, folder: str) -> DataFrame:
@@ -111,8 +111,8 @@ def rounded(df: DataFrame, names: tuple[str, ...], digits: int = 4) -> DataFrame
     return df.withColumns({name: F.round(name, digits) for name in names})
 
 
-def rounded_sql(digits: int = 4) -> str:
-    return "SELECT * REPLACE (" + ", ".join(f"round({n}, {digits}) AS {n}" for n in ROUNDED) + ") FROM comparison"
+def rounded_sql(source: str = "comparison", digits: int = 4) -> str:
+    return "SELECT * REPLACE (" + ", ".join(f"round({n}, {digits}) AS {n}" for n in ROUNDED) + f") FROM {source}"
 
 
 def method_comparison(spark: SparkSession, folder: str) -> DataFrame:

@@ -122,29 +122,20 @@ ENTRIES = {
     "csv_line_quality": Entry(
         csv_line_quality,
         with_(
-            select="""SELECT 'BAD_CSV_ROWS' AS rule, count(*) FILTER (amount IS NULL OR size = 'Free') AS rows FROM sales
+            select="""SELECT 'BAD_CSV_ROWS' AS rule, count(*) FILTER (amount IS NULL OR size = 'Free') AS rows
+FROM sales
 UNION ALL SELECT 'HEADER_ROWS', count(DISTINCT style) FROM sales"""
         ),
     ),
-    "parquet_round_trip": Entry(
-        parquet_round_trip,
-        with_(
-            base.APPEARANCES_SQL,
-            base.VALID_SQL,
-            base.ORDER_COUNTS_SQL,
-            base.AVERAGES_SQL,
-            base.SHARE_SQL,
-            select="""SELECT city, CAST(qualifying_records AS DOUBLE) / CAST(total_records AS DOUBLE) * 100.0 AS percentage
-FROM share""",
-        ),
-    ),
+    "parquet_round_trip": Entry(parquet_round_trip, base.PERCENTAGE_SQL),
     "methods_round_trip": Entry(
         methods_round_trip,
         with_(
             base.PREPARED_SQL,
             base.thresholds_sql("a", "quantile_disc"),
             base.thresholds_sql("e", "quantile_cont"),
-            select="""SELECT style, year_month, order_count, round(p80, 9) AS p80, round(p90, 9) AS p90, 'approx' AS method FROM a
+            select="""SELECT style, year_month, order_count, round(p80, 9) AS p80, round(p90, 9) AS p90,
+  'approx' AS method FROM a
 UNION ALL SELECT style, year_month, order_count, round(p80, 9), round(p90, 9), 'exact' FROM e""",
         ),
     ),

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 BROADCAST_BYTES = 32 * 1024 * 1024
+BROADCAST_SETTING = "spark.orderlens.broadcastBytes"
 
 
 def shared_folder(spark: SparkSession) -> str | None:
@@ -65,14 +66,17 @@ def as_lookup(df: DataFrame, name: str = "lookup") -> Lookup:
 
 
 def lookup_join(
-    big: DataFrame, small: Lookup, on: str | list[str], how: str = "inner", max_bytes: int = BROADCAST_BYTES
+    big: DataFrame, small: Lookup, on: str | list[str], how: str = "inner", max_bytes: int | None = None
 ) -> DataFrame:
     """Join to a lookup table.
 
     When its measured size is within ``max_bytes`` it is broadcast, and ``big`` is not shuffled. Otherwise both
     sides are shuffled on the key; both exchanges then sit right under the join, which is what adaptive execution
-    needs to split a key that holds a large share of ``big``.
+    needs to split a key that holds a large share of ``big``. The session setting ``spark.orderlens.broadcastBytes``
+    replaces the default limit.
     """
+    if max_bytes is None:
+        max_bytes = int(big.sparkSession.conf.get(BROADCAST_SETTING, str(BROADCAST_BYTES)))
     if small.text_bytes <= max_bytes:
         return big.join(F.broadcast(small.table), on, how)
     return big.join(small.table.hint("merge"), on, how)
