@@ -64,14 +64,14 @@ def csv_line_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 def parquet_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     path = fresh_path(spark, "percentages")
-    writers.write_results(percentages_of(base.lowered(spark, folder)), path, files=1)
+    writers.write_results(percentages_of(base.lowered(spark, folder)), path)
     return readers.read_results(spark, path)
 
 
 def methods_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     rows = stage(base.prepared(spark, folder), "prepared")
     path = fresh_path(spark, "thresholds")
-    writers.write_methods(approx_thresholds(rows, base.GROUP), exact_thresholds(rows, base.GROUP), path, files=1)
+    writers.write_methods(approx_thresholds(rows, base.GROUP), exact_thresholds(rows, base.GROUP), path)
     levels = [F.round(name, 9).alias(name) for name in ("p80", "p90")]
     return readers.read_results(spark, path).select(*base.GROUP, "order_count", *levels, "method")
 

@@ -53,6 +53,12 @@ class Lookup:
     table: DataFrame
     text_bytes: int
 
+    def fits(self, max_bytes: int | None = None) -> bool:
+        """Whether it may be broadcast: up to ``max_bytes``, or else what the session allows."""
+        if max_bytes is None:
+            max_bytes = int(self.table.sparkSession.conf.get(BROADCAST_SETTING, str(BROADCAST_BYTES)))
+        return self.text_bytes <= max_bytes
+
 
 def as_lookup(df: DataFrame, name: str = "lookup") -> Lookup:
     """Stage ``df`` and measure it on the way: the size is observed while the rows are written."""
@@ -75,8 +81,6 @@ def lookup_join(
     needs to split a key that holds a large share of ``big``. The session setting ``spark.orderlens.broadcastBytes``
     replaces the default limit.
     """
-    if max_bytes is None:
-        max_bytes = int(big.sparkSession.conf.get(BROADCAST_SETTING, str(BROADCAST_BYTES)))
-    if small.text_bytes <= max_bytes:
+    if small.fits(max_bytes):
         return big.join(F.broadcast(small.table), on, how)
     return big.join(small.table.hint("merge"), on, how)

@@ -57,14 +57,18 @@ def median_variety(
     """Median, over the styles allowed, of the distinct items per (period, group).
 
     The styles are those in ``styles``, or those with a row that meets ``qualifies`` (default: size XXL or bigger).
-    One pass over ``records``: the style filter is applied to the counted table, not to the rows.
+    The latter are found in the same pass over ``records`` that counts the items. Given styles filter the rows before
+    the first shuffle if they can be broadcast, and otherwise the counts, which are far fewer than the rows.
     """
     if styles is None:
         rule = is_big_size(F.col("size")) if qualifies is None else qualifies
         counted = stage(style_variety(records, period, group, style, item, rule), "variety")
         allowed = as_lookup(counted.where("qualifies").select(style).distinct(), "styles")
+        kept = lookup_join(counted, allowed, style, "left_semi")
     else:
-        counted = style_variety(records, period, group, style, item)
         allowed = as_lookup(styles.select(style).distinct(), "styles")
-    kept = lookup_join(counted.where("variety > 0"), allowed, style, "left_semi")
-    return kept.groupBy(period, group).agg(F.median("variety").alias("median_variety"))
+        if allowed.fits():
+            kept = style_variety(lookup_join(records, allowed, style, "left_semi"), period, group, style, item)
+        else:
+            kept = lookup_join(style_variety(records, period, group, style, item), allowed, style, "left_semi")
+    return kept.where("variety > 0").groupBy(period, group).agg(F.median("variety").alias("median_variety"))

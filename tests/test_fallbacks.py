@@ -11,6 +11,7 @@ from tests.conftest import rows_of
 from orderlens import plans
 from orderlens.operators import lookup
 from orderlens.operators import percentiles as pct
+from orderlens.operators.variety import median_variety
 
 HOT = 3
 
@@ -51,6 +52,11 @@ def records(spark):
     return spark.createDataFrame(rows, ", ".join(f"`{n}` string" for n in names)).repartition(4)
 
 
+def medians_of_given_styles(raw):
+    rows = plans.variety_records(raw)
+    return median_variety(rows, styles=rows.where("sku = 'SKU1'").select("style"))
+
+
 def percentile_rows(raw):
     results = plans.percentile_statistics(plans.percentile_records(raw))
     rounded = [F.round(c, 6) if t == "double" else F.col(c) for c, t in results.comparison.dtypes]
@@ -60,6 +66,7 @@ def percentile_rows(raw):
 ANALYSES = {
     "winners": lambda raw: plans.trailing_winners(raw, threshold=60),
     "medians": plans.variety_medians,
+    "medians of given styles": medians_of_given_styles,
     "quality": plans.variety_quality,
     "percentages": plans.promotion_percentages,
     "percentiles": percentile_rows,
