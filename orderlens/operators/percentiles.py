@@ -66,6 +66,13 @@ def approx_thresholds(
     return sketched.select(*keys, "order_count", *levels)
 
 
+def _groups_within(profile: DataFrame, keys: Sequence[str], limit: int) -> bool:
+    """Whether no group has more than ``limit`` rows. The whole table is counted first: a staged one knows its size."""
+    if profile.count() <= limit:
+        return True
+    return profile.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0] <= limit
+
+
 def _running_counts(profile: DataFrame, keys: Sequence[str], value: str, max_group_values: int) -> DataFrame:
     """``profile`` with ``_upto``, the rows of the group up to each value, and ``_total``, those of the whole group.
 
@@ -75,10 +82,9 @@ def _running_counts(profile: DataFrame, keys: Sequence[str], value: str, max_gro
     # A null value is a row of its group but has no place in the sorted list.
     placed = F.when(F.col(value).isNotNull(), F.col("n")).otherwise(0)
     rows = profile.select(*keys, value, "n", placed.alias("_placed"))
-    widest = profile.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0] or 0
     group = Window.partitionBy(*keys)
     start, here = Window.unboundedPreceding, Window.currentRow
-    if widest <= max_group_values:
+    if _groups_within(profile, keys, max_group_values):
         return rows.withColumns(
             {
                 "_upto": F.sum("_placed").over(group.orderBy(value).rowsBetween(start, here)),
