@@ -9,7 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlens.llm.bpe import encode_and_decode
+from orderlens.llm.decontamination import decontaminate
+from orderlens.llm.ngram_join import near_duplicates
 from orderlens.llm.token_counts import count_tokens
+from orderlens.llm.topk import top_k
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -36,6 +39,20 @@ def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return count_tokens(table(spark, folder, "documents"), tokenizer_file("byte_bpe_50k.json"), split_pattern())
 
 
+def op3_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return top_k(table(spark, folder, "embeddings"))
+
+
+def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    digest = F.sha2(F.array_join("items", ","), 256).alias("items_sha256")
+    return found.select("doc_id", "n_words", "n_hit", "n_items", digest, "contaminated")
+
+
+def op5_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(table(spark, folder, "documents"), words=4, percent=85)
+
+
 def op8_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     path = tokenizer_file("byte_bpe_50k.tiktoken")
@@ -50,6 +67,9 @@ def op8_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": op2_token_counts,
+    "op3_exact_top_k": op3_exact_top_k,
+    "op4_decontamination": op4_decontamination,
+    "op5_ngram_jaccard": op5_ngram_jaccard,
     "op8_byte_bpe": op8_byte_bpe,
 }
 
