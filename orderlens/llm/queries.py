@@ -13,6 +13,7 @@ from orderlens.llm.decontamination import decontaminate
 from orderlens.llm.ngram_join import near_duplicates
 from orderlens.llm.token_counts import count_tokens
 from orderlens.llm.topk import top_k
+from orderlens.llm.toxicity import held_out, score_toxicity, train
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -35,6 +36,12 @@ def split_pattern() -> str:
     return public_tokenizers.PATTERN
 
 
+def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    scored = score_toxicity(docs, train(docs, table(spark, folder, "labels")))
+    return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score", "predicted", F.size("clauses").alias("n_clauses"))
+
+
 def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return count_tokens(table(spark, folder, "documents"), tokenizer_file("byte_bpe_50k.json"), split_pattern())
 
@@ -66,6 +73,7 @@ def op8_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
     "op2_token_counts": op2_token_counts,
     "op3_exact_top_k": op3_exact_top_k,
     "op4_decontamination": op4_decontamination,
