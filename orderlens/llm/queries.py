@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from orderlens.llm.bpe import encode_and_decode
 from orderlens.llm.decontamination import decontaminate
+from orderlens.llm.licenses import scan_licenses
 from orderlens.llm.ngram_join import near_duplicates
+from orderlens.llm.secrets import BASE, as_text, of_kinds, scan_secrets
 from orderlens.llm.token_counts import count_tokens
 from orderlens.llm.topk import top_k
 from orderlens.llm.toxicity import held_out, score_toxicity, train
@@ -60,6 +62,18 @@ def op5_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"), words=4, percent=85)
 
 
+def op6_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    found = scan_secrets(table(spark, folder, "documents").select("doc_id", "text"))
+    spans = F.col("secret_spans")
+    counts = [F.size(of_kinds(spans, (kind,))).cast("long").alias(f"n_{kind}") for kind in BASE]
+    digest = F.sha2(as_text(of_kinds(spans, BASE)), 256).alias("base_sha256")
+    return found.select("doc_id", *counts, digest, as_text(spans).alias("spans"))
+
+
+def op7_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    return scan_licenses(table(spark, folder, "documents")).drop("spans")
+
+
 def op8_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     path = tokenizer_file("byte_bpe_50k.tiktoken")
@@ -78,6 +92,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_exact_top_k": op3_exact_top_k,
     "op4_decontamination": op4_decontamination,
     "op5_ngram_jaccard": op5_ngram_jaccard,
+    "op6_secrets": op6_secrets,
+    "op7_licenses": op7_licenses,
     "op8_byte_bpe": op8_byte_bpe,
 }
 
