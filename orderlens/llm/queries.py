@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from orderlens.llm.bpe import encode_and_decode
 from orderlens.llm.decontamination import decontaminate
+from orderlens.llm.html_text import extract_text
 from orderlens.llm.licenses import scan_licenses
 from orderlens.llm.ngram_join import near_duplicates
 from orderlens.llm.secrets import BASE, as_text, of_kinds, scan_secrets
@@ -86,6 +87,10 @@ def op8_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    return extract_text(table(spark, folder, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_token_counts": op2_token_counts,
@@ -95,6 +100,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_secrets": op6_secrets,
     "op7_licenses": op7_licenses,
     "op8_byte_bpe": op8_byte_bpe,
+    "op9_html_text": op9_html_text,
 }
 
 ORACLE_SQL: dict[str, str] = {}
