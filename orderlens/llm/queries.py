@@ -12,6 +12,7 @@ from orderlens.llm.bpe import encode_and_decode
 from orderlens.llm.decontamination import decontaminate
 from orderlens.llm.html_text import extract_text
 from orderlens.llm.licenses import scan_licenses
+from orderlens.llm.lm import score_documents
 from orderlens.llm.ngram_join import near_duplicates
 from orderlens.llm.secrets import BASE, as_text, of_kinds, scan_secrets
 from orderlens.llm.token_counts import count_tokens
@@ -91,6 +92,10 @@ def op9_html_text(spark: SparkSession, folder: str) -> DataFrame:
     return extract_text(table(spark, folder, "pages"))
 
 
+def op10_lm_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return score_documents(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_token_counts": op2_token_counts,
@@ -101,6 +106,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_licenses": op7_licenses,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_html_text": op9_html_text,
+    "op10_lm_scores": op10_lm_scores,
 }
 
 ORACLE_SQL: dict[str, str] = {}
