@@ -148,8 +148,8 @@ def decontaminate(
 ) -> DataFrame:
     """Per document, the words inside runs of ``span`` words that an item has too, and the items they come from.
 
-    Columns: ``doc_id``, ``n_words``, ``n_hit``, ``n_items`` (long), ``items`` (ids as sorted strings) and
-    ``contaminated``. ``doc_id`` must be a long. Rows that are alike in id and text come back once each; two rows of
+    Columns: ``doc_id``, ``text_hash`` (xxhash64 of the text, to tell rows of one id apart), ``n_words``, ``n_hit``,
+    ``n_items`` (long), ``items`` (ids as sorted strings) and ``contaminated``. ``doc_id`` must be a long. Rows that are alike in id and text come back once each; two rows of
     one id with different texts are two documents. Null and empty texts have no words and no hits. Items with a null
     id or without words take no part; an empty benchmark contaminates nothing. Other columns are ignored.
     """
@@ -198,6 +198,7 @@ def decontaminate(
     items_of = F.coalesce("items", F.array().cast("array<string>"))
     return result.select(
         F.col("key").alias(doc_id),
+        F.col("copy").alias("text_hash"),
         "n_words",
         "n_hit",
         F.size(items_of).cast("long").alias("n_items"),

@@ -176,3 +176,18 @@ def of_kinds(spans: Column, kinds: tuple[str, ...], rules: tuple[Rule, ...] = RU
     """Only the spans of the named rules."""
     numbers = [i for i, rule in enumerate(rules) if rule.kind in kinds]
     return F.filter(spans, lambda s: s["kind"].isin(numbers))
+
+
+def redacted(text: Column, spans: Column, marker: str = "[SECRET]") -> Column:
+    """The text with a marker in place of each span; spans that overlap share one."""
+    body = F.coalesce(text, F.lit(""))
+    first = F.struct(F.lit(0).alias("at"), F.lit("").alias("done"))
+
+    def step(state: Column, span: Column) -> Column:
+        before = F.substr(body, state["at"] + 1, F.greatest(span["start"] - state["at"], F.lit(0)))
+        fresh = F.when(span["start"] >= state["at"], F.concat(before, F.lit(marker))).otherwise(F.lit(""))
+        at = F.greatest(state["at"], span["stop"]).alias("at")
+        return F.struct(at, F.concat(state["done"], fresh).alias("done"))
+
+    whole = F.aggregate(spans, first, step, lambda state: F.concat(state["done"], F.substr(body, state["at"] + 1)))
+    return F.when(F.size(spans) > 0, whole).otherwise(text)
