@@ -28,6 +28,7 @@ OFTEN = 8
 FREQUENT_ENTRIES = 1 << 16
 LARGEST_LIGHT = 256
 ROW_COST, POSTING_COST = 8.0, 1.0
+FIRST_SHARE = 4
 
 KEYS = "id long, n long, k1 long, k2 long, shingle long, times long"
 SIGNATURES = "sig long, id long, n long, pos long"
@@ -97,15 +98,19 @@ def least_overlap(n, m, percent: int):
     return F.ceil((n + m) * percent / (100 + percent) - 1e-9)
 
 
-def boundary(sizes: dict[int, int], list_length: float, percent: int) -> int:
-    """The size up to which sets are light, by estimated cost; ``sizes`` counts the sets of each size."""
+def boundary(sizes: dict[int, int], percent: int) -> int:
+    """The size up to which sets are light, by estimated cost; ``sizes`` counts the sets of each size.
+
+    Frequent shingles stand last, so a list in the prefix is taken to hold as many sets as an infrequent shingle can
+    have in one buffer.
+    """
 
     def light(n: int) -> float:
         p = min(n, n - -(-percent * n // 100) + 2)
         return ROW_COST * p * (p - 1) / 2
 
     def heavy(n: int) -> float:
-        return (n - -(-percent * n // 100) + 1) * (ROW_COST + POSTING_COST * list_length)
+        return (n - -(-percent * n // 100) + 1) * (ROW_COST + POSTING_COST * OFTEN)
 
     def cost(limit: int) -> float:
         least = -(-percent * (limit + 1) // 100)
@@ -152,29 +157,46 @@ def _signatures(size: int, percent: int, light_limit: int, frequent):
     return run
 
 
-def _sets(size: int):
+def _sets(size: int, share: int):
+    """The part of every set whose hashes are divisible by ``share``, with the whole set's size."""
+
     def run(batches) -> Iterator:
         import pyarrow as pa
 
         splitter = Splitter(SPACES)
         for batch in batches:
-            found = [signed(s) for _, s in sets_of(batch, size, splitter)]
+            n, parts = [], []
+            for _, found in sets_of(batch, size, splitter):
+                n.append(len(found))
+                parts.append(signed(found[found % np.uint64(share) == 0]))
             for a in range(0, batch.num_rows, 1000):
-                arrays = [batch.column(0).slice(a, 1000), pa.array(found[a : a + 1000], pa.list_(pa.int64()))]
-                yield pa.RecordBatch.from_arrays(arrays, names=["id", "shingles"])
+                b = a + 1000
+                arrays = [batch.column(0).slice(a, 1000), pa.array(n[a:b], pa.int64()), pa.array(parts[a:b], pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays(arrays, names=["id", "n", "part"])
 
     return run
 
 
-def linked(pairs: DataFrame, named: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of ids whose sets reach the similarity, from their whole sets."""
+def reaching(pairs: DataFrame, named: DataFrame, size: int, percent: int, share: int) -> DataFrame:
+    """The pairs whose sets can reach the overlap, given the parts of them whose hashes are divisible by ``share``.
+
+    What the parts share is known; of the rest, at most the smaller rest can be shared. With 1 the parts are the sets.
+    """
     ids = written(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "members")
-    sets = written(named.join(ids, "id", "left_semi").mapInArrow(_sets(size), "id long, shingles array<long>"), "sets")
-    with_a = pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa")).hint("merge"), "a")
-    with_b = with_a.join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb")).hint("merge"), "b")
-    shared = F.size(F.array_intersect("sa", "sb"))
-    whole = F.size("sa") + F.size("sb") - shared
-    return with_b.where(shared * 100 >= whole * percent).select("a", "b").distinct()
+    parts = named.join(ids, "id", "left_semi").mapInArrow(_sets(size, share), "id long, n long, part array<long>")
+    parts = written(parts, "parts")
+    for side in ("a", "b"):
+        renamed = parts.select(F.col("id").alias(side), F.col("n").alias(f"n{side}"), F.col("part").alias(f"part{side}"))
+        pairs = pairs.join(renamed.hint("merge"), side)
+    rest = F.least(F.col("na") - F.size("parta"), F.col("nb") - F.size("partb"))
+    most = F.size(F.array_intersect("parta", "partb")) + rest
+    return pairs.where(most >= least_overlap(F.col("na"), F.col("nb"), percent)).select("a", "b").distinct()
+
+
+def linked(pairs: DataFrame, named: DataFrame, size: int, percent: int) -> DataFrame:
+    """The pairs (a, b) of ids whose sets reach the similarity: a quarter of each set settles most, whole sets the rest."""
+    maybe = written(reaching(pairs, named, size, percent, FIRST_SHARE), "maybe")
+    return reaching(maybe, named, size, percent, 1)
 
 
 def possible(left: str, right: str, percent: int):
@@ -212,9 +234,7 @@ def near_duplicates(
 
     grouped = reps.groupBy(F.least("n", F.lit(LARGEST_LIGHT * 2)).alias("n")).count().collect()
     sizes = {row.n: row["count"] for row in grouped}
-    squares = counted.agg(F.sum(F.col("times").cast("double") * F.col("times")), F.sum("times")).first()
-    length = 1.0 + (squares[0] / max(1, sum(n * c for n, c in sizes.items())) if squares[0] else 0.0)
-    limit = boundary(sizes, length, percent)
+    limit = boundary(sizes, percent)
 
     ids = reps.select(F.col("rep").alias("id"))
     bodies = named.join(ids.hint("merge"), "id", "left_semi")
