@@ -13,7 +13,6 @@ from orderlens.operators import checks, variety, windows
 from orderlens.operators import percentiles as pct
 from orderlens.operators import promotions as promo
 from orderlens.operators.comparison import tag_methods
-from orderlens.operators.lookup import stage
 from orderlens.plans import records, workloads
 from orderlens.sources.sample import sales
 
@@ -50,14 +49,25 @@ def category_moments(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def trailing_window_winner(spark: SparkSession, folder: str) -> DataFrame:
-    return windows.trailing_window_winner(base.bought(spark, folder), threshold=LIMIT, scale=2)
+    winners = windows.trailing_window_winner(base.bought(spark, folder), threshold=LIMIT, scale=2)
+    return rounded(winners, ("population_variance",))
+
+
+def split_window_winner(spark: SparkSession, folder: str) -> DataFrame:
+    """Both window lengths at any size of the tables: a state is busy above the average state."""
+    rows = base.bought(spark, folder)
+    counts = windows.key_counts(rows)
+    mean = counts.agg(F.avg("n").alias("mean"))
+    scaled = counts.join(F.broadcast(mean)).select("state", F.when(F.col("n") > F.col("mean"), 2).otherwise(1).alias("n"))
+    return rounded(windows.trailing_window_winner(rows, threshold=1, totals=scaled, scale=2), ("population_variance",))
 
 
 def trailing_style_winner(spark: SparkSession, folder: str) -> DataFrame:
     """The same operator on other columns: the style bought most per city, in 3 or 7 days."""
-    return windows.trailing_window_winner(
+    winners = windows.trailing_window_winner(
         base.bought(spark, folder), key="city", category="style", threshold=LIMIT, short=3, long=7, scale=2
     )
+    return rounded(winners, ("population_variance",))
 
 
 def window_quality(spark: SparkSession, folder: str) -> DataFrame:
@@ -137,6 +147,12 @@ def exact_quartiles(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(levels, ("p25", "p50", "p75"), 9)
 
 
+def exact_price_percentiles(spark: SparkSession, folder: str) -> DataFrame:
+    """Levels of a value with nearly as many distinct values as rows."""
+    levels = pct.exact_thresholds(sales(spark, folder), ["state"], "amount")
+    return rounded(levels, ("p80", "p90"))
+
+
 def promotion_count_profile(spark: SparkSession, folder: str) -> DataFrame:
     return pct.value_profile(base.prepared(spark, folder), base.GROUP)
 
@@ -188,8 +204,7 @@ def quality_profile(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def raw_trailing_winners(spark: SparkSession, folder: str) -> DataFrame:
-    winners = workloads.trailing_winners(base.raw(spark, folder), LIMIT)
-    return winners.select("state", "window_date", "most_bought_size", "frequency")
+    return rounded(workloads.trailing_winners(base.raw(spark, folder), LIMIT), ("population_variance",))
 
 
 def raw_variety_medians(spark: SparkSession, folder: str) -> DataFrame:
@@ -201,12 +216,7 @@ def raw_promotion_percentages(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def raw_percentile_comparison(spark: SparkSession, folder: str) -> DataFrame:
-    rows = stage(
-        records.percentile_records(base.raw(spark, folder)).select(
-            "SKU", "year_month", "promotion_count", "amount_value"
-        ),
-        "prepared",
-    )
+    rows = records.percentile_records(base.raw(spark, folder))
     return rounded(workloads.percentile_statistics(rows).comparison, ROUNDED)
 
 
@@ -249,6 +259,16 @@ FROM sales GROUP BY state, size"""
     "trailing_window_winner": Entry(
         trailing_window_winner, with_(*WINDOWS, base.WINNERS_SQL, select="SELECT * FROM winners")
     ),
+    "split_window_winner": Entry(
+        split_window_winner,
+        with_(
+            base.BOUGHT_SQL,
+            base.COUNTS_SQL,
+            base.BUCKETS_SQL.replace(f"total > {LIMIT}", "total > (SELECT avg(total) FROM counts)"),
+            base.WINNERS_SQL,
+            select="SELECT * FROM winners",
+        ),
+    ),
     "trailing_style_winner": Entry(
         trailing_style_winner,
         with_(
@@ -261,7 +281,7 @@ FROM sales GROUP BY state, size"""
   FROM bought JOIN counts ON bought.city = counts.city,
     unnest(range(1, CASE WHEN total > {LIMIT} THEN 4 ELSE 8 END)) AS t(ahead) GROUP BY ALL)""",
             select="""SELECT city, window_date, style AS most_bought_style, n AS frequency,
-  CAST(n * ss - s * s AS DOUBLE) / CAST(n * n AS DOUBLE) / 10000.0 AS population_variance
+  round(CAST(n * ss - s * s AS DOUBLE) / CAST(n * n AS DOUBLE) / 10000.0, 4) AS population_variance
 FROM buckets QUALIFY row_number() OVER (PARTITION BY city, window_date ORDER BY n DESC, n * ss - s * s, style) = 1""",
         ),
     ),
@@ -347,6 +367,13 @@ FROM ({base.PERCENTAGE_SQL}) AS percentages""",
   round(quantile_cont(qty, 0.5), 9) AS p50, round(quantile_cont(qty, 0.75), 9) AS p75 FROM sales GROUP BY state"""
         ),
     ),
+    "exact_price_percentiles": Entry(
+        exact_price_percentiles,
+        with_(
+            select="""SELECT state, count(*) AS order_count, round(quantile_cont(amount, 0.8), 4) AS p80,
+  round(quantile_cont(amount, 0.9), 4) AS p90 FROM sales GROUP BY state"""
+        ),
+    ),
     "promotion_count_profile": Entry(
         promotion_count_profile,
         with_(
@@ -425,7 +452,7 @@ UNION ALL SELECT 'total_qty', CAST(sum(qty) AS BIGINT) FROM sales"""
         with_raw(
             *WINDOWS,
             base.WINNERS_SQL,
-            select="SELECT upper(state) AS state, window_date, most_bought_size, frequency FROM winners",
+            select="SELECT * REPLACE (upper(state) AS state) FROM winners",
         ),
     ),
     "raw_variety_medians": Entry(

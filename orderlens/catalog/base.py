@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -10,6 +14,7 @@ from pyspark.sql import functions as F
 
 from orderlens.functions.parsing import month_of
 from orderlens.functions.text import token_count
+from orderlens.operators.promotions import is_cancelled_standard, is_merchant_shipped
 from orderlens.operators.windows import is_bought
 from orderlens.sources.sample import as_raw, sales
 
@@ -26,14 +31,39 @@ class Entry:
     sql: str | None = None
 
 
+_scratch: list[str] = []
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path for the entries that write and read back: in the session's shared folder, or in a temporary one on a
+    local master, which goes when Python ends.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
+        if not _scratch:
+            _scratch.append(tempfile.mkdtemp(prefix="orderlens-"))
+            atexit.register(shutil.rmtree, _scratch[0], ignore_errors=True)
+        folder = _scratch[0]
+    return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def bought(spark: SparkSession, folder: str) -> DataFrame:
     records = sales(spark, folder)
     return records.where(is_bought(F.col("status"), F.col("qty")))
 
 
 def lowered(spark: SparkSession, folder: str) -> DataFrame:
+    """Records with lower-case texts, and whether each takes part in an average or in a share."""
     names = ("status", "fulfilment", "service_level", "courier_status")
-    return sales(spark, folder).withColumns({name: F.lower(name) for name in names})
+    rows = sales(spark, folder).withColumns({name: F.lower(name) for name in names})
+    return rows.withColumns(
+        {
+            "merchant_shipped": is_merchant_shipped(F.col("fulfilment"), F.col("courier_status")),
+            "cancelled_standard": is_cancelled_standard(F.col("status"), F.col("service_level")),
+        }
+    )
 
 
 def monthly(spark: SparkSession, folder: str) -> DataFrame:
@@ -89,7 +119,7 @@ BUCKETS_SQL = f"""buckets AS (
 
 WINNERS_SQL = """winners AS (
   SELECT state, window_date, size AS most_bought_size, n AS frequency,
-    CAST(n * ss - s * s AS DOUBLE) / CAST(n * n AS DOUBLE) / 10000.0 AS population_variance
+    round(CAST(n * ss - s * s AS DOUBLE) / CAST(n * n AS DOUBLE) / 10000.0, 4) AS population_variance
   FROM buckets QUALIFY row_number() OVER (PARTITION BY state, window_date ORDER BY n DESC, n * ss - s * s, size) = 1)"""
 
 TOKENS_SQL = (

@@ -10,30 +10,31 @@ from orderlens.catalog.base import Entry, with_
 from orderlens.operators import comparison as cmp
 from orderlens.operators import percentiles as pct
 from orderlens.operators import promotions as promo
-from orderlens.operators.lookup import as_lookup, lookup_join, stage
+from orderlens.operators.lookup import lookup_join
 from orderlens.operators.variety import qualifying_styles
 from orderlens.operators.windows import key_counts
+from orderlens.plans import workloads
 from orderlens.sources.sample import sales
 
 
 def state_count_lookup(spark: SparkSession, folder: str) -> DataFrame:
     """Bought rows with their state's total; only states above the threshold are in the table."""
     rows = base.bought(spark, folder)
-    busy = as_lookup(key_counts(rows).where(F.col("n") > base.TEST_THRESHOLD), "counts")
+    busy = key_counts(rows).where(F.col("n") > base.TEST_THRESHOLD)
     return lookup_join(rows.select("order_id", "state", "size"), busy, "state")
 
 
 def states_without_count(spark: SparkSession, folder: str) -> DataFrame:
     """Bought rows whose state the table lacks, counted."""
     rows = base.bought(spark, folder)
-    busy = as_lookup(key_counts(rows).where(F.col("n") > base.TEST_THRESHOLD), "counts")
+    busy = key_counts(rows).where(F.col("n") > base.TEST_THRESHOLD)
     missed = lookup_join(rows.select("state"), busy, "state", "left_anti")
     return missed.groupBy("state").agg(F.count(F.lit(1)).alias("missed_rows"))
 
 
 def valid_style_rows(spark: SparkSession, folder: str) -> DataFrame:
     rows = sales(spark, folder)
-    styles = as_lookup(qualifying_styles(rows), "styles")
+    styles = qualifying_styles(rows)
     return lookup_join(rows.select("order_id", "style", "sku", "size"), styles, "style", "left_semi")
 
 
@@ -46,7 +47,7 @@ def record_promotion_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Cancelled standard records per order and city, beside the order's valid promotions (0 without any)."""
     rows = base.lowered(spark, folder)
     per_order = (
-        rows.where(promo.is_cancelled_standard())
+        rows.where("cancelled_standard")
         .groupBy("order_id", "city")
         .agg(F.count(F.lit(1)).alias("records"))
     )
@@ -56,13 +57,13 @@ def record_promotion_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def merchant_averages(rows: DataFrame) -> DataFrame:
-    return promo.benchmark_averages(rows.where(promo.is_merchant_shipped()))
+    return promo.benchmark_averages(rows.where("merchant_shipped"))
 
 
 def below_benchmark_flags(spark: SparkSession, folder: str) -> DataFrame:
     """Every cancelled standard record against its state's average; odd regions' records have no state."""
     rows = base.lowered(spark, folder)
-    checked = rows.where(promo.is_cancelled_standard()).withColumn(
+    checked = rows.where("cancelled_standard").withColumn(
         "state", F.when(~F.col("city").rlike("[13]$"), F.col("state"))
     )
     flagged = promo.below_benchmark(checked, merchant_averages(rows))
@@ -73,7 +74,7 @@ def qualifying_share(spark: SparkSession, folder: str) -> DataFrame:
     rows = base.lowered(spark, folder)
     appearances = promo.promotion_appearances(rows)
     counts = promo.valid_promotion_counts(appearances, promo.valid_promotions(appearances))
-    return promo.qualifying_share(rows.where(promo.is_cancelled_standard()), counts, merchant_averages(rows))
+    return promo.qualifying_share(rows.where("cancelled_standard"), counts, merchant_averages(rows))
 
 
 def threshold_membership(spark: SparkSession, folder: str) -> DataFrame:
@@ -81,7 +82,7 @@ def threshold_membership(spark: SparkSession, folder: str) -> DataFrame:
     rows = base.prepared(spark, folder).withColumn(
         "year_month", F.when(~F.col("style").isin("Brand#1", "Brand#2"), F.col("year_month"))
     )
-    profile = stage(pct.value_profile(rows, base.GROUP), "profile")
+    profile = pct.value_profile(rows, base.GROUP)
     levels = pct.profile_thresholds(profile, base.GROUP)
     return profile.join(levels, list(base.GROUP)).select(
         *base.GROUP,
@@ -92,16 +93,13 @@ def threshold_membership(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def outcome(spark: SparkSession, folder: str) -> workloads.PercentileResults:
+    return workloads.percentile_statistics(base.prepared(spark, folder), base.GROUP, amount="amount")
+
+
 def results(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    """Statistics by both methods, each from the staged histogram, as a user composing the operators would."""
-    rows = base.prepared(spark, folder)
-    profile = stage(pct.value_profile(rows, base.GROUP, amount="amount"), "profile")
-    approx_levels = pct.approx_thresholds(rows, base.GROUP)
-    exact_levels = pct.profile_thresholds(profile, base.GROUP)
-    return (
-        pct.profile_statistics(profile, approx_levels, base.GROUP),
-        pct.profile_statistics(profile, exact_levels, base.GROUP),
-    )
+    found = outcome(spark, folder)
+    return found.approx, found.exact
 
 
 ROUNDED = ("approx_threshold", "exact_threshold", "approx_stddev", "exact_stddev", "threshold_diff", "stddev_diff")
@@ -121,15 +119,15 @@ def method_comparison(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def changed_groups(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(cmp.changed_groups(cmp.compare_levels(*results(spark, folder), base.GROUP)), ROUNDED)
+    return rounded(cmp.changed_groups(outcome(spark, folder).comparison), ROUNDED)
 
 
 def top_changes(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(cmp.top_changes(cmp.compare_levels(*results(spark, folder), base.GROUP), base.GROUP), ROUNDED)
+    return rounded(cmp.top_changes(outcome(spark, folder).comparison, base.GROUP), ROUNDED)
 
 
 def comparison_summary(spark: SparkSession, folder: str) -> DataFrame:
-    summary = cmp.summarize_comparison(cmp.compare_levels(*results(spark, folder), base.GROUP))
+    summary = cmp.summarize_comparison(outcome(spark, folder).comparison)
     return summary.withColumn("mean_threshold_diff", F.round("mean_threshold_diff", 6))
 
 

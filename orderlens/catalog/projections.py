@@ -66,12 +66,12 @@ def promotion_appearances(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def merchant_shipped_filter(spark: SparkSession, folder: str) -> DataFrame:
-    rows = base.lowered(spark, folder).where(promo.is_merchant_shipped() & F.col("amount").isNotNull())
+    rows = base.lowered(spark, folder).where(F.col("merchant_shipped") & F.col("amount").isNotNull())
     return rows.select("order_id", "state", "amount")
 
 
 def cancelled_standard_filter(spark: SparkSession, folder: str) -> DataFrame:
-    rows = base.lowered(spark, folder).where(promo.is_cancelled_standard() & F.col("city").isNotNull())
+    rows = base.lowered(spark, folder).where(F.col("cancelled_standard") & F.col("city").isNotNull())
     return rows.select("order_id", "city", "state", "amount")
 
 
@@ -117,6 +117,7 @@ def token_functions(spark: SparkSession, folder: str) -> DataFrame:
         F.element_at(F.sort_array(once), 1).alias("first_token"),
         F.size(once).alias("distinct_count"),
         text.token_count(ids).alias("token_count"),
+        text.token_count(F.concat(F.lit(" | "), F.translate(ids, ",", "|")), "|").alias("piped_count"),
     )
 
 
@@ -125,9 +126,12 @@ def date_functions(spark: SparkSession, folder: str) -> DataFrame:
     written = F.date_format("order_date", parsing.DATE_PATTERN)
     written = F.when(F.col("status") == "Cancelled", "02-30-22").otherwise(written)
     parsed = parsing.parse_date(written)
+    # Day 31 of every month, which the lenient rule takes for the month's last day.
+    late = parsing.parse_date_leniently(F.date_format("order_date", "MM-31-yy"))
     return sales(spark, folder).select(
         "order_id",
         parsed.alias("parsed"),
+        late.alias("month_end"),
         parsing.month_of(parsed).alias("month"),
         F.date_add(parsed, 10).alias("ten_days_on"),
         F.datediff(F.lit("2002-01-01").cast("date"), parsed).alias("days_to_2002"),
@@ -243,14 +247,14 @@ FROM spelled""",
             select=f"""SELECT order_id, promotion_ids, array_to_string({T}, '|') AS kept,
   array_to_string(list_sort(list_distinct({T})), '|') AS sorted_once,
   list_sort(list_distinct({T}))[1] AS first_token, CAST(len(list_distinct({T})) AS INTEGER) AS distinct_count,
-  CAST(len({T}) AS INTEGER) AS token_count FROM sales"""
+  CAST(len({T}) AS INTEGER) AS token_count, CAST(len({T}) AS INTEGER) AS piped_count FROM sales"""
         ),
     ),
     "date_functions": Entry(
         date_functions,
         with_raw(
-            "parsed AS (SELECT order_id, CASE WHEN status <> 'Cancelled' THEN order_date END AS parsed FROM sales)",
-            select="""SELECT order_id, parsed, strftime(parsed, '%Y-%m') AS month,
+            "parsed AS (SELECT order_id, order_date, CASE WHEN status <> 'Cancelled' THEN order_date END AS parsed FROM sales)",
+            select="""SELECT order_id, parsed, last_day(order_date) AS month_end, strftime(parsed, '%Y-%m') AS month,
   CAST(parsed + 10 AS DATE) AS ten_days_on,
   CAST(date_diff('day', parsed, DATE '2002-01-01') AS INTEGER) AS days_to_2002 FROM parsed""",
         ),

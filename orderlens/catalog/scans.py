@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from orderlens.catalog import base
 from orderlens.catalog.base import Entry, with_, with_raw
 from orderlens.operators.comparison import timing_summary
-from orderlens.operators.lookup import fresh_path, stage
 from orderlens.operators.percentiles import approx_thresholds, exact_thresholds
 from orderlens.operators.windows import trailing_window_winner
 from orderlens.plans.records import percentile_records, promotion_records
@@ -20,7 +19,7 @@ CSV_OPTIONS = {"escape": '"'}
 
 
 def _written_csv(spark: SparkSession, folder: str) -> str:
-    path = fresh_path(spark, "sales-csv")
+    path = base.scratch_path(spark, "sales-csv")
     base.raw(spark, folder).write.option("header", True).options(**CSV_OPTIONS).csv(path)
     return path
 
@@ -48,7 +47,7 @@ def _written_lines(spark: SparkSession, folder: str) -> str:
     text = F.when(F.col("Amount").isNull(), short).when(F.col("Size") == "Free", long).otherwise(_line(fields))
     header = F.lit(",".join(SALES_COLUMNS))
     lines = rows.select(text.alias("value")).unionByName(rows.select("Style").distinct().select(header.alias("value")))
-    path = fresh_path(spark, "sales-lines")
+    path = base.scratch_path(spark, "sales-lines")
     lines.write.text(path)
     return path
 
@@ -58,19 +57,35 @@ def csv_width_checked_scan(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("Date", "Category", "Size", "SKU")
 
 
+def csv_quote_keeping_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Fields with quotes, commas and backslashes, whose doubled quotes stay as they are."""
+    rows = base.raw(spark, folder)
+    category = F.concat(F.lit('"12"" '), F.col("Style"), F.lit(', red"'))
+    fields = {"Category": category, "ASIN": F.concat(F.lit('"abc'), F.lit("\\"), F.lit('"')), "Courier Status": F.lit('a "b" c')}
+    plain = [fields.get(name, F.coalesce(F.col(f"`{name}`"), F.lit(""))) for name in SALES_COLUMNS[:-4]]
+    # Promotion lists hold commas, so they are quoted; the last fields are short texts.
+    promotions = F.concat(F.lit('"'), F.col("promotion-ids"), F.lit('"'))
+    line = F.concat_ws(",", *plain, promotions, F.lit("x"), F.lit(" y "), F.lit(""))
+    path = base.scratch_path(spark, "quoted-lines")
+    rows.select(line.alias("value")).unionByName(rows.limit(1).select(F.lit(",".join(SALES_COLUMNS)).alias("value"))).write.text(path)
+    back = readers.read_sales_rows(spark, path, unescape_quotes=False)
+    kept = {"order_id": "Order ID", "category": "Category", "asin": "ASIN", "courier": "Courier Status", "promotions": "promotion-ids"}
+    return back.select(*(F.col(f"`{name}`").alias(alias) for alias, name in kept.items()))
+
+
 def csv_line_quality(spark: SparkSession, folder: str) -> DataFrame:
     return readers.line_quality(readers.read_sales_lines(spark, _written_lines(spark, folder)))
 
 
 def parquet_round_trip(spark: SparkSession, folder: str) -> DataFrame:
-    path = fresh_path(spark, "percentages")
+    path = base.scratch_path(spark, "percentages")
     writers.write_results(percentages_of(base.lowered(spark, folder)), path)
     return readers.read_results(spark, path)
 
 
 def methods_round_trip(spark: SparkSession, folder: str) -> DataFrame:
-    rows = stage(base.prepared(spark, folder), "prepared")
-    path = fresh_path(spark, "thresholds")
+    rows = base.prepared(spark, folder)
+    path = base.scratch_path(spark, "thresholds")
     writers.write_methods(approx_thresholds(rows, base.GROUP), exact_thresholds(rows, base.GROUP), path)
     levels = [F.round(name, 9).alias(name) for name in ("p80", "p90")]
     return readers.read_results(spark, path).select(*base.GROUP, "order_count", *levels, "method")
@@ -78,10 +93,11 @@ def methods_round_trip(spark: SparkSession, folder: str) -> DataFrame:
 
 def report_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     winners = trailing_window_winner(base.bought(spark, folder), threshold=base.TEST_THRESHOLD, scale=2)
-    path = fresh_path(spark, "winners")
+    path = base.scratch_path(spark, "winners")
     writers.write_report(winners, path, ["state", "window_date"])
     schema = "state string, window_date date, most_bought_size string, frequency bigint, population_variance double"
-    return spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv(path)
+    back = spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv(path)
+    return back.withColumn("population_variance", F.round("population_variance", 4))
 
 
 def bounded_display(spark: SparkSession, folder: str) -> DataFrame:
@@ -99,9 +115,9 @@ def timings(spark: SparkSession, folder: str) -> DataFrame:
     return timing_summary(measurements(spark, folder)).select("method", "measured_runs", *rounded)
 
 
-NORMALISED = """SELECT order_id, order_date, lower(status) AS status, lower(fulfilment) AS fulfilment,
-  lower(service_level) AS service_level, lower(courier_status) AS courier_status, upper(city) AS city,
-  upper(state) AS state, amount, promotion_ids FROM sales"""
+NORMALISED = """SELECT order_id, order_date, upper(city) AS city, upper(state) AS state, amount, promotion_ids,
+  fulfilment = 'Merchant' AND courier_status = 'Shipped' AS merchant_shipped,
+  service_level = 'Standard' AND status = 'Cancelled' AS cancelled_standard FROM sales"""
 
 WIDE = """SELECT strftime(order_date, '%m-%d-%y') AS "Date", 'say "' || style || '", twice' AS "Category",
   size AS "Size", sku AS "SKU" FROM sales WHERE amount IS NOT NULL AND size <> 'Free'"""
@@ -119,6 +135,13 @@ ENTRIES = {
         ),
     ),
     "csv_width_checked_scan": Entry(csv_width_checked_scan, with_(select=WIDE)),
+    "csv_quote_keeping_scan": Entry(
+        csv_quote_keeping_scan,
+        with_(
+            select=r"""SELECT order_id, '12"" ' || style || ', red' AS category, 'abc\' AS asin, 'a "b" c' AS courier,
+  promotion_ids AS promotions FROM sales"""
+        ),
+    ),
     "csv_line_quality": Entry(
         csv_line_quality,
         with_(

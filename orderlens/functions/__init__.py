@@ -1,7 +1,7 @@
 """Column expressions."""
 
 from orderlens.functions.moments import spread, stddev, units, variance
-from orderlens.functions.parsing import month_of, parse_date, parse_double
+from orderlens.functions.parsing import month_of, parse_date, parse_date_leniently, parse_double
 from orderlens.functions.text import (
     BIG_SIZE_RANK,
     distinct_tokens,
@@ -20,6 +20,7 @@ __all__ = [
     "has_text",
     "month_of",
     "parse_date",
+    "parse_date_leniently",
     "parse_double",
     "size_rank",
     "spread",

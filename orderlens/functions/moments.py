@@ -1,14 +1,15 @@
 """Exact, mergeable moments of an amount.
 
 Float sums depend on the order in which partitions merge, which makes an equal-variance tie-break a coin toss.
-Amounts are therefore held as whole units of ``10**-scale`` in ``DECIMAL(18,0)`` and their sum and sum of squares in
-38-digit decimals, so count, sum and sum of squares add up to the same value in any order and at any grain.
+Amounts are therefore held as whole units of ``10**-scale`` in decimals, so count, sum and sum of squares add up to the
+same value in any order and at any grain.
 
 With ``q`` the mean rounded to a whole unit, ``d = sum((x-q)^2)`` and ``r = sum(x-q)`` follow from those sums exactly,
-and the variance is ``d/n - (r/n)^2``. That has no cancellation to speak of since ``|r/n| <= 1``.
-Limits: an amount is kept exactly up to ``2**53`` units (9e11 at the default scale); the squares of one group sum to
-less than ``10**38`` units; and for ``spread``, which breaks ties, ``n`` times that sum as well, which holds while the
-group's total amount is under ``10**(19-scale)``. Beyond them Spark raises an overflow error; it does not round.
+and the variance is ``d/n - (r/n)^2``, which has no cancellation to speak of.
+
+Limits. Amounts are rounded to ``scale`` decimals; those of more than ``2**53`` units are as exact as a double is. A
+finite amount never becomes null: one of more than 28 digits in units, and squares of a group that sum to ``10**38``
+units or more, end the job with an error.
 """
 
 from __future__ import annotations
@@ -17,25 +18,35 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 DEFAULT_SCALE = 4
+UNITS = "decimal(28,0)"
+SUMS = "decimal(38,0)"
 
 
 def units(amount: Column, scale: int = DEFAULT_SCALE) -> Column:
-    """Amount in whole units of ``10**-scale``; null when it is not a finite number."""
-    scaled = F.rint(amount.try_cast("double") * float(10**scale))
-    return scaled.try_cast("bigint").try_cast("decimal(18,0)")
+    """Amount in whole units of ``10**-scale``; null only where there is no finite number."""
+    number = amount.try_cast("double")
+    finite = F.coalesce(F.abs(number) < float("inf"), F.lit(False)) & ~F.isnan(number)
+    whole = F.rint(number * float(10**scale)).try_cast(UNITS)
+    too_big = F.raise_error(F.concat(F.lit("amount out of range: "), number.cast("string"))).cast(UNITS)
+    return F.when(finite, F.coalesce(whole, too_big))
+
+
+def _kept(total: Column, n: Column) -> Column:
+    """A sum that overflowed ends the job even where the session turns overflows into nulls."""
+    return F.when(n > 0, F.coalesce(total, F.raise_error(F.lit("sum of amounts out of range")).cast(SUMS)))
 
 
 def sum_units(u: Column) -> Column:
-    return F.sum(u)
+    return _kept(F.sum(u).cast(SUMS), F.count(u))
 
 
 def sum_squares(u: Column) -> Column:
-    return F.sum(u * u)
+    return _kept(F.sum(u * u).cast(SUMS), F.count(u))
 
 
 def _centred(n: Column, s: Column, ss: Column) -> tuple[Column, Column, Column]:
     count = n.cast("decimal(20,0)")
-    q = F.round(s.cast("double") / F.when(n > 0, n)).cast("decimal(18,0)")
+    q = F.round(s.cast("double") / F.when(n > 0, n)).cast(UNITS)
     r = s - q * count
     d = ss - q * (s + r)
     return count, r, d
@@ -50,14 +61,16 @@ def variance(n: Column, s: Column, ss: Column, scale: int = DEFAULT_SCALE) -> Co
 
 
 def spread(n: Column, s: Column, ss: Column) -> Column:
-    """``n^2`` times the variance as an exact whole number: orders groups of equal ``n`` by variance."""
-    count, r, d = _centred(n, s, ss)
-    return (count * d - r * r).cast("decimal(38,0)")
-
+    """Orders groups of equal ``n`` by their exact variance, without the product of ``n`` and the sum of squares.
 
-def variance_of_spread(spread_value: Column, n: Column, scale: int = DEFAULT_SCALE) -> Column:
-    """The variance that a ``spread`` stands for."""
-    return spread_value.cast("double") / (n * n).cast("double") / float(10 ** (2 * scale))
+    With ``r * r = k * n + rest`` the variance is ``(n * (d - k) - rest) / n^2``, so ``d - k`` decides, and of equals
+    the larger rest is the smaller variance.
+    """
+    count, r, d = _centred(n, s, ss)
+    square = r * r
+    rest = (square % count).cast(SUMS)
+    k = ((square - rest) / count).cast(SUMS)
+    return F.struct((d - k).cast(SUMS).alias("lead"), (-rest).alias("rest"))
 
 
 def stddev(n: Column, s: Column, ss: Column, scale: int = DEFAULT_SCALE) -> Column:

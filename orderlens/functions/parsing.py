@@ -15,11 +15,19 @@ def _check(malformed: str) -> None:
 
 
 def parse_date(c: Column, malformed: str = "null", pattern: str = DATE_PATTERN) -> Column:
-    """Text to date. Days that do not exist (02-30-22) are malformed, not moved to the month's end."""
+    """Text to date. Days that do not exist (02-30-22) are malformed; ``parse_date_leniently`` takes them."""
     _check(malformed)
     return F.try_to_date(c, pattern) if malformed == "null" else F.to_date(c, pattern)
 
 
+def parse_date_leniently(c: Column) -> Column:
+    """``MM-dd-yy`` text to a date of 2000 to 2099; days 29 to 31 that a month lacks are its last day. Else null."""
+    parts = [F.regexp_extract(c, r"^(\d\d)-(\d\d)-(\d\d)$", i) for i in (1, 2, 3)]
+    first = F.try_to_date(F.concat(F.lit("20"), parts[2], F.lit("-"), parts[0], F.lit("-01")), "yyyy-MM-dd")
+    day = parts[1].try_cast("int")
+    return F.when(day.between(1, 31), F.date_add(first, F.least(day, F.dayofmonth(F.last_day(first))) - 1))
+
+
 def parse_double(c: Column, malformed: str = "null") -> Column:
     _check(malformed)
     return c.try_cast("double") if malformed == "null" else c.cast("double")

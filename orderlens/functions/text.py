@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -43,9 +45,12 @@ def size_rank(c: Column) -> Column:
 
 
 def tokens(c: Column, separator: str = ",") -> Column:
-    """Split a separated list, trim each token of spaces, drop the blank ones, keep duplicates. Null gives []."""
-    parts = F.split(F.trim(F.coalesce(c, F.lit(""))), f" *{separator} *")
-    return F.array_remove(parts, "")
+    """Split a separated list, trim each token of spaces, drop the blank ones, keep duplicates. Null gives [].
+
+    The separator is plain text, whatever it means in a regular expression.
+    """
+    parts = F.split(F.coalesce(c, F.lit("")), re.escape(separator))
+    return F.array_remove(F.transform(parts, lambda part: F.trim(part)), "")
 
 
 def distinct_tokens(c: Column, separator: str = ",") -> Column:

@@ -9,6 +9,7 @@ from orderlens.operators.checks import (
 )
 from orderlens.operators.comparison import (
     changed_groups,
+    compare_columns,
     compare_levels,
     compare_methods,
     summarize_comparison,
@@ -16,7 +17,7 @@ from orderlens.operators.comparison import (
     timing_summary,
     top_changes,
 )
-from orderlens.operators.lookup import Lookup, as_lookup, lookup_join, stage
+from orderlens.operators.lookup import Lookup, Workspace, lookup_join, staged
 from orderlens.operators.percentiles import (
     approx_thresholds,
     exact_thresholds,
@@ -52,13 +53,14 @@ from orderlens.operators.windows import (
 
 __all__ = [
     "Lookup",
+    "Workspace",
     "approx_thresholds",
-    "as_lookup",
     "assert_unique_key",
     "below_benchmark",
     "below_benchmark_percentage",
     "benchmark_averages",
     "changed_groups",
+    "compare_columns",
     "compare_levels",
     "compare_methods",
     "daily_cells",
@@ -81,7 +83,7 @@ __all__ = [
     "qualifying_styles",
     "quality_profile",
     "rows_per_method",
-    "stage",
+    "staged",
     "style_variety",
     "summarize_comparison",
     "tag_methods",

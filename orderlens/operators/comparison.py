@@ -13,16 +13,17 @@ LEVELS = ("p80", "p90")
 MEASURES = {"threshold": "{level}", "selected": "{level}_order_count", "stddev": "{level}_stddev"}
 
 
-def _level_struct(level: str) -> Column:
+def _level_struct(level: str, separator: str = ".") -> Column:
     sides = {
-        f"{side}_{name}": F.col(f"{side}.{column.format(level=level)}")
+        f"{side}_{name}": F.col(side + separator + column.format(level=level))
         for name, column in MEASURES.items()
         for side in ("approx", "exact")
     }
+    count = F.col("approx.order_count" if separator == "." else "order_count")
     gap = {name: F.abs(sides[f"approx_{name}"] - sides[f"exact_{name}"]) for name in MEASURES}
     return F.struct(
         F.lit(level.upper()).alias("percentile"),
-        F.col("approx.order_count").alias("order_count"),
+        count.alias("order_count"),
         *[column.alias(name) for name, column in sides.items()],
         gap["threshold"].alias("threshold_diff"),
         gap["selected"].alias("changed_order_count"),
@@ -30,6 +31,11 @@ def _level_struct(level: str) -> Column:
     )
 
 
+def compare_columns(both: DataFrame, keys: Sequence[str], levels: Sequence[str] = LEVELS) -> DataFrame:
+    """``compare_levels`` of one table with both methods' columns, named ``approx_...`` and ``exact_...``: no join."""
+    return both.select(*keys, F.inline(F.array(*[_level_struct(level, "_") for level in levels])))
+
+
 def compare_levels(
     approx: DataFrame, exact: DataFrame, keys: Sequence[str], levels: Sequence[str] = LEVELS
 ) -> DataFrame:

@@ -1,8 +1,11 @@
-"""Computing a small result once, and joining a big table to it."""
+"""Computing a small result once, and joining a big table to it.
+
+Operators are lazy and write nothing by themselves. A caller who wants a table that several steps share to be computed
+once opens a ``Workspace`` and passes it on; without one the steps are computed where they are used.
+"""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from dataclasses import dataclass
 
@@ -13,39 +16,6 @@ BROADCAST_BYTES = 32 * 1024 * 1024
 BROADCAST_SETTING = "spark.orderlens.broadcastBytes"
 
 
-def shared_folder(spark: SparkSession) -> str | None:
-    """The folder every executor can reach, as the session names it; a temporary one only on a local master."""
-    context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if not folder and context.master.startswith("local"):
-        folder = tempfile.mkdtemp(prefix="orderlens-")
-        context.setCheckpointDir(folder)
-        folder = context.getCheckpointDir()
-    return folder
-
-
-def fresh_path(spark: SparkSession, name: str) -> str:
-    folder = shared_folder(spark)
-    if not folder:
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
-    return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
-def stage(df: DataFrame, name: str = "stage") -> DataFrame:
-    """Write ``df`` to the shared folder and read it back, so that several consumers share one computation.
-
-    Meant for pre-aggregated tables, far smaller than their input. The copy is a Parquet table: it outlives lost
-    executors, readers prune its columns, and Spark knows its true size. Where the cluster names no shared folder
-    ``df`` itself comes back: the same result, computed once per consumer.
-    """
-    spark = df.sparkSession
-    if shared_folder(spark) is None:
-        return df
-    path = fresh_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 @dataclass(frozen=True)
 class Lookup:
     """A staged table with at most one row per key, and the bytes of its rows written out as text."""
@@ -60,27 +30,74 @@ class Lookup:
         return self.text_bytes <= max_bytes
 
 
-def as_lookup(df: DataFrame, name: str = "lookup") -> Lookup:
-    """Stage ``df`` and measure it on the way: the size is observed while the rows are written."""
-    spark = df.sparkSession
-    size = F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0)).alias("text_bytes")
-    if shared_folder(spark) is None:
-        return Lookup(df, df.agg(size).first()[0])
-    observation = Observation()
-    table = stage(df.observe(observation, size), name)
-    return Lookup(table, observation.get["text_bytes"])
+class Workspace:
+    """Tables kept in a folder that all executors reach, until the workspace closes. Use it in a ``with`` block.
+
+    What is read lazily from its tables must be computed before it closes.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.folder, self.paths = spark, folder.rstrip("/"), []
+
+    def path(self, name: str) -> str:
+        """A new path in the folder, dropped when the workspace closes."""
+        self.paths.append(f"{self.folder}/{name}-{uuid.uuid4().hex}")
+        return self.paths[-1]
+
+    def stage(self, df: DataFrame, name: str = "stage") -> DataFrame:
+        """Write ``df`` and read it back.
+
+        Meant for pre-aggregated tables, far smaller than their input. The copy is a Parquet table: it outlives lost
+        executors, readers prune its columns, and Spark knows its true size.
+        """
+        path = self.path(name)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def lookup(self, df: DataFrame, name: str = "lookup") -> Lookup:
+        """Stage ``df`` and measure it on the way: the size is observed while the rows are written."""
+        size = F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0)).alias("text_bytes")
+        observation = Observation()
+        return Lookup(self.stage(df.observe(observation, size), name), observation.get["text_bytes"])
+
+    def close(self) -> None:
+        hadoop = self.spark._jvm.org.apache.hadoop.fs
+        while self.paths:
+            path = hadoop.Path(self.paths.pop())
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+    def __enter__(self) -> Workspace:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        self.close()
+
+
+def staged(df: DataFrame, workspace: Workspace | None, name: str) -> DataFrame:
+    """``df`` kept in the workspace, or ``df`` itself without one."""
+    return df if workspace is None else workspace.stage(df, name)
 
 
 def lookup_join(
-    big: DataFrame, small: Lookup, on: str | list[str], how: str = "inner", max_bytes: int | None = None
+    big: DataFrame,
+    small: DataFrame | Lookup,
+    on: str | list[str],
+    how: str = "inner",
+    workspace: Workspace | None = None,
+    max_bytes: int | None = None,
 ) -> DataFrame:
     """Join to a lookup table.
 
-    When its measured size is within ``max_bytes`` it is broadcast, and ``big`` is not shuffled. Otherwise both
-    sides are shuffled on the key; both exchanges then sit right under the join, which is what adaptive execution
-    needs to split a key that holds a large share of ``big``. The session setting ``spark.orderlens.broadcastBytes``
-    replaces the default limit.
+    In a workspace the table is staged and measured. Within ``max_bytes`` it is broadcast, and ``big`` is not shuffled.
+    Beyond, both sides are shuffled on the key; both exchanges then sit right under the join, which is what adaptive
+    execution needs to split a key that holds a large share of ``big``. The session setting
+    ``spark.orderlens.broadcastBytes`` replaces the default limit. Without a workspace Spark chooses by its own
+    estimates, and adaptive execution by the sizes it meets.
     """
+    if isinstance(small, DataFrame):
+        if workspace is None:
+            return big.join(small, on, how)
+        small = workspace.lookup(small)
     if small.fits(max_bytes):
         return big.join(F.broadcast(small.table), on, how)
     return big.join(small.table.hint("merge"), on, how)

@@ -8,11 +8,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderlens.functions import moments
-from orderlens.operators.lookup import stage
 
 PROBABILITIES = (0.8, 0.9)
 ACCURACY = 10_000
-MAX_GROUP_VALUES = 1_000_000
+BINS = 4096
+LEVELS = 2
 
 
 def level_name(probability: float) -> str:
@@ -66,43 +66,37 @@ def approx_thresholds(
     return sketched.select(*keys, "order_count", *levels)
 
 
-def _groups_within(profile: DataFrame, keys: Sequence[str], limit: int) -> bool:
-    """Whether no group has more than ``limit`` rows. The whole table is counted first: a staged one knows its size."""
-    if profile.count() <= limit:
-        return True
-    return profile.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0] <= limit
+def _joined(left: DataFrame, right: DataFrame, names: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on columns where null equals null."""
+    renamed = right.withColumnsRenamed({name: f"_r_{name}" for name in names})
+    same = [F.col(name).eqNullSafe(F.col(f"_r_{name}")) for name in names]
+    return left.join(renamed, same, how).drop(*(f"_r_{name}" for name in names))
 
 
-def _running_counts(profile: DataFrame, keys: Sequence[str], value: str, max_group_values: int) -> DataFrame:
-    """``profile`` with ``_upto``, the rows of the group up to each value, and ``_total``, those of the whole group.
+def _narrowed(rows: DataFrame, cells: Sequence[str], value: str, name: str) -> DataFrame:
+    """The rows of the bins that hold a wanted position, with the bin as column ``name``.
 
-    A group with more than ``max_group_values`` distinct values is not sorted in one task: the table is then cut into
-    ranges of (keys, value), counted within each range, and shifted by what the group has in earlier ranges.
+    ``cells`` are split into ``BINS`` equal ranges between their smallest and largest finite value, so a row's bin
+    depends on its value and on exact aggregates only. ``_at`` lists the wanted positions of a row's group, ``_before``
+    how many of the group's rows lie below its cell, and then below its bin.
     """
-    # A null value is a row of its group but has no place in the sorted list.
-    placed = F.when(F.col(value).isNotNull(), F.col("n")).otherwise(0)
-    rows = profile.select(*keys, value, "n", placed.alias("_placed"))
-    group = Window.partitionBy(*keys)
-    start, here = Window.unboundedPreceding, Window.currentRow
-    if _groups_within(profile, keys, max_group_values):
-        return rows.withColumns(
-            {
-                "_upto": F.sum("_placed").over(group.orderBy(value).rowsBetween(start, here)),
-                "_total": F.sum("_placed").over(group),
-            }
-        )
-    ranges = stage(rows.repartitionByRange(*keys, value).withColumn("_range", F.spark_partition_id()), "ranges")
-    earlier = F.sum("_in_range").over(group.orderBy("_range").rowsBetween(start, -1))
-    shifts = (
-        ranges.groupBy(*keys, "_range")
-        .agg(F.sum("_placed").alias("_in_range"))
-        .withColumns({"_before": F.coalesce(earlier, F.lit(0)), "_total": F.sum("_in_range").over(group)})
-        .drop("_in_range")
+    x = F.col(value).cast("double")
+    half = F.when(F.abs(x) < float("inf"), x / 2)  # halved, so that the width of a range is finite
+    edges = rows.groupBy(*cells).agg(F.min(half).alias("_low"), F.max(half).alias("_high"))
+    low, high = F.col("_low"), F.col("_high")
+    share = F.floor((x / 2 - low) / (high - low) * BINS)
+    number = F.when(F.isnan(x), BINS + 1).when(x == float("inf"), BINS).when(x == float("-inf"), -1)
+    number = number.when(high > low, F.least(share, F.lit(BINS - 1))).otherwise(0)
+    placed = _joined(rows, edges, cells).withColumn(name, number.cast("int")).drop("_low", "_high")
+
+    counts = placed.groupBy(*cells, name).agg(
+        F.sum("n").alias("_in"), F.max("_before").alias("_before"), F.max("_at").alias("_at")
     )
-    same = [F.col(f"l.{name}").eqNullSafe(F.col(f"r.{name}")) for name in (*keys, "_range")]
-    joined = ranges.alias("l").join(shifts.alias("r"), same).select("l.*", "_before", "_total")
-    within = Window.partitionBy(*keys, "_range").orderBy(value).rowsBetween(start, here)
-    return joined.withColumn("_upto", F.col("_before") + F.sum("_placed").over(within))
+    below = Window.partitionBy(*cells).orderBy(name).rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.withColumn("_start", F.col("_before") + F.coalesce(F.sum("_in").over(below), F.lit(0)))
+    wanted = F.exists("_at", lambda at: (at >= F.col("_start")) & (at < F.col("_start") + F.col("_in")))
+    kept = starts.where(wanted).select(*cells, name, "_start")
+    return _joined(placed.drop("_before"), kept, [*cells, name]).withColumnRenamed("_start", "_before")
 
 
 def profile_thresholds(
@@ -110,28 +104,38 @@ def profile_thresholds(
     keys: Sequence[str],
     value: str = "promotion_count",
     probs: Sequence[float] = PROBABILITIES,
-    max_group_values: int = MAX_GROUP_VALUES,
 ) -> DataFrame:
-    """Exact interpolated percentiles from a staged ``value_profile``.
+    """Exact interpolated percentiles from a ``value_profile``.
 
-    The value at sorted position i is the first whose running count exceeds i, so the sorted list is never built.
+    The value at sorted position i is the first whose running count exceeds i, so the sorted list is never built. Nor
+    are all of a group's values sorted: they are counted by range, twice, each time keeping only the ranges that hold
+    a wanted position; what is left is sorted.
     """
     names = [level_name(p) for p in probs]
-    picks: list[Column] = []
-    levels: list[Column] = []
-    for p, name in zip(probs, names, strict=True):
-        position = (F.col("_total").cast("double") - 1.0) * float(p)
-        for end, index in (("lo", F.floor(position)), ("hi", F.ceil(position))):
-            reached = F.col(value).isNotNull() & (F.col("_upto") > index)
-            picks.append(F.min(F.when(reached, F.col(value))).cast("double").alias(f"_{end}_{name}"))
-        lower, upper = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
-        levels.append((lower + (position - F.floor(position)) * (upper - lower)).alias(name))
-    return (
-        _running_counts(profile, keys, value, max_group_values)
-        .groupBy(*keys)
-        .agg(F.sum("n").alias("order_count"), F.max("_total").alias("_total"), *picks)
-        .select(*keys, "order_count", *levels)
-    )
+    # A null value is a row of its group but has no place in the sorted list.
+    placed = F.when(F.col(value).isNotNull(), F.col("n")).otherwise(0)
+    totals = profile.groupBy(*keys).agg(F.sum("n").alias("order_count"), F.sum(placed).alias("_total"))
+    positions = [(F.col("_total").cast("double") - 1.0) * float(p) for p in probs]
+    ends = [end(position).cast("bigint") for position in positions for end in (F.floor, F.ceil)]
+    wanted = totals.select(*keys, F.array(*ends).alias("_at"), F.lit(0).cast("bigint").alias("_before"))
+
+    rows = _joined(profile.where(F.col(value).isNotNull()).select(*keys, value, "n"), wanted, keys)
+    cells = list(keys)
+    for level in range(LEVELS):
+        rows = _narrowed(rows, cells, value, f"_bin{level}")
+        cells.append(f"_bin{level}")
+    within = Window.partitionBy(*cells).orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    upto = F.col("_before") + F.sum("n").over(within)
+    picks = [
+        F.min(F.when(F.col("_upto") > F.col("_at")[i], F.col(value))).cast("double").alias(f"_pick{i}")
+        for i in range(2 * len(names))
+    ]
+    found = rows.withColumn("_upto", upto).groupBy(*keys).agg(*picks)
+    levels = [
+        (F.col(f"_pick{2 * i}") + (at - F.floor(at)) * (F.col(f"_pick{2 * i + 1}") - F.col(f"_pick{2 * i}"))).alias(name)
+        for i, (name, at) in enumerate(zip(names, positions, strict=True))
+    ]
+    return _joined(totals, found, keys, "left").select(*keys, "order_count", *levels)
 
 
 def exact_thresholds(
@@ -141,7 +145,7 @@ def exact_thresholds(
     probs: Sequence[float] = PROBABILITIES,
 ) -> DataFrame:
     """Rows and exact percentiles per group: linear between the two values around position (n - 1) * p."""
-    return profile_thresholds(stage(value_profile(df, keys, value), "profile"), keys, value, probs)
+    return profile_thresholds(value_profile(df, keys, value), keys, value, probs)
 
 
 def profile_statistics(
@@ -149,15 +153,17 @@ def profile_statistics(
     thresholds: DataFrame,
     keys: Sequence[str],
     value: str = "promotion_count",
-    probs: Sequence[float] = PROBABILITIES,
+    levels: Sequence[str] = ("p80", "p90"),
     scale: int = moments.DEFAULT_SCALE,
 ) -> DataFrame:
-    """``threshold_statistics`` from a ``value_profile`` made with an amount."""
-    names = [level_name(p) for p in probs]
+    """``threshold_statistics`` from a ``value_profile`` made with an amount, for the named columns of thresholds.
+
+    One join and one aggregation, however many levels there are.
+    """
     joined = profile.join(thresholds, list(keys), "inner")
     sums: list[Column] = []
     shown: list[Column] = []
-    for name in names:
+    for name in levels:
         reached = F.col(value) >= F.col(name)
         for measure in ("n", "n_amount", "s", "ss"):
             sums.append(F.sum(F.when(reached, F.col(measure))).alias(f"_{name}_{measure}"))
@@ -165,13 +171,13 @@ def profile_statistics(
         shown += [
             F.coalesce(count, F.lit(0)).alias(f"{name}_order_count"),
             F.coalesce(n, F.lit(0)).alias(f"{name}_amount_count"),
-            F.coalesce(
-                moments.stddev(n, s.cast("decimal(28,0)"), ss.cast("decimal(38,0)"), scale), F.lit(0.0)
-            ).alias(f"{name}_stddev"),
+            F.coalesce(moments.stddev(n, s.cast(moments.SUMS), ss.cast(moments.SUMS), scale), F.lit(0.0)).alias(
+                f"{name}_stddev"
+            ),
         ]
     # One value per group: carried along rather than grouped by, so that the keys alone decide the partitioning.
-    carried = [F.max(name).alias(name) for name in ("order_count", *names)]
-    return joined.groupBy(*keys).agg(*carried, *sums).select(*keys, "order_count", *names, *shown)
+    carried = [F.max(name).alias(name) for name in ("order_count", *levels)]
+    return joined.groupBy(*keys).agg(*carried, *sums).select(*keys, "order_count", *levels, *shown)
 
 
 def threshold_statistics(
@@ -193,7 +199,7 @@ def threshold_statistics(
     for k in keys:
         known = known.where(F.col(k).isNotNull())
     profile = value_profile(known, keys, value, amount, scale)
-    return profile_statistics(profile, thresholds, keys, value, probs, scale)
+    return profile_statistics(profile, thresholds, keys, value, [level_name(p) for p in probs], scale)
 
 
 def group_sizes(df: DataFrame, keys: Sequence[str], large: int = 1000) -> DataFrame:

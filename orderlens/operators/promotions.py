@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from orderlens.functions import moments
 from orderlens.functions.text import distinct_tokens
-from orderlens.operators.lookup import as_lookup, lookup_join
+from orderlens.operators.lookup import Workspace, lookup_join
 
 MIN_ACTIVE_DAYS = 2
 MIN_PROMOTIONS = 3
@@ -42,28 +42,33 @@ def valid_promotions(
 
 
 def valid_promotion_counts(
-    appearances: DataFrame, valid: DataFrame, min_count: int = MIN_PROMOTIONS, order: str = "order_id"
+    appearances: DataFrame,
+    valid: DataFrame,
+    min_count: int = MIN_PROMOTIONS,
+    order: str = "order_id",
+    workspace: Workspace | None = None,
 ) -> DataFrame:
     """Appearances of valid promotions per order, for orders with at least ``min_count``.
 
-    The valid list is staged and measured. If broadcast, the appearances are never shuffled one by one: each task
-    counts its own per order first. If it is too big, adaptive execution splits promotions that are everywhere.
+    If the valid list is broadcast, the appearances are never shuffled one by one: each task counts its own per order
+    first. If it is too big, adaptive execution splits promotions that are everywhere.
     """
-    listed = as_lookup(valid.select("promotion_id"), "valid")
     return (
-        lookup_join(appearances, listed, "promotion_id")
+        lookup_join(appearances, valid.select("promotion_id"), "promotion_id", workspace=workspace)
         .groupBy(order)
         .agg(F.count(F.lit(1)).alias("valid_promotion_count"))
         .where(F.col("valid_promotion_count") >= min_count)
     )
 
 
-def is_merchant_shipped(fulfilment: str = "fulfilment", courier_status: str = "courier_status") -> Column:
-    return (F.col(fulfilment) == "merchant") & (F.col(courier_status) == "shipped")
+def is_merchant_shipped(fulfilment: Column, courier_status: Column) -> Column:
+    """Of lower-case texts; never null."""
+    return F.coalesce((fulfilment == "merchant") & (courier_status == "shipped"), F.lit(False))
 
 
-def is_cancelled_standard(status: str = "status", service_level: str = "service_level") -> Column:
-    return (F.col(service_level) == "standard") & F.col(status).contains("cancelled")
+def is_cancelled_standard(status: Column, service_level: Column) -> Column:
+    """Of lower-case texts; never null."""
+    return F.coalesce((service_level == "standard") & status.contains("cancelled"), F.lit(False))
 
 
 def benchmark_averages(
@@ -85,15 +90,16 @@ def below_benchmark(
     key: str = "state",
     amount: str = "amount",
     scale: int = moments.DEFAULT_SCALE,
+    workspace: Workspace | None = None,
 ) -> DataFrame:
     """Add ``below_benchmark``: the amount, 0 if null, is less than its key's average. False without an average.
 
     ``amount < s/n`` is tested as ``amount * n < s`` on whole numbers, so an amount equal to it is never below.
     """
-    u = F.coalesce(moments.units(F.col(amount), scale), F.lit(0).cast("decimal(18,0)"))
-    table = as_lookup(averages.select(key, F.col("n").alias("_n"), F.col("s").alias("_s")), "averages")
+    u = F.coalesce(moments.units(F.col(amount), scale), F.lit(0).cast(moments.UNITS))
+    table = averages.select(key, F.col("n").alias("_n"), F.col("s").alias("_s"))
     return (
-        lookup_join(records, table, key, "left")
+        lookup_join(records, table, key, "left", workspace)
         .withColumn("below_benchmark", F.coalesce(u * F.col("_n").cast("decimal(20,0)") < F.col("_s"), F.lit(False)))
         .drop("_n", "_s")
     )
@@ -109,6 +115,7 @@ def qualifying_share(
     amount: str = "amount",
     min_count: int = MIN_PROMOTIONS,
     scale: int = moments.DEFAULT_SCALE,
+    workspace: Workspace | None = None,
 ) -> DataFrame:
     """Per group: all records, and those below their benchmark whose order has ``min_count`` valid promotions.
 
@@ -116,7 +123,7 @@ def qualifying_share(
     id that many records share (blank ids do that), so the join on the order has no hot key.
     """
     per_order = (
-        below_benchmark(records.where(F.col(group).isNotNull()), averages, key, amount, scale)
+        below_benchmark(records.where(F.col(group).isNotNull()), averages, key, amount, scale, workspace)
         .groupBy(order, group)
         .agg(F.count(F.lit(1)).alias("records"), F.count_if("below_benchmark").alias("below"))
     )
@@ -141,8 +148,9 @@ def below_benchmark_percentage(
     amount: str = "amount",
     min_count: int = MIN_PROMOTIONS,
     scale: int = moments.DEFAULT_SCALE,
+    workspace: Workspace | None = None,
 ) -> DataFrame:
     """Percentage of each group's records that qualify. See ``qualifying_share``."""
-    share = qualifying_share(records, counts, averages, group, key, order, amount, min_count, scale)
+    share = qualifying_share(records, counts, averages, group, key, order, amount, min_count, scale, workspace)
     ratio = F.col("qualifying_records").cast("double") / F.col("total_records").cast("double")
     return share.select(group, (ratio * 100.0).alias("percentage"))

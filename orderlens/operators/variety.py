@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderlens.functions.text import BIG_SIZE_RANK, has_text, size_rank
-from orderlens.operators.lookup import as_lookup, lookup_join, stage
+from orderlens.operators.lookup import Workspace, lookup_join, staged
 
 
 def is_big_size(size: Column, min_rank: int = BIG_SIZE_RANK) -> Column:
@@ -53,21 +53,23 @@ def median_variety(
     item: str = "sku",
     qualifies: Column | None = None,
     styles: DataFrame | None = None,
+    workspace: Workspace | None = None,
 ) -> DataFrame:
     """Median, over the styles allowed, of the distinct items per (period, group).
 
     The styles are those in ``styles``, or those with a row that meets ``qualifies`` (default: size XXL or bigger).
-    The latter are found in the same pass over ``records`` that counts the items. Given styles filter the rows before
-    the first shuffle if they can be broadcast, and otherwise the counts, which are far fewer than the rows.
+    The latter are found in the counts themselves, without another pass over ``records`` where a workspace keeps them.
+    Given styles filter the rows before the first shuffle if they were measured and can be broadcast; otherwise the
+    counts, which are far fewer than the rows.
     """
     if styles is None:
         rule = is_big_size(F.col("size")) if qualifies is None else qualifies
-        counted = stage(style_variety(records, period, group, style, item, rule), "variety")
-        allowed = as_lookup(counted.where("qualifies").select(style).distinct(), "styles")
-        kept = lookup_join(counted, allowed, style, "left_semi")
+        counted = staged(style_variety(records, period, group, style, item, rule), workspace, "variety")
+        kept = lookup_join(counted, counted.where("qualifies").select(style).distinct(), style, "left_semi", workspace)
     else:
-        allowed = as_lookup(styles.select(style).distinct(), "styles")
-        if allowed.fits():
+        listed = styles.select(style).distinct()
+        allowed = listed if workspace is None else workspace.lookup(listed, "styles")
+        if workspace is not None and allowed.fits():
             kept = style_variety(lookup_join(records, allowed, style, "left_semi"), period, group, style, item)
         else:
             kept = lookup_join(style_variety(records, period, group, style, item), allowed, style, "left_semi")

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderlens.functions import moments
 from orderlens.functions.text import has_text
 from orderlens.operators.checks import quality_profile
-from orderlens.operators.lookup import as_lookup, lookup_join, stage
+from orderlens.operators.lookup import Workspace, lookup_join, staged
 
 THRESHOLD = 10_000
 SHORT_DAYS = 5
@@ -43,7 +43,7 @@ def daily_cells(
     amount is 0.
     """
     u = moments.units(F.col(amount), scale)
-    filled = F.coalesce(u, F.lit(0).cast("decimal(18,0)"))
+    filled = F.coalesce(u, F.lit(0).cast(moments.UNITS))
     return (
         bought.where(has_text(F.col(key)))
         .select(key, date, category, u.isNull().alias("_missing"), filled.alias("_u"))
@@ -62,12 +62,19 @@ def _placed(date: str, category: str) -> Column:
 
 
 def _with_length(
-    cells: DataFrame, key: str, totals: DataFrame | None, threshold: int, short: int, long: int, how: str = "inner"
+    cells: DataFrame,
+    key: str,
+    totals: DataFrame | None,
+    threshold: int,
+    short: int,
+    long: int,
+    how: str = "inner",
+    workspace: Workspace | None = None,
 ) -> DataFrame:
     if totals is None:
         totals = cells.groupBy(key).agg(F.sum("n").alias("n"))
     lengths = totals.select(key, window_length(F.col("n"), threshold, short, long).alias("_length"))
-    return lookup_join(cells, as_lookup(lengths, "lengths"), key, how)
+    return lookup_join(cells, lengths, key, how, workspace)
 
 
 def _block(day: Column, block_days: int) -> Column:
@@ -86,6 +93,7 @@ def trailing_buckets(
     totals: DataFrame | None = None,
     scale: int = moments.DEFAULT_SCALE,
     block_days: int = BLOCK_DAYS,
+    workspace: Workspace | None = None,
 ) -> DataFrame:
     """Count and moments per (key, window_date, category), over the ``length`` days before each window date.
 
@@ -93,19 +101,19 @@ def trailing_buckets(
     reach have no row. ``totals`` (key, n) sets the lengths if given, and drops keys that it lacks; else the counts
     come from ``bought``.
 
-    The rows are reduced to daily cells first, and only those fan out. They are shuffled by (key, block of days): a
-    cell goes to the one or two blocks that its window dates fall in, and spreads to single dates inside the task.
-    So the shuffle moves little more than one copy of each cell, a busy key is split by time, and the aggregation
-    here and the ranking in ``pick_winners`` need no further shuffle.
+    The rows are reduced to daily cells first, and only those fan out. They are shuffled by (key, block of days,
+    category): a cell goes to the one or two blocks that its window dates fall in, and spreads to single dates inside
+    the task. So the shuffle moves little more than one copy of each cell, a busy key is split by time and category,
+    and the aggregation here needs no further shuffle.
     """
-    cells = stage(daily_cells(bought, key, date, category, amount, scale), "cells")
-    sized = _with_length(cells, key, totals, threshold, short, long).where(_placed(date, category))
+    cells = staged(daily_cells(bought, key, date, category, amount, scale), workspace, "cells")
+    sized = _with_length(cells, key, totals, threshold, short, long, workspace=workspace).where(_placed(date, category))
     first = F.unix_date(date) + 1
     last = F.unix_date(date) + F.col("_length")
     block_start = F.col("block") * block_days
     return (
         sized.withColumn("block", F.explode(F.sequence(_block(first, block_days), _block(last, block_days))))
-        .repartition(key, "block")
+        .repartition(key, "block", category)
         .withColumn(
             "_day",
             F.explode(F.sequence(F.greatest(first, block_start), F.least(last, block_start + (block_days - 1)))),
@@ -114,12 +122,11 @@ def trailing_buckets(
         .agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum("ss").alias("ss"))
         .select(
             key,
-            "block",
             F.date_from_unix_date("_day").alias("window_date"),
             category,
             "n",
-            F.col("s").cast("decimal(28,0)").alias("s"),
-            F.col("ss").cast("decimal(38,0)").alias("ss"),
+            F.col("s").cast(moments.SUMS).alias("s"),
+            F.col("ss").cast(moments.SUMS).alias("ss"),
         )
     )
 
@@ -129,22 +136,18 @@ def pick_winners(
 ) -> DataFrame:
     """The most frequent category per (key, window_date); ties go to the lower variance, then to the lower name.
 
-    Equal frequencies make ``n^2 * variance`` order the tie exactly as the variance does, so the tie-break compares
-    whole numbers; the variance is reported as double.
+    The best is a minimum, so it is merged from partial ones and no task holds all categories of a window. The
+    tie-break compares whole numbers; the variance is reported as double.
     """
     n, s, ss = F.col("n"), F.col("s"), F.col("ss")
-    best_first = Window.partitionBy(key, "block", "window_date").orderBy(n.desc(), F.col("_spread"), F.col(category))
-    return (
-        buckets.withColumn("_spread", moments.spread(n, s, ss))
-        .withColumn("_rank", F.row_number().over(best_first))
-        .where(F.col("_rank") == 1)
-        .select(
-            key,
-            "window_date",
-            F.col(category).alias(f"most_bought_{category}"),
-            n.alias("frequency"),
-            moments.variance_of_spread(F.col("_spread"), n, scale).alias("population_variance"),
-        )
+    place = F.struct((-n).alias("minus"), moments.spread(n, s, ss).alias("spread"), category, "n", "s", "ss")
+    best = buckets.groupBy(key, "window_date").agg(F.min(place).alias("best")).select(key, "window_date", "best.*")
+    return best.select(
+        key,
+        "window_date",
+        F.col(category).alias(f"most_bought_{category}"),
+        n.alias("frequency"),
+        moments.variance(n, s, ss, scale).alias("population_variance"),
     )
 
 
@@ -159,9 +162,12 @@ def trailing_window_winner(
     long: int = LONG_DAYS,
     totals: DataFrame | None = None,
     scale: int = moments.DEFAULT_SCALE,
+    workspace: Workspace | None = None,
 ) -> DataFrame:
     """For each key and date: the category bought most in the days before. See ``trailing_buckets``."""
-    buckets = trailing_buckets(bought, key, date, category, amount, threshold, short, long, totals, scale)
+    buckets = trailing_buckets(
+        bought, key, date, category, amount, threshold, short, long, totals, scale, workspace=workspace
+    )
     return pick_winners(buckets, key, category, scale)
 
 
@@ -175,10 +181,12 @@ def window_quality(
     short: int = SHORT_DAYS,
     long: int = LONG_DAYS,
     totals: DataFrame | None = None,
+    scale: int = moments.DEFAULT_SCALE,
+    workspace: Workspace | None = None,
 ) -> DataFrame:
     """What the window job used and skipped, as rows (rule, rows)."""
-    cells = stage(daily_cells(bought, key, date, category, amount), "cells")
-    sized = _with_length(cells, key, totals, threshold, short, long, "left").where(has_text(F.col(category)))
+    cells = staged(daily_cells(bought, key, date, category, amount, scale), workspace, "cells")
+    sized = _with_length(cells, key, totals, threshold, short, long, "left", workspace).where(has_text(F.col(category)))
     dated, known = F.col(date).isNotNull(), F.col("_length").isNotNull()
     used = dated & known
     counters = {

@@ -2,19 +2,21 @@
 
     spark-submit --py-files orderlens.zip orderlens/plans/jobs.py percentiles IN OUT
 
-Set ``spark.checkpoint.dir`` to a folder that all executors reach; small pre-aggregated tables are kept there.
+With ``--workspace``, a folder that all executors reach, pre-aggregated tables are kept there while a job runs.
 """
 
 from __future__ import annotations
 
 import argparse
 from collections.abc import Sequence
+from contextlib import ExitStack
 
 from pyspark.sql import DataFrame, SparkSession
 
+from orderlens.functions.moments import DEFAULT_SCALE
 from orderlens.operators.checks import assert_unique_key
 from orderlens.operators.comparison import summarize_comparison, top_changes
-from orderlens.operators.lookup import stage
+from orderlens.operators.lookup import Workspace
 from orderlens.operators.percentiles import ACCURACY, group_sizes
 from orderlens.operators.windows import LONG_DAYS, SHORT_DAYS, THRESHOLD
 from orderlens.plans import workloads
@@ -30,28 +32,42 @@ def winners(
     threshold: int = THRESHOLD,
     short: int = SHORT_DAYS,
     long: int = LONG_DAYS,
+    scale: int = DEFAULT_SCALE,
+    lenient: bool = True,
+    workspace: Workspace | None = None,
 ) -> None:
     """CSV by state and date: the size bought most in the days before."""
     rows = readers.read_sales_rows(spark, source, unescape_quotes=False)
-    report = workloads.trailing_winners(rows, threshold, short, long)
+    report = workloads.trailing_winners(rows, threshold, short, long, scale, lenient, workspace)
     writers.write_report(report, target, ["state", "window_date"], files)
 
 
-def medians(spark: SparkSession, source: str, target: str, files: int | None = None) -> None:
-    """CSV by month and state: the median variety of styles that come in XXL or bigger."""
-    report = workloads.variety_medians(readers.read_sales_rows(spark, source))
+def medians(
+    spark: SparkSession,
+    source: str,
+    target: str,
+    files: int | None = None,
+    scale: int = DEFAULT_SCALE,
+    lenient: bool = True,
+    workspace: Workspace | None = None,
+) -> None:
+    """CSV by month and state: the median variety of styles that come in XXL or bigger. ``scale`` has no part in it."""
+    report = workloads.variety_medians(readers.read_sales_rows(spark, source), lenient, workspace)
     writers.write_report(report, target, ["month", "state"], files)
 
 
 def percentages(
-    spark: SparkSession, source: str, target: str, files: int | None = None, malformed: str = "null"
+    spark: SparkSession,
+    source: str,
+    target: str,
+    files: int | None = None,
+    malformed: str = "null",
+    scale: int = DEFAULT_SCALE,
+    workspace: Workspace | None = None,
 ) -> None:
-    """Parquet by city: the percentage of cancelled standard records that qualify.
-
-    The analysis goes over its records four times; the CSV is parsed once and the needed columns staged.
-    """
-    rows = stage(promotion_records(readers.read_sales(spark, source), malformed), "records")
-    writers.write_results(workloads.percentages_of(rows), target, files)
+    """Parquet by city: the percentage of cancelled standard records that qualify."""
+    rows = promotion_records(readers.read_sales(spark, source), malformed)
+    writers.write_results(workloads.percentages_of(rows, scale, workspace), target, files)
 
 
 def percentiles(
@@ -61,21 +77,21 @@ def percentiles(
     files: int | None = None,
     malformed: str = "null",
     accuracy: int = ACCURACY,
+    scale: int = DEFAULT_SCALE,
+    workspace: Workspace | None = None,
 ) -> dict[str, DataFrame]:
-    """Parquet by SKU, month and method: thresholds and spreads. Returns the tables that describe the outcome.
-
-    The needed columns are parsed once and staged: the CSV itself is read a single time.
+    """Parquet by SKU, month and method: thresholds and spreads. Returns the tables that describe the outcome; with a
+    workspace, look at them before it closes.
     """
     rows = percentile_records(readers.read_sales_strict(spark, source), malformed)
-    rows = stage(rows.select(*workloads.GROUP, "promotion_count", "amount_value"), "records")
-    results = workloads.percentile_statistics(rows, accuracy=accuracy)
+    rows = rows.select(*workloads.GROUP, "promotion_count", "amount_value")
+    results = workloads.percentile_statistics(rows, accuracy=accuracy, scale=scale, workspace=workspace)
     writers.write_methods(results.approx, results.exact, target, files)
     assert_unique_key(readers.read_results(spark, target), [*workloads.GROUP, "method"])
-    comparison = stage(results.comparison, "comparison")
     return {
         "groups": group_sizes(rows, workloads.GROUP),
-        "summary": summarize_comparison(comparison),
-        "largest changes": top_changes(comparison, workloads.GROUP),
+        "summary": summarize_comparison(results.comparison),
+        "largest changes": top_changes(results.comparison, workloads.GROUP),
     }
 
 
@@ -88,12 +104,17 @@ def main(arguments: Sequence[str] | None = None) -> None:
     parser.add_argument("source", help="CSV file or folder")
     parser.add_argument("target", help="folder to (over)write")
     parser.add_argument("--files", type=int, help="number of output files; default: one per task")
+    parser.add_argument("--scale", type=int, default=DEFAULT_SCALE, help="decimals that amounts are kept to")
+    parser.add_argument("--workspace", help="shared folder for tables that live as long as the job")
     options = parser.parse_args(arguments)
     spark = SparkSession.builder.appName(f"orderlens-{options.job}").getOrCreate()
-    tables = JOBS[options.job](spark, options.source, options.target, options.files)
-    for title, table in (tables or {}).items():
-        print(title)
-        table.show(truncate=False)
+    with ExitStack() as stack:
+        kept = stack.enter_context(Workspace(spark, options.workspace)) if options.workspace else None
+        run = JOBS[options.job]
+        tables = run(spark, options.source, options.target, options.files, scale=options.scale, workspace=kept)
+        for title, table in (tables or {}).items():
+            print(title)
+            table.show(truncate=False)
 
 
 if __name__ == "__main__":

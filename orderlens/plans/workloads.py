@@ -7,11 +7,12 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from orderlens.functions.moments import DEFAULT_SCALE
 from orderlens.operators import percentiles as pct
 from orderlens.operators import promotions as promo
 from orderlens.operators.checks import quality_profile
-from orderlens.operators.comparison import compare_levels
-from orderlens.operators.lookup import as_lookup, lookup_join, stage
+from orderlens.operators.comparison import compare_columns
+from orderlens.operators.lookup import Workspace, lookup_join, staged
 from orderlens.operators.variety import is_big_size, median_variety, qualifying_styles
 from orderlens.operators.windows import LONG_DAYS, SHORT_DAYS, THRESHOLD, trailing_window_winner
 from orderlens.plans import records
@@ -20,38 +21,59 @@ GROUP = ("SKU", "year_month")
 
 
 def trailing_winners(
-    raw: DataFrame, threshold: int = THRESHOLD, short: int = SHORT_DAYS, long: int = LONG_DAYS
+    raw: DataFrame,
+    threshold: int = THRESHOLD,
+    short: int = SHORT_DAYS,
+    long: int = LONG_DAYS,
+    scale: int = DEFAULT_SCALE,
+    lenient: bool = True,
+    workspace: Workspace | None = None,
 ) -> DataFrame:
     """state, window_date, most_bought_size, frequency, population_variance."""
-    return trailing_window_winner(records.bought_records(raw), threshold=threshold, short=short, long=long)
+    rows = records.bought_records(raw, lenient)
+    return trailing_window_winner(
+        rows, threshold=threshold, short=short, long=long, scale=scale, workspace=workspace
+    )
 
 
-def variety_medians(raw: DataFrame) -> DataFrame:
+def variety_medians(raw: DataFrame, lenient: bool = True, workspace: Workspace | None = None) -> DataFrame:
     """month, state, median_variety."""
-    return median_variety(records.variety_records(raw))
+    return median_variety(records.variety_records(raw, lenient), workspace=workspace)
 
 
-def variety_quality(raw: DataFrame) -> DataFrame:
+def variety_quality(raw: DataFrame, lenient: bool = True, workspace: Workspace | None = None) -> DataFrame:
     """What the variety medians used and skipped, as rows (rule, rows)."""
-    rows = records.variety_records(raw)
+    rows = records.variety_records(raw, lenient)
     big = is_big_size(F.col("size"))
-    styles = as_lookup(qualifying_styles(rows, qualifies=big).withColumn("_valid", F.lit(True)), "styles")
-    marked = lookup_join(rows, styles, "style", "left")
+    styles = qualifying_styles(rows, qualifies=big).withColumn("_valid", F.lit(True))
+    marked = lookup_join(rows, styles, "style", "left", workspace)
     valid = F.coalesce(F.col("_valid"), F.lit(False))
     return quality_profile(marked, records.variety_rules(marked, big, valid))
 
 
-def promotion_percentages(raw: DataFrame, malformed: str = "null") -> DataFrame:
+def promotion_percentages(
+    raw: DataFrame, malformed: str = "null", scale: int = DEFAULT_SCALE, workspace: Workspace | None = None
+) -> DataFrame:
     """city, percentage: of cancelled standard records, those with 3 lasting promotions and a below-average amount."""
-    return percentages_of(records.promotion_records(raw, malformed))
+    return percentages_of(records.promotion_records(raw, malformed), scale, workspace)
+
 
+def percentages_of(orders: DataFrame, scale: int = DEFAULT_SCALE, workspace: Workspace | None = None) -> DataFrame:
+    """``promotion_percentages`` of ``records.promotion_records``.
 
-def percentages_of(orders: DataFrame) -> DataFrame:
-    """``promotion_percentages`` of records whose text is already trimmed and lower-cased."""
+    The records are read for the promotions' spans, for the orders' promotions, and for the amounts. In a workspace
+    the amounts of shipped and of cancelled records are one narrow table, without the promotion lists; else these two
+    are separate reads.
+    """
     appearances = promo.promotion_appearances(orders)
-    counts = promo.valid_promotion_counts(appearances, promo.valid_promotions(appearances))
-    averages = promo.benchmark_averages(orders.where(promo.is_merchant_shipped()))
-    return promo.below_benchmark_percentage(orders.where(promo.is_cancelled_standard()), counts, averages)
+    counts = promo.valid_promotion_counts(appearances, promo.valid_promotions(appearances), workspace=workspace)
+    amounts = orders.where("merchant_shipped OR cancelled_standard").drop("promotion_ids", "order_date")
+    if workspace is not None:
+        same = ("order_id", "city", "state", "amount", "merchant_shipped", "cancelled_standard")
+        amounts = workspace.stage(amounts.select(*same), "amounts")
+    averages = promo.benchmark_averages(amounts.where("merchant_shipped"), scale=scale)
+    cancelled = amounts.where("cancelled_standard")
+    return promo.below_benchmark_percentage(cancelled, counts, averages, scale=scale, workspace=workspace)
 
 
 @dataclass(frozen=True)
@@ -69,19 +91,31 @@ def percentile_statistics(
     value: str = "promotion_count",
     amount: str = "amount_value",
     accuracy: int = pct.ACCURACY,
+    scale: int = DEFAULT_SCALE,
+    workspace: Workspace | None = None,
 ) -> PercentileResults:
     """Thresholds and spread per group, approximate and exact, of ``records.percentile_records``.
 
-    The rows are read twice in all: once into the staged histogram, which serves the exact thresholds and both
-    methods' statistics, and once into the approximate sketches, which are staged too. Groups with a null key have no
-    part in any of the results.
+    The rows are folded into a histogram, which serves the exact thresholds and both methods' statistics, and read
+    once more for the approximate sketches. All four levels of a group stand side by side, so the histogram is joined
+    and aggregated once for both methods, and the comparison is a projection. A workspace keeps the histogram and the
+    outcome. Groups with a null key have no part in any of the results.
     """
     known = prepared
     for k in keys:
         known = known.where(F.col(k).isNotNull())
-    profile = stage(pct.value_profile(known, keys, value, amount), "profile")
-    approx_levels = stage(pct.approx_thresholds(known, keys, value, accuracy=accuracy), "levels")
-    exact_levels = pct.profile_thresholds(profile, keys, value)
-    approx = pct.profile_statistics(profile, approx_levels, keys, value)
-    exact = pct.profile_statistics(profile, exact_levels, keys, value)
-    return PercentileResults(approx, exact, compare_levels(approx, exact, keys))
+    names = [pct.level_name(p) for p in pct.PROBABILITIES]
+    profile = staged(pct.value_profile(known, keys, value, amount, scale), workspace, "profile")
+    approx = pct.approx_thresholds(known, keys, value, accuracy=accuracy)
+    exact = pct.profile_thresholds(profile, keys, value).drop("order_count")
+    levels = approx.withColumnsRenamed({name: f"approx_{name}" for name in names}).join(
+        exact.withColumnsRenamed({name: f"exact_{name}" for name in names}), list(keys)
+    )
+    sides = [f"{method}_{name}" for method in ("approx", "exact") for name in names]
+    both = staged(pct.profile_statistics(profile, levels, keys, value, sides, scale), workspace, "statistics")
+
+    def of(method: str) -> DataFrame:
+        mine = [name for name in both.columns if name.startswith(f"{method}_")]
+        return both.select(*keys, "order_count", *(F.col(name).alias(name.removeprefix(f"{method}_")) for name in mine))
+
+    return PercentileResults(of("approx"), of("exact"), compare_columns(both, keys))

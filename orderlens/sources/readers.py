@@ -33,15 +33,28 @@ def read_sales_strict(spark: SparkSession, path: str) -> DataFrame:
 def read_sales_lines(spark: SparkSession, path: str, unescape_quotes: bool = True) -> DataFrame:
     """Every line of headerless or many-headed CSV, with ``_corrupt`` holding the lines that are not 24 fields wide.
 
-    A doubled quote inside quotes becomes one quote, or stays as it is without ``unescape_quotes``. All fields are
-    parsed whatever the query uses: with column pruning on, Spark does not look at the width.
+    Commas and backslashes inside quotes have no meaning. A doubled quote inside quotes becomes one quote. Without
+    ``unescape_quotes`` it stays as it is: fields are then cut at the commas that an even number of quotes follows,
+    stripped, and freed of one quote at either end. All fields are parsed whatever the query uses: with column pruning
+    on, Spark does not look at the width.
     """
+    if not unescape_quotes:
+        return _cut_lines(spark.read.text(path))
     schema = StructType([*SALES_SCHEMA.fields, StructField(CORRUPT, StringType())])
     reader = spark.read.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
-    reader = reader.option("columnPruning", False)
-    if unescape_quotes:
-        reader = reader.option("escape", '"')
-    return reader.csv(path)
+    return reader.option("columnPruning", False).option("escape", '"').csv(path)
+
+
+def _cut_lines(lines: DataFrame) -> DataFrame:
+    """Lines (``value``) as fields. Reading backwards, a comma parts fields unless a quote is open."""
+    backwards = F.reverse("value")
+    open_quote = F.length(F.regexp_replace("value", '[^"]', "")) % 2 == 1
+    closed = F.concat(backwards, F.when(open_quote, '"').otherwise(""), F.lit(","))
+    parts = F.regexp_extract_all(closed, F.lit('((?:[^",]|"[^"]*+")*+),'), F.lit(1))
+    fields = F.transform(F.reverse(parts), lambda part: F.regexp_replace(strip(F.reverse(part)), '^"|"$', ""))
+    wide = F.size("fields") == len(SALES_COLUMNS)
+    columns = [F.get("fields", F.lit(i)).alias(name) for i, name in enumerate(SALES_COLUMNS)]
+    return lines.select("value", fields.alias("fields")).select(*columns, F.when(~wide, F.col("value")).alias(CORRUPT))
 
 
 def is_header() -> Column:

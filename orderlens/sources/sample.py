@@ -15,23 +15,12 @@ def load(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Deal the rows of a file with fewer splits than there are cores out to all cores.
-
-    A Parquet file of a single row group is one task, and so is all that follows up to the first shuffle. Inputs
-    with enough splits, which is any that needs a cluster, pass through as they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
-
-
 def sales(spark: SparkSession, folder: str) -> DataFrame:
     """One sales record per line item: 14 columns, typed.
 
     ``promotion_ids`` holds a blank, a repeat with a leading space and up to six equal bulk ids per record.
     """
     lineitem, orders, customer, nation, part = (load(spark, folder, t) for t in TABLES)
-    lineitem = spread(lineitem, "l_orderkey")
     day = F.col("l_shipdate").cast("date")
     month, iso_day = month_of(day), day.cast("string")
     flag, size = F.col("l_returnflag"), F.col("p_size")

@@ -1,4 +1,4 @@
-"""The analyses give the same rows when lookups are too big to broadcast, and when nothing can be staged."""
+"""The analyses give the same rows without a workspace, with one, and when lookups are too big to broadcast."""
 
 from __future__ import annotations
 
@@ -10,7 +10,6 @@ from tests.conftest import rows_of
 
 from orderlens import plans
 from orderlens.operators import lookup
-from orderlens.operators import percentiles as pct
 from orderlens.operators.variety import median_variety
 
 HOT = 3
@@ -52,40 +51,51 @@ def records(spark):
     return spark.createDataFrame(rows, ", ".join(f"`{n}` string" for n in names)).repartition(4)
 
 
-def medians_of_given_styles(raw):
+def medians_of_given_styles(raw, workspace):
     rows = plans.variety_records(raw)
-    return median_variety(rows, styles=rows.where("sku = 'SKU1'").select("style"))
+    return median_variety(rows, styles=rows.where("sku = 'SKU1'").select("style"), workspace=workspace)
 
 
-def percentile_rows(raw):
-    results = plans.percentile_statistics(plans.percentile_records(raw))
+def percentile_rows(raw, workspace):
+    results = plans.percentile_statistics(plans.percentile_records(raw), workspace=workspace)
     rounded = [F.round(c, 6) if t == "double" else F.col(c) for c, t in results.comparison.dtypes]
     return results.comparison.select(*rounded)
 
 
 ANALYSES = {
-    "winners": lambda raw: plans.trailing_winners(raw, threshold=60),
-    "medians": plans.variety_medians,
+    "winners": lambda raw, kept: plans.trailing_winners(raw, threshold=60, workspace=kept),
+    "medians": lambda raw, kept: plans.variety_medians(raw, workspace=kept),
     "medians of given styles": medians_of_given_styles,
-    "quality": plans.variety_quality,
-    "percentages": plans.promotion_percentages,
+    "quality": lambda raw, kept: plans.variety_quality(raw, workspace=kept),
+    "percentages": lambda raw, kept: plans.promotion_percentages(raw, workspace=kept),
     "percentiles": percentile_rows,
 }
 
 
 @pytest.mark.parametrize("name", ANALYSES)
-def test_same_rows(spark, records, monkeypatch, name):
+def test_same_rows(spark, records, tmp_path, name):
     run = ANALYSES[name]
-    expected = rows_of(run(records))
+    expected = rows_of(run(records, None))
     assert expected
-    spark.conf.set(lookup.BROADCAST_SETTING, "-1")
-    monkeypatch.setattr(pct.profile_thresholds, "__defaults__", (*pct.profile_thresholds.__defaults__[:-1], 0))
-    try:
-        assert rows_of(run(records)) == expected
-    finally:
-        spark.conf.unset(lookup.BROADCAST_SETTING)
-    monkeypatch.setattr(lookup, "shared_folder", lambda _: None)
-    assert rows_of(run(records)) == expected
+    for limit in (str(lookup.BROADCAST_BYTES), "-1"):
+        spark.conf.set(lookup.BROADCAST_SETTING, limit)
+        try:
+            with lookup.Workspace(spark, str(tmp_path)) as workspace:
+                assert rows_of(run(records, workspace)) == expected
+        finally:
+            spark.conf.unset(lookup.BROADCAST_SETTING)
+        assert not list(tmp_path.iterdir())
+
+
+def test_percentages_read_the_records_three_times(spark, records, tmp_path):
+    """Spans, orders' promotions, and amounts; the promotion lists are not copied."""
+    with lookup.Workspace(spark, str(tmp_path)) as workspace:
+        kept = plans.promotion_percentages(records, workspace=workspace)
+        plan = kept._jdf.queryExecution().optimizedPlan().toString()
+        # The spans are in the staged list of valid promotions and the amounts in their table: one read is left.
+        assert plan.count("LogicalRDD") + plan.count("LocalRelation") <= 1
+        (amounts,) = [p for p in workspace.paths if "amounts" in p]
+        assert "promotion_ids" not in spark.read.parquet(amounts).columns
 
 
 def order_share(rows):

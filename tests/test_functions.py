@@ -4,6 +4,7 @@ import datetime as dt
 import math
 import statistics
 from decimal import Decimal
+from fractions import Fraction
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -92,7 +93,7 @@ def moments_of(spark, amounts):
     return sums.select(
         moments.variance(n, s, ss).alias("v"),
         moments.stddev(n, s, ss).alias("sd"),
-        moments.variance_of_spread(spread, n).alias("w"),
+        spread.alias("w"),
     ).first()
 
 
@@ -102,10 +103,46 @@ def test_variance_is_the_population_variance(spark, amounts):
     exact = float(statistics.pvariance([Decimal(str(a)) for a in amounts]))
     v, sd, w = moments_of(spark, amounts)
     assert v == pytest.approx(exact, rel=1e-12, abs=1e-12)
-    assert w == pytest.approx(exact, rel=1e-12, abs=1e-12)
+    units, n = [int(Decimal(str(a)) * 10**4) for a in amounts], len(amounts)
+    assert n * w["lead"] + w["rest"] == n * sum(u * u for u in units) - sum(units) ** 2
     assert sd == pytest.approx(math.sqrt(exact), rel=1e-12, abs=1e-9)
 
 
 def test_equal_amounts_have_no_variance_at_all(spark):
-    assert tuple(moments_of(spark, [999999.99] * 7)) == (0.0, 0.0, 0.0)
-    assert tuple(moments_of(spark, [])) == (None, None, None)
+    assert tuple(moments_of(spark, [999999.99] * 7)) == (0.0, 0.0, (0, 0))
+    assert tuple(moments_of(spark, []))[:2] == (None, None)
+
+
+@pytest.mark.parametrize(
+    ("amounts", "scale"),
+    [([1e14, 10.0], 4), ([2e14, 5e14], 4), ([3e-5, 1e-5], 6), ([1e12 + i * 1e9 for i in range(4000)], 4)],
+    ids=["large", "larger", "fine", "many"],
+)
+def test_no_amount_is_dropped(spark, amounts, scale):
+    exact = [Fraction(a) for a in amounts]
+    df = spark.createDataFrame([(a,) for a in amounts], "a double").select(moments.units(F.col("a"), scale).alias("u"))
+    n, s, ss = (F.col(c) for c in ("n", "s", "ss"))
+    u = F.col("u")
+    sums = df.agg(F.count(u).alias("n"), moments.sum_units(u).alias("s"), moments.sum_squares(u).alias("ss"))
+    row = sums.select("n", "s", moments.variance(n, s, ss, scale).alias("v"), moments.spread(n, s, ss)).first()
+    mean = sum(exact) / len(exact)
+    assert row["n"] == len(amounts)
+    assert float(Fraction(row["s"]) / 10**scale / len(exact)) == pytest.approx(float(mean), rel=1e-12)
+    assert row["v"] == pytest.approx(float(sum((x - mean) ** 2 for x in exact) / len(exact)), rel=1e-9)
+
+
+@pytest.mark.parametrize("amounts", [[1e30], [9e18, 9e18]])
+def test_amounts_out_of_range_end_the_job(spark, amounts):
+    df = spark.createDataFrame([(a,) for a in amounts], "a double").select(moments.units(F.col("a")).alias("u"))
+    with pytest.raises(Exception, match="(?i)out of range|overflow|NUMERIC_VALUE_OUT_OF_RANGE"):
+        df.agg(moments.sum_squares(F.col("u"))).collect()
+
+
+def test_lenient_dates(spark):
+    values = ["02-30-22", "02-31-24", "04-31-22", "04-30-22", "13-01-22", "02-32-22", "2-30-22", "02-00-22", "", None]
+    found = column(spark, values, "string", parsing.parse_date_leniently)
+    assert found == [dt.date(2022, 2, 28), dt.date(2024, 2, 29), dt.date(2022, 4, 30), dt.date(2022, 4, 30), *[None] * 6]
+
+
+def test_separators_are_plain_text(spark):
+    assert column(spark, ["a|b| c", " |", None], "string", lambda c: text.tokens(c, "|")) == [["a", "b", "c"], [], []]

@@ -11,7 +11,7 @@ from tests.conftest import rows_of
 
 from orderlens.operators import comparison as cmp
 from orderlens.operators import percentiles as pct
-from orderlens.operators.lookup import stage
+from orderlens.operators.lookup import Workspace
 from orderlens.plans import percentile_records, percentile_statistics
 
 KEYS = ("SKU", "year_month")
@@ -126,15 +126,33 @@ def test_null_values_are_rows_without_a_place(spark):
     assert rows_of(pct.exact_thresholds(df, KEYS, probs=(0.5,))) == {("a", "m", 3, 2.0)}
 
 
-@pytest.mark.parametrize("limit", [pct.MAX_GROUP_VALUES, 5_000])
-def test_many_values_in_one_hot_group(spark, limit):
+@pytest.mark.parametrize("kept", [False, True])
+def test_many_values_in_one_group(spark, tmp_path, kept):
+    """Far more values than any sample of a partition holds, some of them huge, infinite or missing."""
+    odd = "WHEN id % 1000 = 0 THEN pow(10.0, id % 300) WHEN id = 7 THEN double('inf') WHEN id = 9 THEN -1e300"
+    df = spark.range(0, 400_000, 1, 8).selectExpr(
+        "'hot' AS SKU", "'m' AS year_month", f"CASE {odd} ELSE id * 1.5 END AS promotion_count"
+    )
+    small = frame(spark, [("cold", "m", 1, None), ("cold", "m", 4, None), ("none", "m", None, None)])
+    df = df.unionByName(small.select(*df.columns))
+    levels = (0.0, 0.25, 0.8, 0.9, 0.999)
+    with Workspace(spark, str(tmp_path)) as workspace:
+        profile = pct.value_profile(df, KEYS)
+        profile = workspace.stage(profile) if kept else profile
+        ours = {r[0]: tuple(r)[3:] for r in pct.profile_thresholds(profile, KEYS, probs=levels).collect()}
+    assert ours["none"] == (None,) * 5
+    for row in df.groupBy("SKU").agg(F.percentile("promotion_count", list(levels)).alias("x")).collect():
+        if row["x"] is not None:
+            assert ours[row["SKU"]] == pytest.approx(tuple(row["x"]))
+
+
+def test_one_hot_group_among_many(spark):
     df = spark.range(60_000).select(
         F.when(F.col("id") % 3 == 0, "hot").otherwise((F.col("id") % 500).cast("string")).alias("SKU"),
         F.lit("m").alias("year_month"),
         (F.col("id") * 7919 % 60_000).cast("int").alias("promotion_count"),
     )
-    profile = stage(pct.value_profile(df, KEYS))
-    ours = pct.profile_thresholds(profile, KEYS, max_group_values=limit)
+    ours = pct.exact_thresholds(df, KEYS)
     built_in = df.groupBy("SKU").agg(F.percentile("promotion_count", [0.8, 0.9]).alias("x"))
     gap = ours.join(built_in, "SKU").agg(
         F.max(F.abs(F.col("p80") - F.col("x")[0])), F.max(F.abs(F.col("p90") - F.col("x")[1])), F.count(F.lit(1))
@@ -143,11 +161,16 @@ def test_many_values_in_one_hot_group(spark, limit):
     assert n == 501 and low < 1e-6 and high < 1e-6
 
 
-def test_ranges_give_the_same_thresholds(spark, rows):
-    extra = [(None, "2022-04", 4, 1.0), (None, "2022-04", None, 1.0), ("x", None, 2, 1.0), ("x", None, 5, 1.0)]
-    profile = stage(pct.value_profile(frame(spark, rows + extra), KEYS))
-    whole, ranged = (rows_of(pct.profile_thresholds(profile, KEYS, max_group_values=m)) for m in (100, 0))
-    assert whole == ranged and len(whole) == 9
+def test_null_keys_are_groups(spark, rows):
+    df = frame(spark, [*rows, (None, None, 2, 1.0), (None, None, 4, 1.0)])
+    assert (None, None, 2, 3.0) in rows_of(pct.exact_thresholds(df, KEYS, probs=(0.5,)))
+
+
+def test_both_methods_share_one_aggregation(spark, rows):
+    results = percentile_statistics(frame(spark, rows), amount="amount")
+    plan = results.comparison._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("sum(CASE WHEN (cast(promotion_count") + plan.count("sum(if") <= 16
+    assert results.comparison.count() == 2 * results.approx.count() == 2 * results.exact.count()
 
 
 def test_comparison(spark, rows):

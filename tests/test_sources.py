@@ -54,8 +54,17 @@ def test_rows_of_the_right_width(spark, csv):
 
 
 def test_rows_keep_doubled_quotes_on_request(spark, csv):
-    df = readers.read_sales_rows(spark, csv(line("a", '"say ""hi"" twice"')), unescape_quotes=False)
-    assert '""hi""' in df.first()["Category"]
+    """Commas and backslashes in quotes are safe, one outer quote goes, and bare quotes stay single."""
+    fields = {
+        "a": ('"12"" wide, red"', '12"" wide, red'), "b": ('"abc\\"', "abc\\"), "c": ('"a ""b"" c"', 'a ""b"" c'),
+        "d": (' "x" ', "x"), "e": ('5" pipe, 6"', '5" pipe, 6'), "f": ("", ""), "g": ('""', ""),
+    }
+    lines = [line(name, given) for name, (given, _) in fields.items()]
+    df = readers.read_sales_rows(spark, csv(HEADER, *lines, line("w", width=23), line("v", width=25)), unescape_quotes=False)
+    assert df.columns == list(SALES_COLUMNS)
+    assert rows_of(df.select("index", "Category")) == {(name, kept) for name, (_, kept) in fields.items()}
+    quality = readers.line_quality(readers.read_sales_lines(spark, csv(*LINES), unescape_quotes=False))
+    assert dict(rows_of(quality)) == {"BAD_CSV_ROWS": 2, "HEADER_ROWS": 3}
 
 
 def test_line_quality(spark, csv):
