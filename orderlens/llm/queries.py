@@ -14,6 +14,7 @@ from orderlens.llm.html_text import extract_text
 from orderlens.llm.licenses import scan_licenses
 from orderlens.llm.lm import score_documents
 from orderlens.llm.ngram_join import near_duplicates
+from orderlens.llm.oracles import ORACLE_SQL
 from orderlens.llm.secrets import BASE, as_text, of_kinds, scan_secrets
 from orderlens.llm.token_counts import count_tokens
 from orderlens.llm.topk import top_k
@@ -109,4 +110,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_lm_scores": op10_lm_scores,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+__all__ = ["ORACLE_SQL", "QUERIES"]
