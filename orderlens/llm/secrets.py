@@ -151,16 +151,19 @@ def scan_secrets(
     """
     body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     named = docs.select(F.col(f"`{doc_id}`").alias("id"), body.alias("body"))
-    found = candidates(named, rules, block_documents).select(F.col("id").alias("secret_id"), "kinds")
     kept = [name for name in docs.columns if name.lower() != "secret_spans"]
-    matched = F.col(f"`{doc_id}`") == F.col("secret_id")
+    key, kinds = "secret_id", "secret_kinds"
+    while {key, kinds} & {name.lower() for name in kept}:
+        key, kinds = f"{key}_", f"{kinds}_"
+    found = candidates(named, rules, block_documents).select(F.col("id").alias(key), F.col("kinds").alias(kinds))
+    matched = F.col(f"`{doc_id}`") == F.col(key)
     joined = docs.select(*(F.col(f"`{name}`") for name in kept)).join(found.hint("merge"), matched, "left")
     spans = []
     for i, rule in enumerate(rules):
         if trigram_query(rule.pattern) is None:
             here = body.rlike(rule.pattern)
         else:
-            here = F.coalesce(F.array_contains("kinds", i), F.col(f"`{doc_id}`").isNull())
+            here = F.coalesce(F.array_contains(kinds, i), F.col(f"`{doc_id}`").isNull())
         spans.append(F.when(here, spans_of(body, rule, i)).otherwise(F.array().cast(SPANS)))
     return joined.select(*(F.col(f"`{name}`") for name in kept), F.array_sort(F.concat(*spans)).alias("secret_spans"))
 
