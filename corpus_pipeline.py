@@ -23,8 +23,8 @@ from orderlens.llm.toxicity import score_toxicity, train
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity grammar does not reject; those with null or empty texts stay."""
     model = train(docs, table(spark, sf_dir, "labels"))
-    scored = score_toxicity(docs, model, keep=tuple(docs.columns))
-    return scored.where("predicted = 0").select(docs.columns)
+    whole = docs.select(F.struct(*(F.col(f"`{name}`") for name in docs.columns)).alias("document"), "text")
+    return score_toxicity(whole, model, keep=("document",)).where("predicted = 0").select("document.*")
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,11 +48,14 @@ def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with a marker in place of every secret and ``n_chars`` counted anew where that changed a text."""
-    found = scan_secrets(docs)
-    text = redacted(F.col("text"), F.col("secret_spans"))
-    length = F.when(F.size("secret_spans") > 0, F.length("clean").cast("long")).otherwise(F.col("n_chars"))
-    clean = found.withColumn("clean", text).withColumn("n_chars", length).withColumn("text", F.col("clean"))
-    return clean.select(docs.columns)
+    name = "clean_text"
+    while name in (column.lower() for column in docs.columns):
+        name += "_"
+    # A step of its own: in one projection, Spark would read "text" inside the lambdas as the new column.
+    found = scan_secrets(docs).withColumn(name, redacted(F.col("text"), F.col("secret_spans")))
+    length = F.when(F.size("secret_spans") > 0, F.length(name).cast("long")).otherwise(F.col("n_chars")).alias("n_chars")
+    changed = {"text": F.col(name).alias("text"), "n_chars": length}
+    return found.select(*(changed.get(column, F.col(f"`{column}`")) for column in docs.columns))
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
