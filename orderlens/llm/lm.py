@@ -149,6 +149,7 @@ class Vocabulary:
     """The words that the network knows, by falling frequency, and what is known of all others."""
 
     def __init__(self, hashes: np.ndarray, counts: np.ndarray, tokens: int, distinct: int):
+        self.given = (hashes, counts, tokens, distinct)  # plain values, to be broadcast
         self.order = np.argsort(hashes)
         self.sorted, self.counts, self.size = hashes[self.order], counts, len(hashes)
         self.tokens, self.distinct = tokens, distinct
@@ -193,7 +194,7 @@ def _train(vocabulary, start, rate: float, least: int = 0):
     def run(batches) -> Iterator:
         import pyarrow as pa
 
-        known, like = vocabulary.value, start.value
+        known, like = Vocabulary(*vocabulary.value), start.value
         trainer, learned = Trainer(Network(shaped(flat(like), like), known.classes), rate), 0
         for batch in batches:
             for i in range(batch.num_rows):
@@ -232,7 +233,7 @@ def trained_weights(blocks: DataFrame, vocabulary: Vocabulary) -> dict[str, np.n
     first = learning.agg(F.min("block")).first()[0]
     if first is None:
         return weights
-    sent = spark.sparkContext.broadcast(vocabulary)
+    sent = spark.sparkContext.broadcast(vocabulary.given)
     head = learning.where(F.col("block") == first)
     begun = head.mapInArrow(_train(sent, spark.sparkContext.broadcast(weights), FIRST_RATE, FIRST_TOKENS), schema).collect()
     weights = shaped(begun[0].weights, weights)
@@ -250,7 +251,7 @@ def _score(vocabulary, weights):
     def run(batches) -> Iterator:
         import pyarrow as pa
 
-        known = vocabulary.value
+        known = Vocabulary(*vocabulary.value)
         whole = known.tokens + SMOOTHING * (known.distinct + 1)
         others = known.other_tokens + SMOOTHING * (known.other_distinct + 1)
         for batch in batches:
@@ -311,7 +312,7 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     corpus = merged.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("part", "counts"))).alias("parts"))
     corpus = corpus.select("block", F.col("parts.counts").alias("corpus"))
     given = blocks.select("block", "ids", "held", "lengths", "dictionary", "tokens").join(corpus.hint("merge"), "block")
-    sent = spark.sparkContext.broadcast(vocabulary), spark.sparkContext.broadcast(weights)
+    sent = spark.sparkContext.broadcast(vocabulary.given), spark.sparkContext.broadcast(weights)
     return given.mapInArrow(_score(*sent), SCORES).select(
         F.col("id").alias(doc_id),
         "held_out",

@@ -259,13 +259,14 @@ def _evidence(model):
     def run(batches) -> Iterator:
         import pyarrow as pa
 
-        reader = Reader(model.value.insults)
+        own = Model(**model.value)
+        reader = Reader(own.insults)
         for batch in batches:
             events: list[list[str]] = [[] for _ in range(batch.num_rows)]
             values: list[float] = [0.0] * batch.num_rows
             for row, found, _ in reader.clauses(texts_of(batch.column(0))):
                 events[row] += [event for event, _ in found]
-                values[row] += sum(model.value.weight(*one) for one in found)
+                values[row] += sum(own.weight(*one) for one in found)
             arrays = [batch.column(1), pa.array(events, pa.list_(pa.string())), pa.array(values, pa.float64())]
             yield pa.RecordBatch.from_arrays(arrays, names=["toxic", "events", "evidence"])
 
@@ -296,7 +297,7 @@ def fit(sample: DataFrame, clean_share: float) -> Model:
         order = spark.sparkContext.broadcast(np.sort(names.view(np.uint64)))
         held = [row.features for row in sample.where("toxic = 1").mapInArrow(_holding(order), "features array<long>").toLocalIterator()]
         model.insults = _cover(held, weights)
-    told = sample.mapInArrow(_evidence(spark.sparkContext.broadcast(model)), "toxic int, events array<string>, evidence double")
+    told = sample.mapInArrow(_evidence(spark.sparkContext.broadcast(vars(model))), "toxic int, events array<string>, evidence double")
     rows = told.collect()
     for mark, prior in PRIOR_FACTORS.items():
         held = [row.toxic for row in rows if any(mark in event[1:] for event in row.events)]
@@ -368,7 +369,7 @@ def score_toxicity(
     input row. Null and empty texts have no clauses and the score of no evidence. Other columns are ignored.
     """
     spark = docs.sparkSession
-    sent = spark.sparkContext.broadcast(model)
+    sent = spark.sparkContext.broadcast(vars(model))  # plain values: workers need not have the package
     fields = [T.StructField(f"k{i}", docs.schema[name].dataType) for i, name in enumerate(keep)]
     clause = T.ArrayType(T.StructType([T.StructField("clause", T.StringType()), T.StructField("weight", T.DoubleType())]))
     schema = T.StructType([*fields, T.StructField("score", T.DoubleType()), T.StructField("clauses", clause)])
@@ -376,7 +377,8 @@ def score_toxicity(
     def run(batches) -> Iterator:
         import pyarrow as pa
 
-        reader, own = Reader(sent.value.insults), sent.value
+        own = Model(**sent.value)
+        reader = Reader(own.insults)
         kind = pa.list_(pa.struct([("clause", pa.string()), ("weight", pa.float64())]))
         for batch in batches:
             clauses: list[list[dict]] = [[] for _ in range(batch.num_rows)]
