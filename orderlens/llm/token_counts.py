@@ -85,7 +85,7 @@ class Counts:
 def frequent_pieces(
     docs: DataFrame, pattern: str, text: str, documents: int = SAMPLE_DOCUMENTS, entries: int = TABLE_ENTRIES
 ) -> list[str]:
-    """The most frequent pre-tokens of at most ``documents`` texts, at most ``entries`` of them.
+    """Up to ``entries`` frequent pre-tokens, from the first ``documents`` texts of as few partitions as that takes.
 
     This bounded sample only chooses what the first tier holds.
     """
@@ -93,21 +93,18 @@ def frequent_pieces(
     def count(batches) -> Iterator:
         import pyarrow as pa
 
-        cut, total = splitter(pattern), Counter()
-        for _, texts in text_batches(batches, text):
-            for one in texts:
+        cut, total, left = splitter(pattern), Counter(), documents
+        for _, texts in text_batches(batches, "body"):
+            for one in texts[:left]:
                 total.update(cut(one))
-            if len(total) > 8 * entries:
-                total = Counter(dict(total.most_common(4 * entries)))
-        top = [(piece, n) for piece, n in total.most_common(entries) if is_settled(piece)]
-        yield pa.RecordBatch.from_pydict(
-            {"piece": pa.array([p for p, _ in top], pa.string()), "n": pa.array([n for _, n in top], pa.int64())}
-        )
-
-    total: Counter = Counter()
-    for row in docs.select(text).limit(documents).mapInArrow(count, "piece string, n long").toLocalIterator():
-        total[row.piece] += row.n
-    return [piece for piece, _ in total.most_common(entries)]
+            left -= min(left, len(texts))
+            if not left:
+                break
+        top = [piece for piece, _ in total.most_common(entries) if is_settled(piece)]
+        yield pa.RecordBatch.from_pydict({"piece": pa.array(top, pa.string())})
+
+    rows = docs.select(F.col(f"`{text}`").alias("body")).mapInArrow(count, "piece string").limit(entries).collect()
+    return list(dict.fromkeys(row.piece for row in rows))
 
 
 def count_tokens(
