@@ -15,6 +15,7 @@ from orderlens.catalog import ENTRIES  # noqa: E402
 
 HEADLINE = (
     "trailing_window_winner",
+    "split_window_winner",
     "median_variety",
     "below_benchmark_percentage",
     "approx_statistics",
