@@ -56,10 +56,8 @@ def trailing_window_winner(spark: SparkSession, folder: str) -> DataFrame:
 def split_window_winner(spark: SparkSession, folder: str) -> DataFrame:
     """Both window lengths at any size of the tables: a state is busy above the average state."""
     rows = base.bought(spark, folder)
-    counts = windows.key_counts(rows)
-    mean = counts.agg(F.avg("n").alias("mean"))
-    scaled = counts.join(F.broadcast(mean)).select("state", F.when(F.col("n") > F.col("mean"), 2).otherwise(1).alias("n"))
-    return rounded(windows.trailing_window_winner(rows, threshold=1, totals=scaled, scale=2), ("population_variance",))
+    mean = windows.key_counts(rows).agg(F.avg("n")).first()[0] or 0
+    return rounded(windows.trailing_window_winner(rows, threshold=int(mean), scale=2), ("population_variance",))
 
 
 def trailing_style_winner(spark: SparkSession, folder: str) -> DataFrame:
