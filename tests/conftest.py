@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import datetime as dt
 import os
+import shutil
 import sys
 
 import pytest
@@ -14,6 +15,7 @@ from orderlens.sources.schema import SALES_COLUMNS, SALES_SCHEMA  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
+    shared = tmp_path_factory.mktemp("shared")
     session = (
         SparkSession.builder.master("local[4]")
         .appName("orderlens-tests")
@@ -23,12 +25,13 @@ def spark(tmp_path_factory):
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
+        .config("spark.checkpoint.dir", str(shared))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
+    shutil.rmtree(shared)
 
 
 @pytest.fixture
