@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from orderlens.llm.components import components
 from orderlens.llm.staging import written
-from orderlens.llm.words import SPACES, Splitter, grams, mix, signed, texts_of
+from orderlens.llm.words import SPACES, Splitter, grams, mix, parts, signed, texts_of
 
 BUFFER = 1 << 21
 OFTEN = 8
@@ -66,7 +66,7 @@ def _keys(size: int):
         import pyarrow as pa
 
         splitter, buffer, held = Splitter(SPACES), [], 0
-        for batch in batches:
+        for batch in parts(batches):
             n, k1, k2 = [], [], []
             for _, found in sets_of(batch, size, splitter):
                 n.append(len(found))
@@ -98,6 +98,11 @@ def least_overlap(n, m, percent: int):
     return F.ceil((n + m) * percent / (100 + percent) - 1e-9)
 
 
+def size_class(n, percent: int):
+    """Sizes cut at powers of 100 / percent, so that sizes that allow a link are at most one class apart."""
+    return n if percent == 100 else F.floor(F.log(n.cast("double")) / F.log(F.lit(100.0 / percent)))
+
+
 def boundary(sizes: dict[int, int], percent: int) -> int:
     """The size up to which sets are light, by estimated cost; ``sizes`` counts the sets of each size.
 
@@ -123,7 +128,7 @@ def _signatures(size: int, percent: int, light_limit: int, frequent):
     def run(batches) -> Iterator:
         splitter = Splitter(SPACES)
         known, places = frequent.value  # sorted frequent shingles, and the place of each: most frequent last
-        for batch in batches:
+        for batch in parts(batches):
             ids = np.asarray(batch.column(0))
             out: tuple[list, ...] = ([], [], [], [])
 
@@ -164,15 +169,13 @@ def _sets(size: int, share: int):
         import pyarrow as pa
 
         splitter = Splitter(SPACES)
-        for batch in batches:
-            n, parts = [], []
+        for batch in parts(batches):
+            n, kept = [], []
             for _, found in sets_of(batch, size, splitter):
                 n.append(len(found))
-                parts.append(signed(found[found % np.uint64(share) == 0]))
-            for a in range(0, batch.num_rows, 1000):
-                b = a + 1000
-                arrays = [batch.column(0).slice(a, 1000), pa.array(n[a:b], pa.int64()), pa.array(parts[a:b], pa.list_(pa.int64()))]
-                yield pa.RecordBatch.from_arrays(arrays, names=["id", "n", "part"])
+                kept.append(signed(found[found % np.uint64(share) == 0]))
+            arrays = [batch.column(0), pa.array(n, pa.int64()), pa.array(kept, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(arrays, names=["id", "n", "part"])
 
     return run
 
@@ -183,10 +186,10 @@ def reaching(pairs: DataFrame, named: DataFrame, size: int, percent: int, share:
     What the parts share is known; of the rest, at most the smaller rest can be shared. With 1 the parts are the sets.
     """
     ids = written(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "members")
-    parts = named.join(ids, "id", "left_semi").mapInArrow(_sets(size, share), "id long, n long, part array<long>")
-    parts = written(parts, "parts")
+    held = named.join(ids, "id", "left_semi").mapInArrow(_sets(size, share), "id long, n long, part array<long>")
+    held = written(held, "parts")
     for side in ("a", "b"):
-        renamed = parts.select(F.col("id").alias(side), F.col("n").alias(f"n{side}"), F.col("part").alias(f"part{side}"))
+        renamed = held.select(F.col("id").alias(side), F.col("n").alias(f"n{side}"), F.col("part").alias(f"part{side}"))
         pairs = pairs.join(renamed.hint("merge"), side)
     rest = F.least(F.col("na") - F.size("parta"), F.col("nb") - F.size("partb"))
     most = F.size(F.array_intersect("parta", "partb")) + rest
@@ -256,8 +259,14 @@ def near_duplicates(
     placed = written(placed, "placed")
     mixed = placed.groupBy("sig").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
     rest = written(placed.join(mixed.select("sig").hint("merge"), "sig", "left_semi"), "open-lists")
-    apart = (F.col("x.sig") == F.col("y.sig")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.label") != F.col("y.label"))
-    left = rest.alias("x").join(rest.alias("y").hint("merge"), apart & possible("x", "y", percent))
+    # Sets that link stand in the same class of sizes or in neighbouring ones: of two classes the smaller comes to meet.
+    kind = size_class(F.col("n"), percent).alias("kind")
+    larger = rest.select("*", kind)
+    smaller = rest.select("*", F.explode(F.array(kind, kind + 1)).alias("kind"), kind.alias("own"))
+    meet = (F.col("x.sig") == F.col("y.sig")) & (F.col("x.kind") == F.col("y.kind"))
+    once = (F.col("x.id") < F.col("y.id")) | (F.col("y.own") < F.col("x.kind"))
+    apart = meet & once & (F.col("x.label") != F.col("y.label"))
+    left = larger.alias("x").join(smaller.alias("y").hint("merge"), apart & possible("x", "y", percent))
     more = linked(written(left.select(*pair).distinct(), "open-pairs"), named, words, percent)
 
     roots = components(written(links.union(more), "links")).withColumnRenamed("id", "rep")

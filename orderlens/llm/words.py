@@ -12,6 +12,7 @@ from dataclasses import dataclass
 import numpy as np
 
 CHUNK_BYTES = 1 << 20
+PART_ROWS = 1000
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 BASE = 0x9E3779B97F4A7C15
 BASE_INVERSE = pow(BASE, -1, 2**64)
@@ -95,6 +96,13 @@ def grams(hashes: np.ndarray, n: int) -> np.ndarray:
     return mix(out)
 
 
+def parts(batches) -> Iterator:
+    """Arrow batches in slices of at most ``PART_ROWS`` rows, so that what is made of a slice stays small."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, PART_ROWS):
+            yield batch.slice(at, PART_ROWS)
+
+
 def texts_of(column) -> list[bytes]:
     """The UTF-8 texts of an Arrow string column; null is the empty text."""
     import pyarrow as pa
