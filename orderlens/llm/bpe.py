@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderlens.llm.pretokens import NewerLetter, PieceCache, byte_letters, library_splitter, splitter, text_batches
+from orderlens.llm.words import parts
 
 CACHE_ENTRIES = 500_000
 
@@ -124,7 +125,7 @@ def encode_and_decode(
 
         codec = Codec(read_ranks(ranks_path), pattern)
         kinds = {"bpe_n_tokens": pa.int64(), "bpe_decoded": pa.binary()}
-        for batch, texts in text_batches(batches, body):
+        for batch, texts in text_batches(parts(batches), body):
             out: dict[str, list] = {name: [] for name in added}
             for one in texts:
                 ids = codec.encode(one)

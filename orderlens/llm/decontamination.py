@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderlens.llm.staging import written
-from orderlens.llm.words import NOT_ALPHANUMERIC, Splitter, grams, signed, texts_of
+from orderlens.llm.words import NOT_ALPHANUMERIC, Splitter, grams, parts, signed, texts_of
 
 SPAN = 10
 GRAM = 5
@@ -53,7 +53,7 @@ def item_runs(items: DataFrame, item_id: str, text: str, span: int, gram: int) -
         import pyarrow as pa
 
         splitter = Splitter(NOT_ALPHANUMERIC)
-        for batch in batches:
+        for batch in parts(batches):
             out: dict[str, list] = {"item": [], "run": [], "size": [], "fp": []}
             names = batch.column(0).to_pylist()
             for first, found in splitter.chunks(texts_of(batch.column(1))):
@@ -104,7 +104,7 @@ def candidate_hits(docs: DataFrame, text: str, bits, span: int, gram: int, lengt
         import pyarrow as pa
 
         splitter, passes = Splitter(NOT_ALPHANUMERIC), bits.value
-        for batch in batches:
+        for batch in parts(batches):
             keys, copies = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             rows: list[tuple] = []
             for first, found in splitter.chunks(texts_of(batch.column(2))):

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderlens.llm.words import NOT_ALPHANUMERIC, Splitter, Words, mix, signed, texts_of
+from orderlens.llm.words import NOT_ALPHANUMERIC, Splitter, Words, mix, parts, signed, texts_of
 
 SAMPLE_PER_LABEL = 10_000
 LEAST_SUPPORT = 4
@@ -219,14 +219,14 @@ def _features(batches) -> Iterator:
     import pyarrow as pa
 
     reader = Reader({})
-    for batch in batches:
+    for batch in parts(batches):
         toxic = np.asarray(batch.column(1).to_numpy(zero_copy_only=False))
         for first, found in reader.splitter.chunks(texts_of(batch.column(0))):
-            hashed, parts = reader.features(found), {0: [], 1: []}
+            hashed, sets_of = reader.features(found), {0: [], 1: []}
             for i in range(len(found.bounds) - 1):
                 a, b = found.bounds[i : i + 2]
-                parts[int(toxic[first + i])].append(np.unique(np.concatenate([one[a:b] for one in hashed])))
-            for value, sets in parts.items():
+                sets_of[int(toxic[first + i])].append(np.unique(np.concatenate([one[a:b] for one in hashed])))
+            for value, sets in sets_of.items():
                 if sets:
                     names, counts = np.unique(np.concatenate(sets), return_counts=True)
                     none = np.zeros(len(names), np.int64)
@@ -241,7 +241,7 @@ def _holding(candidates):
         import pyarrow as pa
 
         reader, known = Reader({}), candidates.value
-        for batch in batches:
+        for batch in parts(batches):
             for _, found in reader.splitter.chunks(texts_of(batch.column(0))):
                 hashed, out = reader.features(found), []
                 for i in range(len(found.bounds) - 1):
@@ -261,7 +261,7 @@ def _evidence(model):
 
         own = Model(**model.value)
         reader = Reader(own.insults)
-        for batch in batches:
+        for batch in parts(batches):
             events: list[list[str]] = [[] for _ in range(batch.num_rows)]
             values: list[float] = [0.0] * batch.num_rows
             for row, found, _ in reader.clauses(texts_of(batch.column(0))):
@@ -369,6 +369,7 @@ def score_toxicity(
     input row. Null and empty texts have no clauses and the score of no evidence. Other columns are ignored.
     """
     spark = docs.sparkSession
+    place = keep.index(text) if text in keep else len(keep)  # a text is sent once
     sent = spark.sparkContext.broadcast(vars(model))  # plain values: workers need not have the package
     fields = [T.StructField(f"k{i}", docs.schema[name].dataType) for i, name in enumerate(keep)]
     clause = T.ArrayType(T.StructType([T.StructField("clause", T.StringType()), T.StructField("weight", T.DoubleType())]))
@@ -380,10 +381,10 @@ def score_toxicity(
         own = Model(**sent.value)
         reader = Reader(own.insults)
         kind = pa.list_(pa.struct([("clause", pa.string()), ("weight", pa.float64())]))
-        for batch in batches:
+        for batch in parts(batches):
             clauses: list[list[dict]] = [[] for _ in range(batch.num_rows)]
             values = [0.0] * batch.num_rows
-            for row, events, words in reader.clauses(texts_of(batch.column(len(keep)))):
+            for row, events, words in reader.clauses(texts_of(batch.column(place))):
                 weight = sum(own.weight(*one) for one in events)
                 clauses[row].append({"clause": words, "weight": weight})
                 values[row] += weight
@@ -391,7 +392,8 @@ def score_toxicity(
             arrays = [*(batch.column(i) for i in range(len(keep))), pa.array(scores, pa.float64()), pa.array(clauses, kind)]
             yield pa.RecordBatch.from_arrays(arrays, names=[f.name for f in schema])
 
-    named = docs.select(*(F.col(f"`{name}`").alias(f"k{i}") for i, name in enumerate(keep)), F.col(f"`{text}`").alias("body"))
+    sent_columns = keep if text in keep else (*keep, text)
+    named = docs.select(*(F.col(f"`{name}`").alias(f"k{i}") for i, name in enumerate(sent_columns)))
     scored = named.mapInArrow(run, schema)
     return scored.select(
         *(F.col(f"k{i}").alias(name) for i, name in enumerate(keep)),
