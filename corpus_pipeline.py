@@ -23,8 +23,11 @@ from orderlens.llm.toxicity import score_toxicity, train
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity grammar does not reject; those with null or empty texts stay."""
     model = train(docs, table(spark, sf_dir, "labels"))
-    whole = docs.select(F.struct(*(F.col(f"`{name}`") for name in docs.columns)).alias("document"), "text")
-    return score_toxicity(whole, model, keep=("document",)).where("predicted = 0").select("document.*")
+    names = {f"c{i}": name for i, name in enumerate(docs.columns)}
+    numbered = docs.toDF(*names)
+    text = f"c{docs.columns.index('text')}"
+    kept = score_toxicity(numbered, model, text=text, keep=tuple(names)).where("predicted = 0")
+    return kept.select(*(F.col(number).alias(name) for number, name in names.items()))
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
