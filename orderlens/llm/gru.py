@@ -1,7 +1,7 @@
 """A gated recurrent language model in numpy, with a class-factored output.
 
 A word is predicted from the state before it: first its class, then the word within its class. The last class holds
-the words outside the vocabulary. Texts run side by side in lanes; the state is carried from window to window and set
+one word alone. Texts run side by side in lanes; the state is carried from window to window and set
 to zero where a text begins, so that a whole text is scored however long it is. Gradients go back to the start of a
 window (truncated backpropagation through time).
 """
@@ -23,7 +23,7 @@ LEAST_LANES, LEAST_STEPS = 32, 250
 @dataclass
 class Classes:
     """Words 0 to n - 1 by falling frequency, cut into classes of about equal mass of root frequencies; then one more
-    class for all other words, whose only member is number n."""
+    class, whose only member is number n."""
 
     cuts: np.ndarray  # class k holds the words cuts[k] to cuts[k + 1] - 1
 
@@ -205,7 +205,8 @@ class Network:
             back[order] = sorted_back
         return out, back
 
-    def backward(self, words: np.ndarray, first: np.ndarray, trace: list, back: np.ndarray, grads: Weights) -> None:
+    def backward(self, words: np.ndarray, first: np.ndarray, trace: list, back: np.ndarray, grads: Weights) -> np.ndarray:
+        """Adds the gradients of a window; the words whose input vectors have one."""
         n, u = self.size, self.w["recurrent"]
         steps, lanes = words.shape
         ahead = np.zeros((lanes, n), np.float32)
@@ -232,15 +233,17 @@ class Network:
         order = np.argsort(flat.astype(np.uint16) if self.classes.words < 1 << 16 else flat, kind="stable")
         names, begins = np.unique(flat[order], return_index=True)
         grads["inputs"][names] += np.add.reduceat(gradient[order], begins, axis=0)
+        return names
 
 
 class Trainer:
-    """Adam steps, one per window."""
+    """Adam steps, one per window. Input vectors take part in the steps of windows that hold their words."""
 
     def __init__(self, network: Network, rate: float):
         self.network, self.rate, self.steps = network, rate, 0
         self.first = {name: np.zeros_like(value) for name, value in network.w.items()}
         self.second = {name: np.zeros_like(value) for name, value in network.w.items()}
+        self.grads = {name: np.zeros_like(value) for name, value in network.w.items()}
 
     def learn(self, words: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> int:
         """One pass over texts; the number of words learned from. Few words run in fewer lanes, for as many steps."""
@@ -248,7 +251,7 @@ class Trainer:
         lanes = int(np.clip(lengths.sum() // (WINDOW * LEAST_STEPS), LEAST_LANES, LANES))
         network.start(lanes)
         for part, first, _, valid in windows(words, starts, lengths, lanes, WINDOW):
-            grads = {name: np.zeros_like(value) for name, value in network.w.items()}
+            grads = self.grads
             before, trace = network.forward(part, first, True)
             flat = valid.ravel()
             count = int(flat.sum())
@@ -257,28 +260,43 @@ class Trainer:
                 _, back = network.scores(states, part.ravel(), grads)
             else:
                 _, back[flat] = network.scores(states[flat], part.ravel()[flat], grads)
-            network.backward(part, first, trace, back.reshape(*part.shape, -1), grads)
-            self.step(grads, count)
+            read = network.backward(part, first, trace, back.reshape(*part.shape, -1), grads)
+            self.step(grads, count, read)
             learned += count
         return learned
 
-    def step(self, grads: Weights, count: int) -> None:
+    def step(self, grads: Weights, count: int, read: np.ndarray) -> None:
+        """A step by the gradients, which are set to zero; of the input vectors, by those of the words read."""
         self.steps += 1
         if self.steps % 16 == 0:
             self.network.measure()
-        rate = self.rate * np.sqrt(1 - 0.99**self.steps) / (1 - 0.9**self.steps)
-        for name, gradient in grads.items():
-            gradient = gradient / np.float32(count)
-            self.first[name] += np.float32(0.1) * (gradient - self.first[name])
-            self.second[name] += np.float32(0.01) * (gradient * gradient - self.second[name])
-            self.network.w[name] -= np.float32(rate) * self.first[name] / (np.sqrt(self.second[name]) + np.float32(1e-6))
+        rate = np.float32(self.rate * np.sqrt(1 - 0.99**self.steps) / (1 - 0.9**self.steps))
+        for name, whole in grads.items():
+            rows = read if name == "inputs" else slice(None)
+            gradient, first, second = whole[rows], self.first[name][rows], self.second[name][rows]
+            change = gradient * np.float32(0.1 / count)
+            first *= np.float32(0.9)
+            first += change
+            np.multiply(gradient, np.float32(1 / count), out=change)
+            change *= change
+            change *= np.float32(0.01)
+            second *= np.float32(0.99)
+            second += change
+            np.sqrt(second, out=change)
+            change += np.float32(1e-6)
+            np.divide(first, change, out=change)
+            change *= rate
+            self.network.w[name][rows] -= change
+            if name == "inputs":
+                self.first[name][rows], self.second[name][rows] = first, second
+            whole[rows] = 0
 
 
 def log_probabilities(weights: Weights, classes: Classes, words: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Natural log probability of every word of the texts, at its place."""
     network, out = Network(weights, classes), np.zeros(len(words))
     network.start(LANES)
-    for part, first, where, valid in windows(words, starts, lengths, LANES, WINDOW):
+    for part, first, where, valid in windows(words, starts, lengths, LANES, 4 * WINDOW):
         before, _ = network.forward(part, first, False)
         flat = valid.ravel()
         scored, _ = network.scores(before.reshape(-1, network.size)[flat], part.ravel()[flat])

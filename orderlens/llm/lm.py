@@ -5,10 +5,12 @@ the tokens as places in the dictionary. Every later step reads these blocks inst
 
 1. Counts. Dictionaries are cut into hash ranges, ranges are merged across blocks, and each block gets the corpus count
    of every word it holds. A range holds about as many entries at every input size; there are more ranges.
+   The counts also say from how many occurrences on words are the network's own: those words make up ``COVERAGE`` of
+   the training tokens, so that they grow with the corpus. The rest is dealt to hashed groups, which grow with it too.
 2. Training. A gated recurrent network (see ``gru``) starts on one block and then learns from all training documents,
    each task from its own blocks; the tasks' weights are averaged, a few at a time.
-3. Scores. The network predicts frequent words and the class of all others; a word of that class has its smoothed share
-   of the class's corpus counts. State is carried through a document from beginning to end.
+3. Scores. The network reads and predicts its own words and the groups of the others, each by vectors of its own; a word
+   of a group has its smoothed share of the group's corpus counts. State is carried through a document to its end.
 """
 
 from __future__ import annotations
@@ -26,10 +28,10 @@ from orderlens.llm.words import SPACES, Splitter, signed, texts_of
 
 BLOCK_TOKENS = 1 << 21
 RANGE_ENTRIES = 1 << 17
-VOCABULARY = 1024
+COVERAGE, LEAST_COUNT = 0.75, 5
 FIRST_RATE, RATE, FIRST_TOKENS = 0.01, 0.004, 1 << 21
 MOST_STEPS = 2000
-AVERAGED = 16
+AVERAGED, AVERAGED_BYTES = 16, 1 << 27
 SMOOTHING = 0.1
 END = np.uint64(0x6A09E667F3BCC909)  # the hash that stands for a document's end
 
@@ -38,7 +40,10 @@ BLOCKS = (
     "counts binary, tokens binary, entries long"
 )
 RANGES = "part int, block long, dictionary binary, counts binary"
-MERGED = "part int, block long, counts binary, known long, total long, words array<long>, times array<long>"
+MERGED = (
+    "part int, block long, counts binary, known long, total long, words array<long>, times array<long>, "
+    "levels array<long>, level_words array<long>, groups array<long>, group_times array<long>, group_words array<long>"
+)
 SCORES = "id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
 
 
@@ -113,8 +118,17 @@ def _ranges(bits: int):
     return run
 
 
-def _merge(vocabulary: int):
-    """Corpus counts of one range's words, for each block; its first row also has the range's totals and top words."""
+def group_of(hashes: np.ndarray, bits: int) -> np.ndarray:
+    """The number of each word's group: the first bits of its hash, so that a range of hashes meets few groups."""
+    return (hashes >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(hashes), np.int64)
+
+
+def _merge(least: int, bits: int):
+    """Corpus counts of one range's words, for each block.
+
+    The first row also has the range's totals, its words from ``least`` occurrences on, how many words occur how often,
+    and the occurrences and words of each group.
+    """
 
     def run(table):
         import pyarrow as pa
@@ -126,9 +140,20 @@ def _merge(vocabulary: int):
         total = np.bincount(places, weights=counts, minlength=len(names)).astype(np.int64)
         ends = np.cumsum([0, *map(len, words)])
         own = [total[places[ends[i] : ends[i + 1]]].tobytes() for i in rows]
-        top = np.lexsort((signed(names), -total))[:vocabulary]
-        top = top[total[top] > 0]
+        top = np.flatnonzero(total >= least)
+        levels, level_words = np.unique(total[total > 0], return_counts=True)
+        groups, members = np.unique(group_of(names, bits), return_inverse=True)
+        by_group = [np.bincount(members, weights=w, minlength=len(groups)).astype(np.int64) for w in (total, total > 0)]
         rest = [None] * (table.num_rows - 1)
+        lists = {
+            "words": signed(names[top]),
+            "times": total[top],
+            "levels": levels,
+            "level_words": level_words,
+            "groups": groups,
+            "group_times": by_group[0],
+            "group_words": by_group[1],
+        }
         known, seen = [int((total > 0).sum()), *rest], [int(total.sum()), *rest]
         return pa.table(
             {
@@ -137,33 +162,79 @@ def _merge(vocabulary: int):
                 "counts": pa.array(own, pa.binary()),
                 "known": pa.array(known, pa.int64()),
                 "total": pa.array(seen, pa.int64()),
-                "words": pa.array([signed(names[top]).tolist(), *rest], pa.list_(pa.int64())),
-                "times": pa.array([total[top].tolist(), *rest], pa.list_(pa.int64())),
+                **{name: pa.array([values.tolist(), *rest], pa.list_(pa.int64())) for name, values in lists.items()},
             }
         )
 
     return run
 
 
-class Vocabulary:
-    """The words that the network knows, by falling frequency, and what is known of all others."""
+def least_count(levels: np.ndarray, words: np.ndarray) -> int:
+    """The highest count from which on words make up ``COVERAGE`` of all tokens, but at least ``LEAST_COUNT``.
+
+    ``words`` of the words occur as often as ``levels`` says.
+    """
+    order = np.argsort(-levels)
+    covered = np.cumsum((levels * words)[order])
+    if not len(covered):
+        return LEAST_COUNT
+    return max(LEAST_COUNT, int(levels[order][np.searchsorted(covered, COVERAGE * covered[-1])]))
+
 
-    def __init__(self, hashes: np.ndarray, counts: np.ndarray, tokens: int, distinct: int):
-        self.given = (hashes, counts, tokens, distinct)  # plain values, to be broadcast
-        self.order = np.argsort(hashes)
-        self.sorted, self.counts, self.size = hashes[self.order], counts, len(hashes)
-        self.tokens, self.distinct = tokens, distinct
-        self.other_tokens, self.other_distinct = tokens - int(counts.sum()), distinct - len(hashes)
-        self.classes = Classes.of(counts)
+class Vocabulary:
+    """The network's symbols by falling frequency: words of its own, and groups of all other words by their hashes."""
+
+    def __init__(self, hashes: np.ndarray, counts: np.ndarray, bits: int, times: np.ndarray, words: np.ndarray):
+        """``times`` and ``words`` hold each group's occurrences and words, those with the given ``hashes`` included."""
+        self.given = (hashes, counts, bits, times, words)  # plain values, to be broadcast
+        own = group_of(hashes, bits)
+        self.bits, self.tokens, self.distinct = bits, int(times.sum()), int(words.sum())
+        self.group_times = times - np.bincount(own, weights=counts, minlength=len(times)).astype(np.int64)
+        self.group_words = words - np.bincount(own, minlength=len(words))
+        mass = np.concatenate([counts, self.group_times])
+        order = np.argsort(-mass, kind="stable")
+        number = np.empty(len(mass), np.int32)
+        number[order] = np.arange(len(mass), dtype=np.int32)
+        by_hash = np.argsort(hashes)
+        self.sorted, self.own, self.groups = hashes[by_hash], number[: len(hashes)][by_hash], number[len(hashes) :]
+        self.counts, self.last = mass[order][:-1], int(mass[order][-1])  # the last symbol has a class to itself
+        self.classes = Classes.of(self.counts)
 
     def numbers(self, dictionary: np.ndarray) -> np.ndarray:
-        """The network's number of every word of a sorted dictionary; others have the number ``size``."""
-        out = np.full(len(dictionary), self.size, np.int32)
+        """The symbol of every word of a sorted dictionary."""
+        out = self.groups[group_of(dictionary, self.bits)]
         at = np.minimum(np.searchsorted(dictionary, self.sorted), max(0, len(dictionary) - 1))
         here = dictionary[at] == self.sorted
-        out[at[here]] = self.order[here]
+        out[at[here]] = self.own[here]
         return out
 
+    def shares(self, dictionary: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """The share of every word of a sorted dictionary in its symbol: 1 for the network's own words."""
+        group = group_of(dictionary, self.bits)
+        whole = self.group_times + SMOOTHING * (self.group_words + 1)
+        own = np.isin(dictionary, self.sorted, assume_unique=True)
+        return np.where(own, 1.0, (counts + SMOOTHING) / whole[group])
+
+
+def vocabulary_of(merged: DataFrame, bits: int) -> Vocabulary:
+    """The symbols for the counts of all ranges. Without any training text there is one group and nothing else."""
+
+    def listed(*names: str) -> DataFrame:
+        return merged.where("words is not null").select(F.explode(F.arrays_zip(*names)).alias("w")).select("w.*")
+
+    def columns(df: DataFrame) -> list[np.ndarray]:
+        return list(np.array(df.collect(), np.int64).reshape(-1, len(df.columns)).T)
+
+    levels = columns(listed("levels", "level_words").groupBy("levels").agg(F.sum("level_words")))
+    if not len(levels[0]):
+        return Vocabulary(np.zeros(0, np.uint64), np.zeros(0, np.int64), 0, np.zeros(1, np.int64), np.zeros(1, np.int64))
+    words, counts = columns(listed("words", "times").where(F.col("times") >= least_count(*levels)))
+    order = np.lexsort((words, -counts))
+    groups = listed("groups", "group_times", "group_words").groupBy("groups")
+    number, *sums = columns(groups.agg(F.sum("group_times"), F.sum("group_words")))
+    times, distinct = (np.bincount(number, weights=one, minlength=1 << bits).astype(np.int64) for one in sums)
+    return Vocabulary(words[order].view(np.uint64), counts[order], bits, times, distinct)
+
 
 def block_of(batch, i: int):
     """(dictionary, tokens, lengths, starts) of a row of blocks."""
@@ -185,10 +256,19 @@ def shaped(content: bytes, like: dict[str, np.ndarray]) -> dict[str, np.ndarray]
     return out
 
 
+def likelihood(network: Network, words: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> float:
+    """Log probability of texts; 0 without any."""
+    if not len(lengths):
+        return 0.0
+    places = np.concatenate([np.arange(a, a + n) for a, n in zip(starts, lengths, strict=True)])
+    return float(log_probabilities(network.w, network.classes, words, starts, lengths)[places].sum())
+
+
 def _train(vocabulary, start, rate: float, least: int = 0):
     """Weights after learning from the training documents of a task's blocks, and how many tokens that took.
 
-    Each block is passed over once, or as often as it takes to see ``least`` tokens.
+    Each block is passed over once, or as often as it takes to see ``least`` tokens, while that helps: then every
+    eighth training text of the block is left out and tells whether a pass did.
     """
 
     def run(batches) -> Iterator:
@@ -202,9 +282,20 @@ def _train(vocabulary, start, rate: float, least: int = 0):
                 chosen = np.asarray(batch.column("trained")[i].values.to_numpy(zero_copy_only=False), bool)
                 if chosen.any():
                     words, goal = known.numbers(dictionary)[tokens], learned + least
-                    learned += trainer.learn(words, starts[chosen], lengths[chosen])
-                    while learned < goal and trainer.steps < MOST_STEPS:
-                        learned += trainer.learn(words, starts[chosen], lengths[chosen])
+                    texts = np.flatnonzero(chosen)
+                    apart = np.arange(len(texts)) % 8 == 7 if least else np.zeros(len(texts), bool)
+                    told, texts = texts[apart], texts[~apart]
+                    kept, best = flat(trainer.network.w), likelihood(trainer.network, words, starts[told], lengths[told])
+                    learned += trainer.learn(words, starts[texts], lengths[texts])
+                    while least:
+                        now = likelihood(trainer.network, words, starts[told], lengths[told])
+                        if now < best:
+                            trainer.network.w = shaped(kept, like)
+                            break
+                        kept, best = flat(trainer.network.w), now
+                        if learned >= goal or trainer.steps >= MOST_STEPS:
+                            break
+                        learned += trainer.learn(words, starts[texts], lengths[texts])
         if learned:
             arrays = [
                 pa.array([TaskContext.get().partitionId()], pa.int64()),
@@ -228,7 +319,7 @@ def _average(table):
 def trained_weights(blocks: DataFrame, vocabulary: Vocabulary) -> dict[str, np.ndarray]:
     """The network's weights: a start on one block, then a pass of all tasks over all blocks, averaged in groups."""
     spark, schema = blocks.sparkSession, "part long, seen double, weights binary"
-    weights = initial(vocabulary.classes, vocabulary.counts, vocabulary.other_tokens)
+    weights = initial(vocabulary.classes, vocabulary.counts, vocabulary.last)
     learning = blocks.select("block", "trained", "lengths", "dictionary", "tokens").where(F.exists("trained", lambda x: x))
     first = learning.agg(F.min("block")).first()[0]
     if first is None:
@@ -238,9 +329,9 @@ def trained_weights(blocks: DataFrame, vocabulary: Vocabulary) -> dict[str, np.n
     begun = head.mapInArrow(_train(sent, spark.sparkContext.broadcast(weights), FIRST_RATE, FIRST_TOKENS), schema).collect()
     weights = shaped(begun[0].weights, weights)
     models = written(learning.mapInArrow(_train(sent, spark.sparkContext.broadcast(weights), RATE), schema), "weights")
-    left = models.count()
+    left, together = models.count(), int(np.clip(AVERAGED_BYTES // len(begun[0].weights), 2, AVERAGED))
     while left > 1:
-        left = -(-left // AVERAGED)
+        left = -(-left // together)
         group = F.pmod(F.xxhash64("part"), F.lit(left)).alias("group")
         models = models.groupBy(group).applyInArrow(_average, schema)
         models = written(models, "weights") if left > 1 else models
@@ -253,17 +344,15 @@ def _score(vocabulary, weights):
 
         known = Vocabulary(*vocabulary.value)
         whole = known.tokens + SMOOTHING * (known.distinct + 1)
-        others = known.other_tokens + SMOOTHING * (known.other_distinct + 1)
         for batch in batches:
             for i in range(batch.num_rows):
                 dictionary, tokens, lengths, starts = block_of(batch, i)
                 parts = batch.column("corpus")[i].values
                 counts = np.concatenate([np.frombuffer(part.as_buffer(), np.int64) for part in parts])
                 base = np.log10((counts + SMOOTHING) / whole)
-                numbers = known.numbers(dictionary)
-                words = numbers[tokens]
+                words = known.numbers(dictionary)[tokens]
                 natural = log_probabilities(weights.value, known.classes, words, starts, lengths)
-                within = np.where(numbers == known.size, np.log10((counts + SMOOTHING) / others), 0.0)
+                within = np.log10(known.shares(dictionary, counts))
                 score = natural / np.log(10) + within[tokens]
                 arrays = [
                     batch.column("ids")[i].values,
@@ -299,14 +388,10 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     blocks = written(rows.mapInArrow(_blocks, BLOCKS), "blocks")
     entries = blocks.agg(F.sum("entries")).first()[0] or 0
     bits = max(0, (entries // RANGE_ENTRIES).bit_length())
+    group_bits = int(entries).bit_length() // 2  # about as many groups as the root of the entries
     cut = blocks.select("block", "dictionary", "counts").mapInArrow(_ranges(bits), RANGES)
-    merged = written(cut.groupBy("part").applyInArrow(_merge(VOCABULARY), MERGED), "counts")
-    totals = merged.agg(F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("known"), F.lit(0))).first()
-    top = merged.where("words is not null").select(F.explode(F.arrays_zip("words", "times")).alias("w")).select("w.*")
-    top = top.orderBy(F.desc("times"), "words").limit(VOCABULARY).collect()
-    vocabulary = Vocabulary(
-        np.array([row.words for row in top], np.int64).view(np.uint64), np.array([row.times for row in top], np.int64), *totals
-    )
+    merged = written(cut.groupBy("part").applyInArrow(_merge(LEAST_COUNT, group_bits), MERGED), "counts")
+    vocabulary = vocabulary_of(merged, group_bits)
     weights = trained_weights(blocks, vocabulary)
 
     corpus = merged.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("part", "counts"))).alias("parts"))
@@ -318,7 +403,7 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         "held_out",
         "n_tokens",
         "n_known",
-        F.lit(int(totals[0])).cast("long").alias("train_tokens"),
+        F.lit(vocabulary.tokens).cast("long").alias("train_tokens"),
         "base_score",
         "score",
     )

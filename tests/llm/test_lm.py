@@ -55,6 +55,47 @@ def test_without_training_texts_all_words_are_unknown(spark):
     assert {(r.n_known, r.train_tokens, r.base_score, r.score) for r in got} == {(0, 0, 0.0, 0.0)}
 
 
+def test_the_vocabulary_grows_with_the_corpus(spark, documents, texts, monkeypatch):
+    """Words of enough occurrences are symbols of their own, however many; others are told apart by groups."""
+    seen, learn = [], lm.trained_weights
+    monkeypatch.setattr(lm, "FIRST_TOKENS", 1 << 14)
+    monkeypatch.setattr(lm, "trained_weights", lambda blocks, known: seen.append(known) or learn(blocks, known))
+    lm.score_documents(documents).count()
+    lm.score_documents(documents.where("doc_id % 4 = 0")).count()
+    whole, part = seen
+    train = [[*spaced(t), None] for i, t in texts.items() if zlib.crc32(str(i).encode()) % 10]
+    counts = Counter(w for ws in train for w in ws)
+    least = min(whole.given[1])
+    assert least >= lm.LEAST_COUNT
+    assert sorted(whole.given[1]) == sorted(c for c in counts.values() if c >= least)
+    assert least == lm.LEAST_COUNT or sum(whole.given[1]) >= lm.COVERAGE * sum(counts.values())
+    assert len(whole.sorted) > 1024 and len(whole.sorted) > len(part.sorted) and len(whole.groups) > len(part.groups) > 1
+    assert (whole.tokens, whole.distinct) == (sum(counts.values()), len(counts))
+    assert whole.group_words.sum() == len(counts) - len(whole.sorted)
+
+
+def test_words_of_a_group_share_it():
+    rng = np.random.default_rng(5)
+    hashes = np.unique(rng.integers(0, 2**63, 3000).astype(np.uint64) * np.uint64(2))
+    counts = rng.integers(1, 9, len(hashes))
+    group, own = lm.group_of(hashes, 4), counts >= 6
+    known = lm.Vocabulary(
+        hashes[own], counts[own], 4, np.bincount(group, weights=counts, minlength=16).astype(np.int64), np.bincount(group, minlength=16)
+    )
+    numbers, shares = known.numbers(hashes), known.shares(hashes, counts)
+    assert sorted(numbers[own]) == sorted(set(numbers[own])) and not set(numbers[own]) & set(numbers[~own])
+    assert len(set(numbers[~own])) == 16 and set(numbers) == set(range(known.classes.words))
+    total = np.bincount(numbers, weights=shares)
+    unseen = lm.SMOOTHING / (known.group_times + lm.SMOOTHING * (known.group_words + 1))
+    total[known.groups] += unseen
+    assert total == pytest.approx(np.ones(len(total)))
+
+
+@pytest.mark.parametrize(("levels", "words", "least"), [([], [], 5), ([1, 2], [9, 9], 5), ([100, 50, 10, 1], [1, 1, 1, 40], 50)])
+def test_least_count(levels, words, least):
+    assert lm.least_count(np.array(levels), np.array(words)) == least
+
+
 def small_network():
     counts = np.array([50, 20, 10, 5, 5, 2])
     classes = gru.Classes.of(counts)
