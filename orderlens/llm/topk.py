@@ -25,14 +25,17 @@ EXACT = float(2**53)
 FOUND = "query_id long, vec_id long, score long"
 
 
-def packed(vectors: DataFrame, rows: int, key: str) -> DataFrame:
+def packed(vectors: DataFrame, rows: int, key: str, unique: bool) -> DataFrame:
     """The vectors in blocks of ``rows`` on average: block number, and arrays of ids and of values one after another.
 
-    Rows are dealt by a hash of id and row number, so that a repeated row does not fill one block.
+    With ``unique`` ids, rows are dealt by a hash of the id alone, so that a task that is run again deals them as
+    before, in whatever order it reads them. Otherwise the row number is hashed too, so that a repeated row does not
+    fill one block; ``vectors`` must then come from a scan, without a shuffle.
     """
     n = vectors.count()
     blocks = max(1, -(-n // rows))
-    number = F.pmod(F.xxhash64("id", F.monotonically_increasing_id()), F.lit(blocks)).cast("int")
+    dealt = ["id"] if unique else ["id", F.monotonically_increasing_id()]
+    number = F.pmod(F.xxhash64(*dealt), F.lit(blocks)).cast("int")
     grouped = vectors.groupBy(number.alias(key)).agg(F.collect_list(F.struct("id", "v")).alias("rows"))
     return grouped.select(key, F.col("rows.id").alias(f"{key}_ids"), F.col("rows.v").alias(f"{key}_values"))
 
@@ -164,7 +167,7 @@ def top_k(
     queries = clean.where(F.col("id") % every == 0).groupBy("id").agg(F.collect_set("v").alias("vs"))
     one = F.when(F.size("vs") == 1, F.element_at("vs", 1)).otherwise(F.raise_error("one query id has several vectors"))
     queries = queries.select("id", one.alias("v"))
-    q, b = packed(queries, query_rows, "q"), packed(clean, block_rows, "b")
+    q, b = packed(queries, query_rows, "q", unique=True), packed(clean, block_rows, "b", unique=False)
     n_q, n_b = max(1, -(-queries.count() // query_rows)), max(1, -(-clean.count() // block_rows))
     left = b.withColumn("q", F.explode(F.sequence(F.lit(0), F.lit(n_q - 1))))
     right = q.withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(n_b - 1))))

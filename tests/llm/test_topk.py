@@ -48,6 +48,17 @@ def test_odd_rows(spark):
     assert found(topk.top_k(frame(spark, [(0, [1.0])]), 3)) == []
 
 
+def test_queries_are_dealt_by_their_ids_alone(spark, monkeypatch):
+    """Whatever order a task reads the queries in, also when it is run again."""
+    seen, pack = [], topk.packed
+    monkeypatch.setattr(topk, "packed", lambda df, rows, key, **how: seen.append((df, rows, key, how)) or pack(df, rows, key, **how))
+    topk.top_k(frame(spark, [(100 * i, [float(i), 1.0]) for i in range(60)]), 2, query_rows=7)
+    (queries, rows, _, how), _ = seen
+    orders = queries.repartition(1).sortWithinPartitions("id"), queries.repartition(5).sortWithinPartitions("v")
+    blocks = [{i: r.q for r in pack(df, rows, "q", **how).collect() for i in r.q_ids} for df in orders]
+    assert blocks[0] == blocks[1] and len(blocks[0]) == 60 and len(set(blocks[0].values())) > 1
+
+
 def test_large_values_stay_exact(spark):
     rows = [(0, [3e4, 2.0**20]), (1, [2.0**20, 1.0]), (2, [2.0**20, 2.0]), (3, [-(2.0**20), 2.0**18])]
     assert found(topk.top_k(frame(spark, rows), 2)) == sorted(brute(rows, 2))
