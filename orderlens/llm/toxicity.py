@@ -276,8 +276,8 @@ def _evidence(model):
 def fit(sample: DataFrame, clean_share: float) -> Model:
     """Learn insults, factors and curve from a bounded sample of (body, toxic).
 
-    Features are taken by how many toxic documents they explain that others do not. ``clean_share`` is the labels'
-    share of 0.
+    Features are taken by how many toxic documents they explain that others do not. ``clean_share`` is the share
+    of 0 among the labels that are not held out.
     """
     spark = sample.sparkSession
     counted = sample.mapInArrow(_features, "f long, clean long, toxic long").groupBy("f")
@@ -356,7 +356,7 @@ def _curve(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, flo
 def train(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "toxic", per_label: int = SAMPLE_PER_LABEL) -> Model:
     """Fit the grammar's weights on at most ``per_label`` documents of each label, none of them held out."""
     labels = labels.select("doc_id", F.col(f"`{label}`").cast("int").alias(label)).where(F.col(label).isin(0, 1)).distinct()
-    share = labels.agg(F.avg(1 - F.col(label))).first()[0]
+    share = labels.where(~held_out("doc_id")).agg(F.avg(1 - F.col(label))).first()[0]
     return fit(labelled_sample(docs, labels, text, label, per_label), 0.5 if share is None else float(share))
 
 

@@ -72,6 +72,15 @@ def test_labels_of_the_held_out_fold_are_not_used(spark, made):
     assert a.insults == b.insults and a.factors == b.factors
 
 
+def test_curve_and_scores_do_not_depend_on_held_out_labels(spark, made):
+    docs, labels, _ = made
+    told = labels.selectExpr("doc_id", "if(crc32(cast(doc_id as string)) % 3 = 1, 1, toxic) AS toxic")
+    a, b = (toxicity.train(docs, given) for given in (labels, told))
+    assert (a.slope, a.offset) == pytest.approx((b.slope, b.offset), rel=1e-9)
+    scores = [[r.score for r in toxicity.score_toxicity(docs, m).orderBy("doc_id").collect()] for m in (a, b)]
+    assert scores[0] == pytest.approx(scores[1], rel=1e-9)
+
+
 def test_odd_rows(spark, odd):
     labels = spark.createDataFrame([(1, 1), (4, 0), (5, 1), (None, 1)], "doc_id long, toxic int")
     scored = toxicity.score_toxicity(odd, toxicity.train(odd, labels))
