@@ -267,8 +267,8 @@ def likelihood(network: Network, words: np.ndarray, starts: np.ndarray, lengths:
 def _train(vocabulary, start, rate: float, least: int = 0):
     """Weights after learning from the training documents of a task's blocks, and how many tokens that took.
 
-    Each block is passed over once, or as often as it takes to see ``least`` tokens, while that helps: then every
-    eighth training text of the block is left out and tells whether a pass did.
+    Each block is passed over once, or as often as it takes to see ``least`` tokens. Then every eighth training text of
+    the block is left out and tells after which pass the weights were best.
     """
 
     def run(batches) -> Iterator:
@@ -289,13 +289,13 @@ def _train(vocabulary, start, rate: float, least: int = 0):
                     learned += trainer.learn(words, starts[texts], lengths[texts])
                     while least:
                         now = likelihood(trainer.network, words, starts[told], lengths[told])
-                        if now < best:
-                            trainer.network.w = shaped(kept, like)
-                            break
-                        kept, best = flat(trainer.network.w), now
+                        if now >= best:
+                            kept, best = flat(trainer.network.w), now
                         if learned >= goal or trainer.steps >= MOST_STEPS:
                             break
                         learned += trainer.learn(words, starts[texts], lengths[texts])
+                    if least:
+                        trainer.network.w = shaped(kept, like)
         if learned:
             arrays = [
                 pa.array([TaskContext.get().partitionId()], pa.int64()),
