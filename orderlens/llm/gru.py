@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 
-STATE = 12
+STATE = 16
 WINDOW = 16
 LANES = 512
 LEAST_LANES, LEAST_STEPS = 32, 250
