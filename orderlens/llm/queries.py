@@ -15,6 +15,7 @@ from orderlens.llm.licenses import scan_licenses
 from orderlens.llm.lm import score_documents
 from orderlens.llm.ngram_join import near_duplicates
 from orderlens.llm.oracles import ORACLE_SQL
+from orderlens.llm.periods import find_runs
 from orderlens.llm.secrets import BASE, as_text, of_kinds, scan_secrets
 from orderlens.llm.token_counts import count_tokens
 from orderlens.llm.topk import top_k
@@ -41,6 +42,23 @@ def split_pattern() -> str:
     return public_tokenizers.PATTERN
 
 
+def with_planted_periods(docs: DataFrame) -> DataFrame:
+    """``documents`` in which about every tenth text repeats, from some word on, a stretch of its words to the end.
+
+    With h the crc32 of the decimal doc_id and g = h div 10, those with h mod 10 = 0 that have n > 0 words: each word
+    i >= a becomes word a + (i - a) mod p, where a = g mod n and p = 1 + (n - a) div (3 + g mod 8).
+    """
+    h = F.crc32(F.col("doc_id").cast("string"))
+    rows = docs.select("doc_id", "text", h.alias("h"), F.expr(r"regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+', 0)").alias("w"))
+    g = F.col("h").cast("long")
+    planted = rows.where("h % 10 = 0 AND size(w) > 0").select("doc_id", "w", F.expr("h div 10").alias("g"), F.size("w").alias("n"))
+    placed = planted.withColumn("a", F.expr("CAST(g % n AS INT)"))
+    placed = placed.withColumn("p", F.expr("CAST(1 + (n - a) div (3 + g % 8) AS INT)"))
+    changed = F.expr("array_join(transform(sequence(0, n - 1), i -> w[IF(i < a, i, a + (i - a) % p)]), ' ')")
+    left = rows.where("NOT coalesce(h % 10 = 0 AND size(w) > 0, false)").select("doc_id", "text")
+    return left.unionByName(placed.select("doc_id", changed.alias("text")))
+
+
 def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     scored = score_toxicity(docs, train(docs, table(spark, folder, "labels")))
@@ -97,6 +115,26 @@ def op10_lm_scores(spark: SparkSession, folder: str) -> DataFrame:
     return score_documents(table(spark, folder, "documents"))
 
 
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = find_runs(with_planted_periods(table(spark, folder, "documents")))
+    runs = F.col("runs")
+    order = F.transform(runs, lambda run: F.struct((-run["length"]).alias("shorter"), run["start"], run["period"]))
+    longest = F.array_min(order)
+    start, length, period = longest["start"], -longest["shorter"], longest["period"]
+    lines = F.transform(runs, lambda run: F.concat_ws(",", run["start"], run["length"], run["period"]))
+    text = F.concat(F.array_join(lines, "\n"), F.when(F.size(runs) > 0, "\n").otherwise(""))
+    return found.select(
+        "doc_id",
+        F.size(runs).cast("long").alias("n_runs"),
+        start.alias("start"),
+        length.alias("length"),
+        period.alias("period"),
+        F.floor(1000 * length / period).alias("exponent_milli"),
+        F.sha2(text, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_token_counts": op2_token_counts,
@@ -108,6 +146,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_html_text": op9_html_text,
     "op10_lm_scores": op10_lm_scores,
+    "op12_periodic_runs": op12_periodic_runs,
 }
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
