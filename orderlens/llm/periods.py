@@ -20,7 +20,6 @@ Work per octave is in proportion to the words, so n log n in all, and no task ne
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -37,7 +36,7 @@ STAGE = (
     "key bigint, n_words bigint, body string, returning boolean, "  # of a document
     "size bigint, first bigint, tile array<int>, bounds array<int>"  # of a tile
 )
-STAGE_NAMES = ("key", "n_words", "body", "returning", "size", "first", "tile", "bounds")
+STAGE_NAMES = tuple(column.split()[0] for column in STAGE.split(", "))
 RUN = "array<struct<start:bigint,length:bigint,period:bigint>>"
 
 
@@ -56,16 +55,16 @@ def z_function(x: list[int]) -> list[int]:
     return z
 
 
-@lru_cache(1 << 16)
-def prime_divisors(q: int) -> tuple[int, ...]:
-    found, r = [], 2
+def prime_divisors(q: int) -> Iterator[int]:
+    r = 2
     while r * r <= q:
         if q % r == 0:
-            found.append(r)
+            yield r
             while q % r == 0:
                 q //= r
         r += 1
-    return (*found, q) if q > 1 else tuple(found)
+    if q > 1:
+        yield q
 
 
 def boundary_fragments(w: list[int], b: int, least: int) -> Iterator[tuple[int, int, int]]:

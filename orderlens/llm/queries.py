@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlens.llm.bpe import encode_and_decode
+from orderlens.llm.conversations import line_digests, repair_conversations
 from orderlens.llm.decontamination import decontaminate
 from orderlens.llm.html_text import extract_text
 from orderlens.llm.licenses import scan_licenses
@@ -16,6 +17,7 @@ from orderlens.llm.lm import score_documents
 from orderlens.llm.ngram_join import near_duplicates
 from orderlens.llm.oracles import ORACLE_SQL
 from orderlens.llm.periods import find_runs
+from orderlens.llm.quality import language_references, score_quality
 from orderlens.llm.secrets import BASE, as_text, of_kinds, scan_secrets
 from orderlens.llm.token_counts import count_tokens
 from orderlens.llm.topk import top_k
@@ -115,6 +117,38 @@ def op10_lm_scores(spark: SparkSession, folder: str) -> DataFrame:
     return score_documents(table(spark, folder, "documents"))
 
 
+def damaged(conversations: DataFrame) -> DataFrame:
+    """Rows damaged by the crc32 of ``conv_id:turn`` (a null is one space) mod 20: 0 drops the row, 1 empties its text, 2
+    takes ``. ! ?`` out of it, 3 repeats the row, 4 makes it the user's. Null roles and texts are one space.
+    """
+    space = F.lit(" ")
+    filled = {name: F.coalesce(F.col(name), space) for name in ("role", "text")}
+    ids = [F.coalesce(F.col(name).cast("string"), space) for name in ("conv_id", "turn")]
+    rows = conversations.withColumns({**filled, "kind": F.crc32(F.concat(ids[0], F.lit(":"), ids[1])) % 20}).where("kind <> 0")
+    kind = F.col("kind")
+    text = F.when(kind == 1, "").when(kind == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    role = F.when(kind == 4, "user").otherwise(F.col("role"))
+    copies = F.explode(F.when(kind == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("copy")
+    return rows.select("conv_id", "turn", role.alias("role"), text.alias("text"), copies).drop("copy")
+
+
+def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    repair = repair_conversations(damaged(rows))
+    report = repair.report.withColumnRenamed("conv", "of")
+    digests = line_digests(repair.turns).withColumnRenamed("conv", "whose")
+    known = rows.select("conv_id").distinct()
+    joined = known.join(report, F.col("conv_id").eqNullSafe(F.col("of")), "left")
+    joined = joined.join(digests, F.col("conv_id").eqNullSafe(F.col("whose")), "left")
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return joined.select(
+        "conv_id",
+        *(F.coalesce(name, F.lit(0).cast("bigint")).alias(name) for name in counts),
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
 def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     found = find_runs(with_planted_periods(table(spark, folder, "documents")))
     runs = F.col("runs")
@@ -135,6 +169,11 @@ def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return score_quality(docs, language_references(docs))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_token_counts": op2_token_counts,
@@ -146,7 +185,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_html_text": op9_html_text,
     "op10_lm_scores": op10_lm_scores,
+    "op11_conversation_repair": op11_conversation_repair,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_quality_rules": op13_quality_rules,
 }
 
 __all__ = ["ORACLE_SQL", "QUERIES"]

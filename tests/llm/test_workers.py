@@ -17,7 +17,7 @@ from pyspark.sql import SparkSession
 spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config(
     "spark.sql.shuffle.partitions", "2").getOrCreate()
 from orderlens.llm.queries import QUERIES
-for name in ("op1_toxicity", "op2_token_counts", "op9_html_text", "op10_lm_scores"):
+for name in ("op1_toxicity", "op2_token_counts", "op9_html_text", "op10_lm_scores", "op11_conversation_repair", "op12_periodic_runs", "op13_quality_rules"):
     assert QUERIES[name](spark, {SMALL!r}).count() > 0
 print("done")
 """
