@@ -156,15 +156,18 @@ def promotion_count_profile(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def approx_statistics(spark: SparkSession, folder: str) -> DataFrame:
-    rows = base.prepared(spark, folder)
-    levels = pct.approx_thresholds(rows, base.GROUP)
-    return rounded(pct.threshold_statistics(rows, levels, base.GROUP), STDDEVS)
+    return rounded(pct.approx_statistics(base.prepared(spark, folder), base.GROUP), STDDEVS)
 
 
 def exact_statistics(spark: SparkSession, folder: str) -> DataFrame:
+    return rounded(pct.exact_statistics(base.prepared(spark, folder), base.GROUP), ("p80", "p90", *STDDEVS))
+
+
+def given_threshold_statistics(spark: SparkSession, folder: str) -> DataFrame:
+    """Thresholds of one table, a style's over all months, for another's groups: these have to be joined."""
     rows = base.prepared(spark, folder)
-    levels = pct.exact_thresholds(rows, base.GROUP)
-    return rounded(pct.threshold_statistics(rows, levels, base.GROUP), ("p80", "p90", *STDDEVS))
+    levels = pct.approx_thresholds(rows, ["style"])
+    return rounded(pct.threshold_statistics(rows, levels, ["style"]), STDDEVS)
 
 
 def group_sizes(spark: SparkSession, folder: str) -> DataFrame:
@@ -399,6 +402,16 @@ FROM approx""",
   round(p90_stddev, 4) AS p90_stddev) FROM exact""",
         ),
     ),
+    "given_threshold_statistics": Entry(
+        given_threshold_statistics,
+        with_(
+            base.PREPARED_SQL,
+            base.thresholds_sql("a", "quantile_disc", "style"),
+            base.statistics_sql("given", "a", "style"),
+            select="""SELECT * REPLACE (round(p80_stddev, 4) AS p80_stddev, round(p90_stddev, 4) AS p90_stddev)
+FROM given""",
+        ),
+    ),
     "group_sizes": Entry(
         group_sizes,
         with_(

@@ -19,9 +19,12 @@ from orderlens.operators.comparison import (
 )
 from orderlens.operators.lookup import Lookup, Workspace, lookup_join, staged
 from orderlens.operators.percentiles import (
+    approx_statistics,
     approx_thresholds,
+    exact_statistics,
     exact_thresholds,
     group_sizes,
+    profile_levels,
     profile_statistics,
     profile_thresholds,
     threshold_statistics,
@@ -54,6 +57,7 @@ from orderlens.operators.windows import (
 __all__ = [
     "Lookup",
     "Workspace",
+    "approx_statistics",
     "approx_thresholds",
     "assert_unique_key",
     "below_benchmark",
@@ -64,6 +68,7 @@ __all__ = [
     "compare_levels",
     "compare_methods",
     "daily_cells",
+    "exact_statistics",
     "exact_thresholds",
     "group_sizes",
     "is_big_size",
@@ -75,6 +80,7 @@ __all__ = [
     "lookup_join",
     "median_variety",
     "pick_winners",
+    "profile_levels",
     "profile_statistics",
     "profile_thresholds",
     "promotion_appearances",

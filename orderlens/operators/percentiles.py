@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -11,8 +12,8 @@ from orderlens.functions import moments
 
 PROBABILITIES = (0.8, 0.9)
 ACCURACY = 10_000
-BINS = 4096
-LEVELS = 2
+CROWD = 4096  # values of a group that one task may rank
+RANGES = 256  # into which a group with more values is divided
 
 
 def level_name(probability: float) -> str:
@@ -66,37 +67,172 @@ def approx_thresholds(
     return sketched.select(*keys, "order_count", *levels)
 
 
-def _joined(left: DataFrame, right: DataFrame, names: Sequence[str], how: str = "inner") -> DataFrame:
-    """Join on columns where null equals null."""
-    renamed = right.withColumnsRenamed({name: f"_r_{name}" for name in names})
-    same = [F.col(name).eqNullSafe(F.col(f"_r_{name}")) for name in names]
-    return left.join(renamed, same, how).drop(*(f"_r_{name}" for name in names))
+MEASURES = ("n", "n_amount", "s", "ss")
 
 
-def _narrowed(rows: DataFrame, cells: Sequence[str], value: str, name: str) -> DataFrame:
-    """The rows of the bins that hold a wanted position, with the bin as column ``name``.
+@dataclass(frozen=True)
+class Level:
+    """A percentile to read off a histogram: interpolated, or the nearest rank as the approximate method gives it."""
 
-    ``cells`` are split into ``BINS`` equal ranges between their smallest and largest finite value, so a row's bin
-    depends on its value and on exact aggregates only. ``_at`` lists the wanted positions of a row's group, ``_before``
-    how many of the group's rows lie below its cell, and then below its bin.
+    name: str
+    probability: float
+    exact: bool = True
+
+
+def _ranks(total: Column, level: Level, accuracy: int) -> list[Column]:
+    """The places in sorted order (from 0) that a level is made of."""
+    p = float(level.probability)
+    if level.exact:
+        at = (total.cast("double") - 1.0) * p
+        return [F.floor(at).cast("bigint"), F.ceil(at).cast("bigint")]
+    if p <= 1 / accuracy:
+        return [F.lit(0).cast("bigint")]
+    if p >= 1 - 1 / accuracy:
+        return [total - 1]
+    return [F.greatest(F.ceil(total * p).cast("bigint"), F.lit(1)) - 1]
+
+
+def _marked(levels: Sequence[Level]) -> list[str]:
+    """Columns for the sketched values of those levels that are not exact."""
+    return [f"_mark{number}" for number, level in enumerate(levels) if not level.exact]
+
+
+def _sums(profile: DataFrame) -> list[str]:
+    return [name for name in MEASURES if name in profile.columns]
+
+
+def _divided(
+    rows: DataFrame, value: str, totals: DataFrame, levels: Sequence[Level], accuracy: int, sketched: DataFrame | None
+) -> DataFrame:
+    """Groups of very many values, with all values merged that lie in ranges without a wanted place.
+
+    A sketch of a group's values, each counted once, gives ``RANGES - 1`` pivots. Counts per range are exact, so it is
+    known which ranges hold the wanted places, whatever the sketch got wrong: its error makes ranges uneven, no more.
     """
     x = F.col(value).cast("double")
-    half = F.when(F.abs(x) < float("inf"), x / 2)  # halved, so that the width of a range is finite
-    edges = rows.groupBy(*cells).agg(F.min(half).alias("_low"), F.max(half).alias("_high"))
-    low, high = F.col("_low"), F.col("_high")
-    share = F.floor((x / 2 - low) / (high - low) * BINS)
-    number = F.when(F.isnan(x), BINS + 1).when(x == float("inf"), BINS).when(x == float("-inf"), -1)
-    number = number.when(high > low, F.least(share, F.lit(BINS - 1))).otherwise(0)
-    placed = _joined(rows, edges, cells).withColumn(name, number.cast("int")).drop("_low", "_high")
-
-    counts = placed.groupBy(*cells, name).agg(
-        F.sum("n").alias("_in"), F.max("_before").alias("_before"), F.max("_at").alias("_at")
-    )
-    below = Window.partitionBy(*cells).orderBy(name).rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.withColumn("_start", F.col("_before") + F.coalesce(F.sum("_in").over(below), F.lit(0)))
-    wanted = F.exists("_at", lambda at: (at >= F.col("_start")) & (at < F.col("_start") + F.col("_in")))
-    kept = starts.where(wanted).select(*cells, name, "_start")
-    return _joined(placed.drop("_before"), kept, [*cells, name]).withColumnRenamed("_start", "_before")
+    shares = [i / RANGES for i in range(1, RANGES)]
+    pivots = rows.groupBy("_k").agg(F.percentile_approx(x, shares, 16 * RANGES).alias("_pivots"))
+    number = F.size(F.filter("_pivots", lambda pivot: pivot < x)).alias("_range")
+    placed = rows.join(pivots, "_k").select("_k", value, *_sums(rows), "_all", number)
+    sums = [F.sum(name).alias(name) for name in (*_sums(rows), "_all")]
+    spans = [F.min(value).alias(value), F.max(value).alias("_last")]
+    ranges = placed.groupBy("_k", "_range").agg(*sums, *spans)
+
+    wanted = [F.array(*(rank for level in levels for rank in _ranks(F.col("_total"), level, accuracy))).alias("_at")]
+    marks = totals.select("_k", *wanted)
+    if sketched is not None:
+        marks = marks.join(sketched.select("_k", F.array(*_marked(levels)).alias("_marks")), "_k", "left")
+    below = Window.partitionBy("_k").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.coalesce(F.sum("n").over(below), F.lit(0))
+    counted = ranges.withColumn("_start", start).join(marks, "_k")
+    inside = F.exists("_at", lambda at: (at >= F.col("_start")) & (at < F.col("_start") + F.col("n")))
+    if sketched is not None:
+        low, high = F.col(value).cast("double"), F.col("_last").cast("double")
+        inside |= F.coalesce(F.exists("_marks", lambda mark: (mark >= low) & (mark <= high)), F.lit(False))
+    counted = counted.withColumn("_open", inside & (F.col(value) < F.col("_last")))
+    merged = counted.where("NOT _open").select("_k", value, *_sums(rows), "_all")
+    opened = placed.join(counted.where("_open").select("_k", "_range"), ["_k", "_range"], "left_semi")
+    return merged.unionByName(opened.select(*merged.columns))
+
+
+def _bounded(
+    profile: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    levels: Sequence[Level],
+    accuracy: int,
+    crowd: int,
+    source: DataFrame | None,
+) -> tuple[DataFrame, DataFrame | None]:
+    """The histogram by group ``_k`` with no more rows in a group than can be ranked in a task, and sketched levels.
+
+    Groups with more than ``crowd`` values are divided. ``_all`` counts a group's rows, null values included, which have
+    no place and no amounts. Sketches are made of the groups of ``source`` that are too large for an exact one.
+    """
+    known = F.col(value).isNotNull()
+    sums = [F.when(known, F.coalesce(name, F.lit(0))).otherwise(0).alias(name) for name in _sums(profile)]
+    rows = profile.select(F.struct(*keys).alias("_k"), value, *sums, F.col("n").alias("_all"))
+    totals = rows.groupBy("_k").agg(F.count(value).alias("_values"), F.sum("n").alias("_total"))
+    sketched = None
+    marked = _marked(levels)
+    if source is not None and marked:
+        large = totals.where(F.col("_total") * 2 >= accuracy).select("_k")
+        probs = [level.probability for level in levels if not level.exact]
+        keyed = source.select(F.struct(*keys).alias("_k"), value).join(large, "_k", "left_semi")
+        found = keyed.groupBy("_k").agg(F.percentile_approx(value, probs, accuracy).alias("_levels"))
+        sketched = found.select("_k", *(F.col("_levels")[i].cast("double").alias(name) for i, name in enumerate(marked)))
+    crowded = totals.where(F.col("_values") > crowd).select("_k", "_total")
+    divided = _divided(rows.where(known).join(crowded.select("_k"), "_k", "left_semi"), value, crowded, levels, accuracy, sketched)
+    nulls = rows.where(~known).join(crowded.select("_k"), "_k", "left_semi")
+    few = rows.join(crowded.select("_k"), "_k", "left_anti")
+    return few.unionByName(divided).unionByName(nulls), sketched
+
+
+def profile_levels(
+    profile: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    levels: Sequence[Level],
+    scale: int = moments.DEFAULT_SCALE,
+    accuracy: int = ACCURACY,
+    source: DataFrame | None = None,
+    crowd: int = CROWD,
+) -> DataFrame:
+    """Per group: ``order_count``, every level's value and, if the ``value_profile`` was made with an amount, the counts
+    and spread of the rows that reach it.
+
+    Running sums over a group's values, in order, tell the value at every place and, taken from the group's totals,
+    counts and moments of all rows from that value on. So a level with its outcome is one row of the histogram, whatever
+    the number of levels, and no thresholds are joined to anything.
+
+    Interpolated levels are exact. The others are the values at rank ceil(p * n), which is what ``percentile_approx``
+    returns while its sketch drops nothing; groups with ``accuracy / 2`` rows or more are sketched from ``source``, the
+    rows that the profile was made of, if that is given.
+
+    Groups of more than ``crowd`` values are divided first, so that no task ranks all of a large group's values.
+    """
+    rows, sketched = _bounded(profile, keys, value, levels, accuracy, crowd, source)
+    sums = _sums(profile)
+    own = Window.partitionBy("_k")
+    upto = own.orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = rows.select("_k", value, "n", F.sum("n").over(upto).alias("_upto"), *(
+        (F.sum(name).over(own) - F.sum(name).over(upto) + F.col(name)).alias(f"_from_{name}") for name in sums
+    ), F.sum("n").over(own).alias("_total"), F.sum("_all").over(own).alias("order_count"))
+    if sketched is not None:
+        ranked = ranked.join(sketched, "_k", "left")
+
+    place = F.struct(F.col(value).cast("double").alias("v"), *(F.col(f"_from_{name}").alias(name) for name in sums))
+    placed, picks = F.col("n") > 0, []
+    for number, level in enumerate(levels):
+        for i, rank in enumerate(_ranks(F.col("_total"), level, accuracy)):
+            reached = F.col("_upto") > rank
+            if sketched is not None and not level.exact:
+                mark = F.col(f"_mark{number}")
+                reached = F.when(mark.isNull(), reached).otherwise(F.col(value) >= mark)
+            picks.append(F.min(F.when(placed & reached, place)).alias(f"_pick{number}_{i}"))
+    found = ranked.groupBy("_k").agg(F.max("_total").alias("_total"), F.max("order_count").alias("order_count"), *picks)
+
+    shown, outcomes = [], []
+    for number, level in enumerate(levels):
+        low = F.col(f"_pick{number}_0")
+        if level.exact:
+            high = F.col(f"_pick{number}_1")
+            at = (F.col("_total").cast("double") - 1.0) * float(level.probability)
+            between = low["v"] + (at - F.floor(at)) * (high["v"] - low["v"])
+            threshold = F.when(low["v"] == high["v"], low["v"]).otherwise(F.least(between, high["v"]))
+            reached = F.when(low["v"] >= threshold, low).otherwise(high)
+        else:
+            threshold, reached = low["v"], low
+        shown.append(threshold.alias(level.name))
+        if "s" in sums:
+            n, s, ss = reached["n_amount"], reached["s"].cast(moments.SUMS), reached["ss"].cast(moments.SUMS)
+            spread = F.when(n > 0, moments.stddev(n, s, ss, scale))
+            outcomes += [
+                F.coalesce(reached["n"], F.lit(0)).alias(f"{level.name}_order_count"),
+                F.coalesce(n, F.lit(0)).alias(f"{level.name}_amount_count"),
+                F.coalesce(spread, F.lit(0.0)).alias(f"{level.name}_stddev"),
+            ]
+    return found.select(*(F.col("_k")[name].alias(name) for name in keys), "order_count", *shown, *outcomes)
 
 
 def profile_thresholds(
@@ -104,38 +240,12 @@ def profile_thresholds(
     keys: Sequence[str],
     value: str = "promotion_count",
     probs: Sequence[float] = PROBABILITIES,
+    crowd: int = CROWD,
 ) -> DataFrame:
-    """Exact interpolated percentiles from a ``value_profile``.
-
-    The value at sorted position i is the first whose running count exceeds i, so the sorted list is never built. Nor
-    are all of a group's values sorted: they are counted by range, twice, each time keeping only the ranges that hold
-    a wanted position; what is left is sorted.
-    """
-    names = [level_name(p) for p in probs]
-    # A null value is a row of its group but has no place in the sorted list.
-    placed = F.when(F.col(value).isNotNull(), F.col("n")).otherwise(0)
-    totals = profile.groupBy(*keys).agg(F.sum("n").alias("order_count"), F.sum(placed).alias("_total"))
-    positions = [(F.col("_total").cast("double") - 1.0) * float(p) for p in probs]
-    ends = [end(position).cast("bigint") for position in positions for end in (F.floor, F.ceil)]
-    wanted = totals.select(*keys, F.array(*ends).alias("_at"), F.lit(0).cast("bigint").alias("_before"))
-
-    rows = _joined(profile.where(F.col(value).isNotNull()).select(*keys, value, "n"), wanted, keys)
-    cells = list(keys)
-    for level in range(LEVELS):
-        rows = _narrowed(rows, cells, value, f"_bin{level}")
-        cells.append(f"_bin{level}")
-    within = Window.partitionBy(*cells).orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    upto = F.col("_before") + F.sum("n").over(within)
-    picks = [
-        F.min(F.when(F.col("_upto") > F.col("_at")[i], F.col(value))).cast("double").alias(f"_pick{i}")
-        for i in range(2 * len(names))
-    ]
-    found = rows.withColumn("_upto", upto).groupBy(*keys).agg(*picks)
-    levels = [
-        (F.col(f"_pick{2 * i}") + (at - F.floor(at)) * (F.col(f"_pick{2 * i + 1}") - F.col(f"_pick{2 * i}"))).alias(name)
-        for i, (name, at) in enumerate(zip(names, positions, strict=True))
-    ]
-    return _joined(totals, found, keys, "left").select(*keys, "order_count", *levels)
+    """Exact interpolated percentiles from a ``value_profile``; see ``profile_levels``."""
+    levels = [Level(level_name(p), p) for p in probs]
+    counts = profile.select(*keys, value, "n")
+    return profile_levels(counts, keys, value, levels, crowd=crowd)
 
 
 def exact_thresholds(
@@ -148,6 +258,45 @@ def exact_thresholds(
     return profile_thresholds(value_profile(df, keys, value), keys, value, probs)
 
 
+def _with_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    for k in keys:
+        df = df.where(F.col(k).isNotNull())
+    return df
+
+
+def exact_statistics(
+    df: DataFrame,
+    keys: Sequence[str],
+    value: str = "promotion_count",
+    amount: str = "amount",
+    probs: Sequence[float] = PROBABILITIES,
+    scale: int = moments.DEFAULT_SCALE,
+) -> DataFrame:
+    """``threshold_statistics`` at the exact percentiles, from one read of ``df`` and without a join to thresholds."""
+    levels = [Level(level_name(p), p) for p in probs]
+    return profile_levels(value_profile(_with_keys(df, keys), keys, value, amount, scale), keys, value, levels, scale)
+
+
+def approx_statistics(
+    df: DataFrame,
+    keys: Sequence[str],
+    value: str = "promotion_count",
+    amount: str = "amount",
+    probs: Sequence[float] = PROBABILITIES,
+    accuracy: int = ACCURACY,
+    scale: int = moments.DEFAULT_SCALE,
+) -> DataFrame:
+    """``threshold_statistics`` at the approximate percentiles. ``df`` is read again only for groups of ``accuracy / 2``
+    rows or more, whose sketches are not exact.
+    """
+    if accuracy <= 0:
+        raise ValueError("accuracy must be greater than 0")
+    known = _with_keys(df, keys)
+    levels = [Level(level_name(p), p, exact=False) for p in probs]
+    profile = value_profile(known, keys, value, amount, scale)
+    return profile_levels(profile, keys, value, levels, scale, accuracy, known)
+
+
 def profile_statistics(
     profile: DataFrame,
     thresholds: DataFrame,
@@ -156,9 +305,10 @@ def profile_statistics(
     levels: Sequence[str] = ("p80", "p90"),
     scale: int = moments.DEFAULT_SCALE,
 ) -> DataFrame:
-    """``threshold_statistics`` from a ``value_profile`` made with an amount, for the named columns of thresholds.
+    """``threshold_statistics`` from a ``value_profile`` made with an amount, for any columns of thresholds.
 
-    One join and one aggregation, however many levels there are.
+    One join and one aggregation, however many levels there are. Percentiles of the profile itself need neither; see
+    ``profile_levels``.
     """
     joined = profile.join(thresholds, list(keys), "inner")
     sums: list[Column] = []
@@ -195,9 +345,7 @@ def threshold_statistics(
     The rows are folded into a ``value_profile`` before they meet the thresholds: all rows of one value are above or
     below together, so the join handles one row per value, not one per order.
     """
-    known = df
-    for k in keys:
-        known = known.where(F.col(k).isNotNull())
+    known = _with_keys(df, keys)
     profile = value_profile(known, keys, value, amount, scale)
     return profile_statistics(profile, thresholds, keys, value, [level_name(p) for p in probs], scale)
 

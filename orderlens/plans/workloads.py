@@ -96,23 +96,25 @@ def percentile_statistics(
 ) -> PercentileResults:
     """Thresholds and spread per group, approximate and exact, of ``records.percentile_records``.
 
-    The rows are folded into a histogram, which serves the exact thresholds and both methods' statistics, and read
-    once more for the approximate sketches. All four levels of a group stand side by side, so the histogram is joined
-    and aggregated once for both methods, and the comparison is a projection. A workspace keeps the histogram and the
-    outcome. Groups with a null key have no part in any of the results.
+    The rows are folded into one histogram, and all four levels of a group are read off it together, so both methods'
+    thresholds and statistics come from one aggregation and the comparison is a projection. The approximate levels are
+    the sketch's own: of ``percentile_approx`` for groups too large for it to be exact, the only ones that are read again;
+    of the histogram for the others, where it gives the same. A workspace keeps the histogram and the outcome. Groups
+    with a null key have no part in any of the results.
     """
+    if accuracy <= 0:
+        raise ValueError("accuracy must be greater than 0")
     known = prepared
     for k in keys:
         known = known.where(F.col(k).isNotNull())
-    names = [pct.level_name(p) for p in pct.PROBABILITIES]
     profile = staged(pct.value_profile(known, keys, value, amount, scale), workspace, "profile")
-    approx = pct.approx_thresholds(known, keys, value, accuracy=accuracy)
-    exact = pct.profile_thresholds(profile, keys, value).drop("order_count")
-    levels = approx.withColumnsRenamed({name: f"approx_{name}" for name in names}).join(
-        exact.withColumnsRenamed({name: f"exact_{name}" for name in names}), list(keys)
-    )
-    sides = [f"{method}_{name}" for method in ("approx", "exact") for name in names]
-    both = staged(pct.profile_statistics(profile, levels, keys, value, sides, scale), workspace, "statistics")
+    levels = [
+        pct.Level(f"{method}_{pct.level_name(p)}", p, method == "exact")
+        for method in ("approx", "exact")
+        for p in pct.PROBABILITIES
+    ]
+    outcome = pct.profile_levels(profile, keys, value, levels, scale, accuracy, known)
+    both = staged(outcome, workspace, "statistics")
 
     def of(method: str) -> DataFrame:
         mine = [name for name in both.columns if name.startswith(f"{method}_")]

@@ -139,7 +139,8 @@ def test_many_values_in_one_group(spark, tmp_path, kept):
     with Workspace(spark, str(tmp_path)) as workspace:
         profile = pct.value_profile(df, KEYS)
         profile = workspace.stage(profile) if kept else profile
-        ours = {r[0]: tuple(r)[3:] for r in pct.profile_thresholds(profile, KEYS, probs=levels).collect()}
+        found = pct.profile_thresholds(profile, KEYS, probs=levels)
+        ours = {r[0]: tuple(r)[3:] for r in found.collect()}
     assert ours["none"] == (None,) * 5
     for row in df.groupBy("SKU").agg(F.percentile("promotion_count", list(levels)).alias("x")).collect():
         if row["x"] is not None:
@@ -166,13 +167,86 @@ def test_null_keys_are_groups(spark, rows):
     assert (None, None, 2, 3.0) in rows_of(pct.exact_thresholds(df, KEYS, probs=(0.5,)))
 
 
-def test_both_methods_share_one_aggregation(spark, rows):
+def executed(df):
+    """The final physical plan, after the run that adapts it, without the plan it began with."""
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+
+
+def parquet(spark, rows, tmp_path):
+    path = str(tmp_path / "rows")
+    frame(spark, rows).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def test_one_read_and_no_join_to_thresholds(spark, rows, tmp_path):
+    df = parquet(spark, rows, tmp_path)
+    for result in (
+        pct.exact_thresholds(df, KEYS),
+        pct.exact_statistics(df, KEYS),
+        pct.approx_statistics(df, KEYS),
+        percentile_statistics(df, amount="amount").comparison,
+    ):
+        plan = executed(result)
+        assert plan.count("FileScan") == 1
+        assert plan.count("Exchange ") + plan.count("Exchange(") <= 6
+
+
+def test_both_methods_stand_side_by_side(spark, rows):
     results = percentile_statistics(frame(spark, rows), amount="amount")
-    plan = results.comparison._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("sum(CASE WHEN (cast(promotion_count") + plan.count("sum(if") <= 16
     assert results.comparison.count() == 2 * results.approx.count() == 2 * results.exact.count()
 
 
+@pytest.mark.parametrize("crowd", [0, 3, 4096])
+def test_divided_groups_give_the_same(spark, crowd):
+    rng = random.Random(8)
+    made = [(name, "m", float(round(draw(rng), 2)), rng.choice((None, rng.randrange(900) / 4)))
+            for name, n, draw in [
+                ("even", 900, lambda r: r.random() * 100), ("heavy", 900, lambda r: r.paretovariate(0.3)),
+                ("equal", 50, lambda r: 7), ("few", 300, lambda r: r.randrange(4)), ("one", 1, lambda r: 5),
+                ("edge", 400, lambda r: r.choice((1, 1, 1, r.random()))),
+            ] for _ in range(n)]
+    made += [("even", "m", None, 1.0), ("none", "m", None, 2.0), (None, "m", 4.0, 2.0), (None, "m", 8.0, 2.0)]
+    df = spark.createDataFrame(made, SCHEMA.replace("int", "double"))
+    levels = [pct.Level(f"{kind}_{pct.level_name(p)}", p, kind == "e") for kind in "ea" for p in (0.0, 0.1, 0.5, 0.8, 0.9, 1.0)]
+    profile = pct.value_profile(df, KEYS, amount="amount")
+    found = pct.profile_levels(profile, KEYS, "promotion_count", levels, crowd=crowd)
+    for row in found.collect():
+        pairs = [(v, a) for k, _, v, a in made if k == row.SKU]
+        values = [v for v, _ in pairs if v is not None]
+        assert row.order_count == len(pairs)
+        for level in levels:
+            if not values:
+                assert (row[level.name], row[f"{level.name}_order_count"], row[f"{level.name}_stddev"]) == (None, 0, 0.0)
+                continue
+            expected = interpolated(values, level.probability) if level.exact else nearest(values, level.probability)
+            assert row[level.name] == pytest.approx(expected, rel=1e-12)
+            picked = [a for v, a in pairs if v is not None and v >= row[level.name]]
+            amounts = [a for a in picked if a is not None]
+            assert row[f"{level.name}_order_count"] == len(picked)
+            assert row[f"{level.name}_amount_count"] == len(amounts)
+            assert row[f"{level.name}_stddev"] == pytest.approx(pstdev(amounts) if amounts else 0.0, abs=1e-6)
+
+
+@pytest.mark.parametrize(("accuracy", "crowd"), [(10_000, 4096), (50, 4096), (50, 10)])
+def test_approximate_levels_are_those_of_the_sketch(spark, accuracy, crowd, tmp_path):
+    """Small groups by rank, larger ones from a sketch that is allowed to be wrong: the same values as the built-in."""
+    path = str(tmp_path / "rows")
+    spark.range(4000).selectExpr(
+        "CASE WHEN id % 4 = 0 THEN 'big' ELSE concat('k', id % 97) END AS SKU", "'m' AS year_month",
+        "CAST(id * 7919 % 4001 AS INT) AS promotion_count", "CAST(id % 13 AS DOUBLE) AS amount",
+    ).coalesce(1).write.parquet(path)
+    df = spark.read.parquet(path)
+    probs = (0.0, 0.0001, 0.5, 0.8, 0.9, 1.0)
+    built_in = {r.SKU: tuple(r)[2:] for r in pct.approx_thresholds(df, KEYS, probs=probs, accuracy=accuracy).collect()}
+    levels = [pct.Level(pct.level_name(p), p, exact=False) for p in probs]
+    profile = pct.value_profile(df, KEYS, amount="amount")
+    ours = pct.profile_levels(profile, KEYS, "promotion_count", levels, accuracy=accuracy, source=df, crowd=crowd)
+    assert {r.SKU: tuple(r)[2:9] for r in ours.collect()} == built_in
+    joined = pct.threshold_statistics(df, pct.approx_thresholds(df, KEYS, probs=probs, accuracy=accuracy), KEYS, probs=probs)
+    assert rows_of(ours) == rows_of(joined)
+
+
 def test_comparison(spark, rows):
     df = frame(spark, rows).withColumnRenamed("amount", "amount_value")
     results = percentile_statistics(df)
