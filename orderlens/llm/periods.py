@@ -6,8 +6,9 @@ of two ``P``. A run of such a period covers at least three boundaries, the multi
 forward and backward from every boundary sees all of it, in fragments that overlap:
 
 * **explode**: per octave a document falls into tiles, a body of boundaries with ``P`` words before and ``2P`` behind.
-  A tile is cut out only if a block of ``P`` words at one of its boundaries returns at a distance of the octave, which
-  running block codes tell for a whole octave by one comparison per word. Texts that repeat nothing yield no tile.
+  A tile is cut out only if the blocks of ``P`` words at neighbouring boundaries return at one distance of the octave, as
+  they do within every run; block codes tell that for a whole octave by one comparison per word. Texts without runs
+  hardly yield a tile.
 * **solve**: tiles are dealt over all tasks. In each, a Z-function forward from the boundary and one backward give for
   every period how far words at that distance agree. Blocks that are powers of a shorter one are not primitive; the
   octave of the shorter period finds them.
@@ -102,9 +103,12 @@ def merged(fragments: list[tuple[int, int, int]]) -> Iterator[tuple[int, int, in
 
 
 def _live_boundaries(ids) -> Iterator:
-    """(P, boundaries of octave P at which, or ``P`` words before, a block of ``P`` words returns within the octave).
+    """(P, boundaries of octave P that may lie in a run).
 
-    Blocks are told apart by 64-bit codes, made from those of half the size; a chance equality costs a tile, nothing else.
+    In a run, words agree with those a period on at no less than 3 P places, and at 5 if P is 1. So there are 2 boundaries
+    in a row, or 5, whose blocks of ``P`` words return at the same distance; they and the next one, which the run may
+    reach in part, are given. Blocks are told apart by 64-bit codes, made from those of half the size; a chance equality
+    costs a tile, nothing else.
     """
     import numpy as np
 
@@ -112,17 +116,19 @@ def _live_boundaries(ids) -> Iterator:
     codes = (ids.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
     codes ^= codes >> np.uint64(29)
     while LEAST_EXPONENT * size <= n and n >= LEAST_WORDS:
-        rows = (len(codes) - 1) // size  # blocks with at least one block a distance of ``size`` or more behind
+        rows, chain = (len(codes) - 1) // size, 5 if size == 1 else 2
         room = np.zeros((rows + 1) * size, np.uint64)
-        room[: len(codes)] = codes[: len(room)]
+        room[: len(codes)] = codes
         table = room.reshape(rows + 1, size)
-        returns = (table[1:] == table[:-1, :1]).any(axis=1)
-        if returns.any():
-            marked = np.zeros(rows + 1, bool)
-            marked[:-1] |= returns
-            marked[1:] |= returns
-            yield size, np.flatnonzero(marked) * size
-        codes = (codes[:-size] * np.uint64(0xD6E8FEB86659FD93)) ^ codes[size:] if len(codes) > size else codes[:0]
+        returns = table[1:] == table[:-1, :1]  # row: boundary, column: distance - size
+        for _ in range(1, chain):
+            returns = returns[:-1] & returns[1:] if len(returns) else returns
+        chained = np.flatnonzero(returns.any(axis=1))
+        if len(chained):
+            yield size, np.unique(chained[:, None] + np.arange(chain + 1)) * size
+        if len(codes) <= size:
+            break
+        codes = (codes[:-size] * np.uint64(0xD6E8FEB86659FD93)) ^ codes[size:]
         codes *= np.uint64(0xFF51AFD7ED558CCD)
         codes ^= codes >> np.uint64(32)
         size *= 2
