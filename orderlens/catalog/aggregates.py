@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from orderlens.catalog import base
@@ -81,6 +81,23 @@ def window_quality(spark: SparkSession, folder: str) -> DataFrame:
     return windows.window_quality(spoiled, threshold=2 * LIMIT, totals=busy)
 
 
+def observed_window_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """The counters that a run of the winners brings along; the run's own rows are not looked at."""
+    rows, counters = base.bought(spark, folder), Observation()
+    busy = windows.key_counts(rows).where(F.col("n") > LIMIT)
+    undated = rows.withColumn("order_date", F.when(F.month("order_date") % 2 == 0, F.col("order_date")))
+    winners = windows.trailing_window_winner(undated, threshold=2 * LIMIT, totals=busy, counters=counters)
+    winners.write.format("noop").mode("overwrite").save()
+    return checks.observed_profile(spark, counters)
+
+
+def observed_variety_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """The counters that a run of the medians brings along."""
+    counters = Observation()
+    variety.median_variety(base.monthly(spark, folder), counters=counters).write.format("noop").mode("overwrite").save()
+    return checks.observed_profile(spark, counters)
+
+
 def qualifying_styles(spark: SparkSession, folder: str) -> DataFrame:
     return variety.qualifying_styles(sales(spark, folder))
 
@@ -231,6 +248,12 @@ TAGGED_SQL = """SELECT * REPLACE (round(p80, 4) AS p80, round(p90, 4) AS p90, ro
     round(p90_stddev, 4) AS p90_stddev), '{name}' AS method FROM {name}"""
 SKU_KEYS = "sku, year_month"
 
+SEEN_SQL = """SELECT 'BOUGHT_RECORDS' AS rule, count(*) AS rows FROM seen WHERE day IS NOT NULL AND total IS NOT NULL
+UNION ALL SELECT 'MISSING_AMOUNT', count(*) FROM seen WHERE day IS NOT NULL AND total IS NOT NULL AND cents IS NULL
+UNION ALL SELECT 'BUCKET_EMISSIONS', CAST(coalesce(sum(length), 0) AS BIGINT) FROM seen WHERE day IS NOT NULL AND total IS NOT NULL
+UNION ALL SELECT 'INVALID_DATE', count(*) FROM seen WHERE day IS NULL
+UNION ALL SELECT 'STATE_COUNT_MISSING', count(*) FROM seen WHERE day IS NOT NULL AND total IS NULL"""
+
 ENTRIES = {
     "state_counts": Entry(
         state_counts, with_(base.BOUGHT_SQL, select="SELECT state, count(*) AS n FROM bought GROUP BY state")
@@ -296,11 +319,29 @@ FROM buckets QUALIFY row_number() OVER (PARTITION BY city, window_date ORDER BY
     CASE WHEN total > {2 * LIMIT} THEN 5 ELSE 10 END AS length
   FROM bought LEFT JOIN (SELECT * FROM counts WHERE total > {LIMIT}) AS known ON bought.state = known.state
   WHERE size <> 'Free')""",
-            select="""SELECT 'BOUGHT_RECORDS' AS rule, count(*) AS rows FROM seen WHERE day IS NOT NULL AND total IS NOT NULL
-UNION ALL SELECT 'MISSING_AMOUNT', count(*) FROM seen WHERE day IS NOT NULL AND total IS NOT NULL AND cents IS NULL
-UNION ALL SELECT 'BUCKET_EMISSIONS', CAST(coalesce(sum(length), 0) AS BIGINT) FROM seen WHERE day IS NOT NULL AND total IS NOT NULL
-UNION ALL SELECT 'INVALID_DATE', count(*) FROM seen WHERE day IS NULL
-UNION ALL SELECT 'STATE_COUNT_MISSING', count(*) FROM seen WHERE day IS NOT NULL AND total IS NULL""",
+            select=SEEN_SQL,
+        ),
+    ),
+    "observed_window_quality": Entry(
+        observed_window_quality,
+        with_(
+            base.BOUGHT_SQL,
+            base.COUNTS_SQL,
+            f"""seen AS (
+  SELECT CASE WHEN month(order_date) % 2 = 0 THEN order_date END AS day, cents, total,
+    CASE WHEN total > {2 * LIMIT} THEN 5 ELSE 10 END AS length
+  FROM bought LEFT JOIN (SELECT * FROM counts WHERE total > {LIMIT}) AS known ON bought.state = known.state)""",
+            select=SEEN_SQL,
+        ),
+    ),
+    "observed_variety_quality": Entry(
+        observed_variety_quality,
+        with_(
+            f"""seen AS (SELECT {BIG_RULE} AS big, style IN (SELECT style FROM sales WHERE {BIG_RULE}) AS valid FROM sales)""",
+            select="""SELECT 'QUALIFYING_XXL_ROWS' AS rule, count(*) FILTER (big) AS rows FROM seen
+UNION ALL SELECT 'BAD_DATE_ROWS', 0
+UNION ALL SELECT 'MISSING_GROUP_FIELDS', 0
+UNION ALL SELECT 'QUALIFIED_STYLE_ROWS', count(*) FILTER (valid) FROM seen""",
         ),
     ),
     "qualifying_styles": Entry(

@@ -22,10 +22,10 @@ def parse_date(c: Column, malformed: str = "null", pattern: str = DATE_PATTERN)
 
 def parse_date_leniently(c: Column) -> Column:
     """``MM-dd-yy`` text to a date of 2000 to 2099; days 29 to 31 that a month lacks are its last day. Else null."""
-    parts = [F.regexp_extract(c, r"^(\d\d)-(\d\d)-(\d\d)$", i) for i in (1, 2, 3)]
-    first = F.try_to_date(F.concat(F.lit("20"), parts[2], F.lit("-"), parts[0], F.lit("-01")), "yyyy-MM-dd")
-    day = parts[1].try_cast("int")
-    return F.when(day.between(1, 31), F.date_add(first, F.least(day, F.dayofmonth(F.last_day(first))) - 1))
+    month, day, year = (F.substring(c, start, 2).try_cast("int") for start in (1, 4, 7))
+    first = F.make_date(year + 2000, month, F.lit(1))
+    well_formed = c.rlike(r"^[0-9]{2}-[0-9]{2}-[0-9]{2}$") & month.between(1, 12) & day.between(1, 31)
+    return F.when(well_formed, F.date_add(first, F.least(day, F.dayofmonth(F.last_day(first))) - 1))
 
 
 def parse_double(c: Column, malformed: str = "null") -> Column:

@@ -14,7 +14,7 @@ BIG_SIZE_RANK = 6
 
 def strip(c: Column) -> Column:
     """Drop blanks and control characters (U+0000..U+0020) from both ends; ``F.trim`` drops spaces only."""
-    return F.regexp_replace(c, r"^[\x00-\x20]+|[\x00-\x20]+$", "")
+    return F.btrim(c, F.lit("".join(map(chr, range(0x21)))))
 
 
 def strip_upper(c: Column) -> Column:

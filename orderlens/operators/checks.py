@@ -4,21 +4,29 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
+def sums_of(rules: dict[str, Column]) -> list[Column]:
+    """One sum per rule, named after it. A rule is a condition, or a whole number to be added up; null adds nothing."""
+    zero = F.lit(0).cast("bigint")
+    return [F.coalesce(F.sum(rule.cast("bigint")), zero).alias(name) for name, rule in rules.items()]
+
+
 def quality_profile(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
-    """Rows that meet each rule, as (rule, rows), from one pass over ``df``.
+    """Rows that meet each rule, as (rule, rows), from one pass over ``df``."""
+    pairs = [F.struct(F.lit(name).alias("rule"), F.col(f"`{name}`").alias("rows")) for name in rules]
+    return df.agg(*sums_of(rules)).select(F.inline(F.array(*pairs)))
+
+
+def observed_profile(spark: SparkSession, counters: Observation) -> DataFrame:
+    """What ``counters`` saw during a run that is over, as (rule, rows).
 
-    A rule is a condition, or a whole number to be added up. Null counts as not met.
+    The counts come from the run itself, without another pass. Stages that are computed again after an executor was lost
+    can count twice; ``quality_profile`` is the same as a query of its own, which cannot.
     """
-    sums = [
-        F.coalesce(F.sum(condition.cast("bigint")), F.lit(0).cast("bigint")).alias(f"_{i}")
-        for i, condition in enumerate(rules.values())
-    ]
-    pairs = [F.struct(F.lit(name).alias("rule"), F.col(f"_{i}").alias("rows")) for i, name in enumerate(rules)]
-    return df.agg(*sums).select(F.inline(F.array(*pairs)))
+    return spark.createDataFrame(list(counters.get.items()), "rule string, rows bigint")
 
 
 def key_profile(df: DataFrame, keys: Sequence[str]) -> DataFrame:

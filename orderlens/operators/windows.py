@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from orderlens.functions import moments
 from orderlens.functions.text import has_text
-from orderlens.operators.checks import quality_profile
+from orderlens.operators.checks import quality_profile, sums_of
 from orderlens.operators.lookup import Workspace, lookup_join, staged
 
 THRESHOLD = 10_000
@@ -41,6 +41,9 @@ def daily_cells(
 
     Rows without a date or category stay in as cells of their own: they count for their key's total. A missing
     amount is 0.
+
+    The closing condition holds for every cell. It names all measures, so that whoever uses the cells twice, for windows
+    and for totals, asks for the same columns and Spark computes them once.
     """
     u = moments.units(F.col(amount), scale)
     filled = F.coalesce(u, F.lit(0).cast(moments.UNITS))
@@ -54,6 +57,7 @@ def daily_cells(
             moments.sum_squares(F.col("_u")).alias("ss"),
             F.count_if("_missing").alias("missing"),
         )
+        .where("n > 0 OR s IS NULL OR ss IS NULL OR missing < 0")
     )
 
 
@@ -77,6 +81,19 @@ def _with_length(
     return lookup_join(cells, lengths, key, how, workspace)
 
 
+def window_rules(date: str, category: str) -> dict[str, Column]:
+    """Rows that the window job used and skipped, counted on cells with their ``_length``."""
+    placed, dated, known = has_text(F.col(category)), F.col(date).isNotNull(), F.col("_length").isNotNull()
+    used = placed & dated & known
+    return {
+        "BOUGHT_RECORDS": F.when(used, F.col("n")),
+        "MISSING_AMOUNT": F.when(used, F.col("missing")),
+        "BUCKET_EMISSIONS": F.when(used, F.col("n") * F.col("_length")),
+        "INVALID_DATE": F.when(placed & ~dated, F.col("n")),
+        "STATE_COUNT_MISSING": F.when(placed & dated & ~known, F.col("n")),
+    }
+
+
 def _block(day: Column, block_days: int) -> Column:
     return F.floor(day / F.lit(float(block_days))).cast("int")
 
@@ -94,32 +111,47 @@ def trailing_buckets(
     scale: int = moments.DEFAULT_SCALE,
     block_days: int = BLOCK_DAYS,
     workspace: Workspace | None = None,
+    counters: Observation | None = None,
 ) -> DataFrame:
     """Count and moments per (key, window_date, category), over the ``length`` days before each window date.
 
     The window date itself is left out, window dates after the last day of data are kept, and dates with nothing in
     reach have no row. ``totals`` (key, n) sets the lengths if given, and drops keys that it lacks; else the counts
-    come from ``bought``.
+    come from ``bought``, in the same pass. ``counters`` gets the ``window_rules`` of this run.
 
-    The rows are reduced to daily cells first, and only those fan out. They are shuffled by (key, block of days,
-    category): a cell goes to the one or two blocks that its window dates fall in, and spreads to single dates inside
-    the task. So the shuffle moves little more than one copy of each cell, a busy key is split by time and category,
-    and the aggregation here needs no further shuffle.
+    The rows are reduced to daily cells first. These are shuffled by (key, block of days, category), a cell to the one or
+    two blocks that its window dates fall in, so that a busy key is split by time and category. There a cell is two
+    events: its moments come in on its first window date and go out behind its last one. Running sums of the events, exact
+    in decimals, are the windows between an event and the next, and only these spread to single dates.
     """
     cells = staged(daily_cells(bought, key, date, category, amount, scale), workspace, "cells")
-    sized = _with_length(cells, key, totals, threshold, short, long, workspace=workspace).where(_placed(date, category))
+    how = "inner" if counters is None else "left"
+    sized = _with_length(cells, key, totals, threshold, short, long, how, workspace)
+    if counters is not None:
+        sized = sized.observe(counters, *sums_of(window_rules(date, category))).where(F.col("_length").isNotNull())
+    sized = sized.where(_placed(date, category))
     first = F.unix_date(date) + 1
     last = F.unix_date(date) + F.col("_length")
-    block_start = F.col("block") * block_days
-    return (
+    start, stop = F.col("block") * block_days, (F.col("block") + 1) * block_days
+    names = ("n", "s", "ss")
+    spread = (
         sized.withColumn("block", F.explode(F.sequence(_block(first, block_days), _block(last, block_days))))
+        .select(key, "block", category, F.greatest(first, start).alias("_in"), (last + 1).alias("_out"), *names)
         .repartition(key, "block", category)
-        .withColumn(
-            "_day",
-            F.explode(F.sequence(F.greatest(first, block_start), F.least(last, block_start + (block_days - 1)))),
-        )
-        .groupBy(key, "block", "_day", category)
-        .agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum("ss").alias("ss"))
+    )
+    comes = F.struct(F.col("_in").alias("_day"), *(F.col(name).alias(name) for name in names))
+    goes = F.struct(F.col("_out").alias("_day"), *((-F.col(name)).alias(name) for name in names))
+    events = F.when(F.col("_out") < stop, F.array(comes, goes)).otherwise(F.array(comes))
+    own = Window.partitionBy(key, "block", category).orderBy("_day")
+    upto = own.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # Of several events on one day, only the last has a later day next, and its sums hold them all.
+    until = F.coalesce(F.lead("_day").over(own), stop)
+    running = spread.select(key, "block", category, F.inline(events)).select(
+        key, category, "_day", until.alias("_until"), *(F.sum(name).over(upto).alias(name) for name in names)
+    )
+    return (
+        running.where("n > 0 AND _until > _day")
+        .select(key, category, *names, F.explode(F.sequence(F.col("_day"), F.col("_until") - 1)).alias("_day"))
         .select(
             key,
             F.date_from_unix_date("_day").alias("window_date"),
@@ -163,11 +195,13 @@ def trailing_window_winner(
     totals: DataFrame | None = None,
     scale: int = moments.DEFAULT_SCALE,
     workspace: Workspace | None = None,
+    counters: Observation | None = None,
 ) -> DataFrame:
     """For each key and date: the category bought most in the days before. See ``trailing_buckets``."""
     buckets = trailing_buckets(
-        bought, key, date, category, amount, threshold, short, long, totals, scale, workspace=workspace
-    )
+        bought, key, date, category, amount, threshold, short, long, totals, scale,
+        workspace=workspace, counters=counters,
+    )
     return pick_winners(buckets, key, category, scale)
 
 
@@ -184,16 +218,7 @@ def window_quality(
     scale: int = moments.DEFAULT_SCALE,
     workspace: Workspace | None = None,
 ) -> DataFrame:
-    """What the window job used and skipped, as rows (rule, rows)."""
+    """What the window job used and skipped, as rows (rule, rows). A run with ``counters`` tells the same by the way."""
     cells = staged(daily_cells(bought, key, date, category, amount, scale), workspace, "cells")
-    sized = _with_length(cells, key, totals, threshold, short, long, "left", workspace).where(has_text(F.col(category)))
-    dated, known = F.col(date).isNotNull(), F.col("_length").isNotNull()
-    used = dated & known
-    counters = {
-        "BOUGHT_RECORDS": F.when(used, F.col("n")),
-        "MISSING_AMOUNT": F.when(used, F.col("missing")),
-        "BUCKET_EMISSIONS": F.when(used, F.col("n") * F.col("_length")),
-        "INVALID_DATE": F.when(~dated, F.col("n")),
-        "STATE_COUNT_MISSING": F.when(dated & ~known, F.col("n")),
-    }
-    return quality_profile(sized, counters)
+    sized = _with_length(cells, key, totals, threshold, short, long, "left", workspace)
+    return quality_profile(sized, window_rules(date, category))

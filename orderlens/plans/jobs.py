@@ -11,10 +11,10 @@ import argparse
 from collections.abc import Sequence
 from contextlib import ExitStack
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from orderlens.functions.moments import DEFAULT_SCALE
-from orderlens.operators.checks import assert_unique_key
+from orderlens.operators.checks import assert_unique_key, observed_profile
 from orderlens.operators.comparison import summarize_comparison, top_changes
 from orderlens.operators.lookup import Workspace
 from orderlens.operators.percentiles import ACCURACY, group_sizes
@@ -35,11 +35,12 @@ def winners(
     scale: int = DEFAULT_SCALE,
     lenient: bool = True,
     workspace: Workspace | None = None,
-) -> None:
-    """CSV by state and date: the size bought most in the days before."""
-    rows = readers.read_sales_rows(spark, source, unescape_quotes=False)
-    report = workloads.trailing_winners(rows, threshold, short, long, scale, lenient, workspace)
+) -> dict[str, DataFrame]:
+    """CSV by state and date: the size bought most in the days before. Returns what the run used and skipped."""
+    rows, counters = readers.read_sales_rows(spark, source, unescape_quotes=False), Observation()
+    report = workloads.trailing_winners(rows, threshold, short, long, scale, lenient, workspace, counters)
     writers.write_report(report, target, ["state", "window_date"], files)
+    return {"rows used and skipped": observed_profile(spark, counters)}
 
 
 def medians(
@@ -50,10 +51,14 @@ def medians(
     scale: int = DEFAULT_SCALE,
     lenient: bool = True,
     workspace: Workspace | None = None,
-) -> None:
-    """CSV by month and state: the median variety of styles that come in XXL or bigger. ``scale`` has no part in it."""
-    report = workloads.variety_medians(readers.read_sales_rows(spark, source), lenient, workspace)
+) -> dict[str, DataFrame]:
+    """CSV by month and state: the median variety of styles that come in XXL or bigger. ``scale`` has no part in it.
+    Returns what the run used and skipped.
+    """
+    counters = Observation()
+    report = workloads.variety_medians(readers.read_sales_rows(spark, source), lenient, workspace, counters)
     writers.write_report(report, target, ["month", "state"], files)
+    return {"rows used and skipped": observed_profile(spark, counters)}
 
 
 def percentages(
@@ -87,7 +92,8 @@ def percentiles(
     rows = rows.select(*workloads.GROUP, "promotion_count", "amount_value")
     results = workloads.percentile_statistics(rows, accuracy=accuracy, scale=scale, workspace=workspace)
     writers.write_methods(results.approx, results.exact, target, files)
-    assert_unique_key(readers.read_results(spark, target), [*workloads.GROUP, "method"])
+    groups = rows.dropna(subset=list(workloads.GROUP)).select(*workloads.GROUP).distinct().count()
+    assert_unique_key(readers.read_results(spark, target), [*workloads.GROUP, "method"], 2 * groups)
     return {
         "groups": group_sizes(rows, workloads.GROUP),
         "summary": summarize_comparison(results.comparison),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from orderlens.functions.moments import DEFAULT_SCALE
@@ -12,8 +12,8 @@ from orderlens.operators import percentiles as pct
 from orderlens.operators import promotions as promo
 from orderlens.operators.checks import quality_profile
 from orderlens.operators.comparison import compare_columns
-from orderlens.operators.lookup import Workspace, lookup_join, staged
-from orderlens.operators.variety import is_big_size, median_variety, qualifying_styles
+from orderlens.operators.lookup import Workspace, staged
+from orderlens.operators.variety import median_variety, qualified_variety, variety_rules
 from orderlens.operators.windows import LONG_DAYS, SHORT_DAYS, THRESHOLD, trailing_window_winner
 from orderlens.plans import records
 
@@ -28,27 +28,28 @@ def trailing_winners(
     scale: int = DEFAULT_SCALE,
     lenient: bool = True,
     workspace: Workspace | None = None,
+    counters: Observation | None = None,
 ) -> DataFrame:
     """state, window_date, most_bought_size, frequency, population_variance."""
     rows = records.bought_records(raw, lenient)
     return trailing_window_winner(
-        rows, threshold=threshold, short=short, long=long, scale=scale, workspace=workspace
+        rows, threshold=threshold, short=short, long=long, scale=scale, workspace=workspace, counters=counters
     )
 
 
-def variety_medians(raw: DataFrame, lenient: bool = True, workspace: Workspace | None = None) -> DataFrame:
+def variety_medians(
+    raw: DataFrame, lenient: bool = True, workspace: Workspace | None = None, counters: Observation | None = None
+) -> DataFrame:
     """month, state, median_variety."""
-    return median_variety(records.variety_records(raw, lenient), workspace=workspace)
+    return median_variety(records.variety_records(raw, lenient), workspace=workspace, counters=counters)
 
 
 def variety_quality(raw: DataFrame, lenient: bool = True, workspace: Workspace | None = None) -> DataFrame:
-    """What the variety medians used and skipped, as rows (rule, rows)."""
-    rows = records.variety_records(raw, lenient)
-    big = is_big_size(F.col("size"))
-    styles = qualifying_styles(rows, qualifies=big).withColumn("_valid", F.lit(True))
-    marked = lookup_join(rows, styles, "style", "left", workspace)
-    valid = F.coalesce(F.col("_valid"), F.lit(False))
-    return quality_profile(marked, records.variety_rules(marked, big, valid))
+    """What the variety medians used and skipped, as rows (rule, rows). A run of the medians with ``counters`` tells the
+    same by the way. It takes one read of ``raw``, so there is nothing to keep in a workspace.
+    """
+    found = qualified_variety(records.variety_records(raw, lenient))
+    return quality_profile(found, variety_rules("month", F.col("valid")))
 
 
 def promotion_percentages(
