@@ -58,4 +58,8 @@ def distinct_tokens(c: Column, separator: str = ",") -> Column:
 
 
 def token_count(c: Column, separator: str = ",") -> Column:
-    return F.size(tokens(c, separator))
+    """Size of ``tokens``. A token is blank if nothing is left without its spaces, so they need not be trimmed one by one."""
+    if " " in separator:
+        return F.size(tokens(c, separator))
+    dense = F.replace(F.coalesce(c, F.lit("")), F.lit(" "), F.lit(""))
+    return F.size(F.array_remove(F.split(dense, re.escape(separator)), ""))

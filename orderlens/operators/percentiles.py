@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -14,6 +16,7 @@ PROBABILITIES = (0.8, 0.9)
 ACCURACY = 10_000
 CROWD = 4096  # values of a group that one task may rank
 RANGES = 256  # into which a group with more values is divided
+SALTS = 16  # a power of two: tasks over which the values of one group are spread while it is not known how many there are
 
 
 def level_name(probability: float) -> str:
@@ -33,7 +36,8 @@ def value_profile(
     """Rows, and moments of ``amount``, per (keys, value).
 
     The histogram that exact thresholds and threshold statistics are both read from. It has one row per distinct
-    value of a group, however many rows the group has, and is combined before its shuffle.
+    value of a group, however many rows the group has, and is combined before its shuffle. The closing condition always
+    holds; as it names all measures, every use of the profile asks for the same columns and Spark makes it once.
     """
     measures = [F.count(F.lit(1)).alias("n")]
     columns = [*keys, value]
@@ -45,7 +49,8 @@ def value_profile(
             moments.sum_units(u).alias("s"),
             moments.sum_squares(u).alias("ss"),
         ]
-    return df.select(*columns).groupBy(*keys, value).agg(*measures)
+    profile = df.select(*columns).groupBy(*keys, value).agg(*measures)
+    return profile if amount is None else profile.where("n > 0 OR n_amount < 0 OR s IS NULL OR ss IS NULL")
 
 
 def approx_thresholds(
@@ -72,7 +77,7 @@ MEASURES = ("n", "n_amount", "s", "ss")
 
 @dataclass(frozen=True)
 class Level:
-    """A percentile to read off a histogram: interpolated, or the nearest rank as the approximate method gives it."""
+    """A percentile to read off a histogram: interpolated, or the nearest rank, which the approximate method aims at."""
 
     name: str
     probability: float
@@ -92,80 +97,81 @@ def _ranks(total: Column, level: Level, accuracy: int) -> list[Column]:
     return [F.greatest(F.ceil(total * p).cast("bigint"), F.lit(1)) - 1]
 
 
-def _marked(levels: Sequence[Level]) -> list[str]:
-    """Columns for the sketched values of those levels that are not exact."""
-    return [f"_mark{number}" for number, level in enumerate(levels) if not level.exact]
-
-
 def _sums(profile: DataFrame) -> list[str]:
     return [name for name in MEASURES if name in profile.columns]
 
 
-def _divided(
-    rows: DataFrame, value: str, totals: DataFrame, levels: Sequence[Level], accuracy: int, sketched: DataFrame | None
-) -> DataFrame:
+def _divided(rows: DataFrame, value: str, levels: Sequence[Level], accuracy: int) -> DataFrame:
     """Groups of very many values, with all values merged that lie in ranges without a wanted place.
 
     A sketch of a group's values, each counted once, gives ``RANGES - 1`` pivots. Counts per range are exact, so it is
     known which ranges hold the wanted places, whatever the sketch got wrong: its error makes ranges uneven, no more.
     """
-    x = F.col(value).cast("double")
-    shares = [i / RANGES for i in range(1, RANGES)]
-    pivots = rows.groupBy("_k").agg(F.percentile_approx(x, shares, 16 * RANGES).alias("_pivots"))
+    x, names = F.col(value).cast("double"), [value, *_sums(rows), "_all"]
+    shares = ", ".join(f"{i / RANGES}D" for i in range(1, RANGES))
+    sketch = F.expr(f"percentile_approx(CAST(`{value}` AS DOUBLE), array({shares}), {16 * RANGES})")
+    pivots = rows.groupBy("_k").agg(sketch.alias("_pivots"))
     number = F.size(F.filter("_pivots", lambda pivot: pivot < x)).alias("_range")
-    placed = rows.join(pivots, "_k").select("_k", value, *_sums(rows), "_all", number)
+    placed = rows.join(pivots, "_k").select("_k", "_total", *names, number)
     sums = [F.sum(name).alias(name) for name in (*_sums(rows), "_all")]
-    spans = [F.min(value).alias(value), F.max(value).alias("_last")]
+    spans = [F.min(value).alias(value), F.max(value).alias("_last"), F.max("_total").alias("_total")]
     ranges = placed.groupBy("_k", "_range").agg(*sums, *spans)
 
-    wanted = [F.array(*(rank for level in levels for rank in _ranks(F.col("_total"), level, accuracy))).alias("_at")]
-    marks = totals.select("_k", *wanted)
-    if sketched is not None:
-        marks = marks.join(sketched.select("_k", F.array(*_marked(levels)).alias("_marks")), "_k", "left")
     below = Window.partitionBy("_k").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     start = F.coalesce(F.sum("n").over(below), F.lit(0))
-    counted = ranges.withColumn("_start", start).join(marks, "_k")
+    places = F.array(*(rank for level in levels for rank in _ranks(F.col("_total"), level, accuracy)))
+    counted = ranges.withColumns({"_start": start, "_at": places})
     inside = F.exists("_at", lambda at: (at >= F.col("_start")) & (at < F.col("_start") + F.col("n")))
-    if sketched is not None:
-        low, high = F.col(value).cast("double"), F.col("_last").cast("double")
-        inside |= F.coalesce(F.exists("_marks", lambda mark: (mark >= low) & (mark <= high)), F.lit(False))
     counted = counted.withColumn("_open", inside & (F.col(value) < F.col("_last")))
-    merged = counted.where("NOT _open").select("_k", value, *_sums(rows), "_all")
+    merged = counted.where("NOT _open").select("_k", *names)
     opened = placed.join(counted.where("_open").select("_k", "_range"), ["_k", "_range"], "left_semi")
-    return merged.unionByName(opened.select(*merged.columns))
+    return merged.unionByName(opened.select("_k", *names))
 
 
-def _bounded(
-    profile: DataFrame,
-    keys: Sequence[str],
-    value: str,
-    levels: Sequence[Level],
-    accuracy: int,
-    crowd: int,
-    source: DataFrame | None,
-) -> tuple[DataFrame, DataFrame | None]:
-    """The histogram by group ``_k`` with no more rows in a group than can be ranked in a task, and sketched levels.
-
-    Groups with more than ``crowd`` values are divided. ``_all`` counts a group's rows, null values included, which have
-    no place and no amounts. Sketches are made of the groups of ``source`` that are too large for an exact one.
-    """
-    known = F.col(value).isNotNull()
-    sums = [F.when(known, F.coalesce(name, F.lit(0))).otherwise(0).alias(name) for name in _sums(profile)]
-    rows = profile.select(F.struct(*keys).alias("_k"), value, *sums, F.col("n").alias("_all"))
-    totals = rows.groupBy("_k").agg(F.count(value).alias("_values"), F.sum("n").alias("_total"))
-    sketched = None
-    marked = _marked(levels)
-    if source is not None and marked:
-        large = totals.where(F.col("_total") * 2 >= accuracy).select("_k")
-        probs = [level.probability for level in levels if not level.exact]
-        keyed = source.select(F.struct(*keys).alias("_k"), value).join(large, "_k", "left_semi")
-        found = keyed.groupBy("_k").agg(F.percentile_approx(value, probs, accuracy).alias("_levels"))
-        sketched = found.select("_k", *(F.col("_levels")[i].cast("double").alias(name) for i, name in enumerate(marked)))
-    crowded = totals.where(F.col("_values") > crowd).select("_k", "_total")
-    divided = _divided(rows.where(known).join(crowded.select("_k"), "_k", "left_semi"), value, crowded, levels, accuracy, sketched)
-    nulls = rows.where(~known).join(crowded.select("_k"), "_k", "left_semi")
-    few = rows.join(crowded.select("_k"), "_k", "left_anti")
-    return few.unionByName(divided).unionByName(nulls), sketched
+def _outcomes(
+    rows: DataFrame, keys: Sequence[str], value: str, levels: Sequence[Level], scale: int, accuracy: int
+) -> DataFrame:
+    """``profile_levels`` of rows (``_k``, value, measures, ``_all``) that a task can rank group by group."""
+    sums, own = _sums(rows), Window.partitionBy("_k")
+    upto = own.orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    running = {"_upto": F.sum("n").over(upto), "_total": F.sum("n").over(own), "order_count": F.sum("_all").over(own)}
+    running |= {f"_from_{name}": F.sum(name).over(own) - F.sum(name).over(upto) + F.col(name) for name in sums}
+    ranked = rows.select("_k", F.col(value).cast("double").alias("_v"), "n", *(c.alias(name) for name, c in running.items()))
+
+    # A place lies in one row of its group. What a level needs of that row is worked out there and carried over.
+    picks = [(f"_{i}_{j}", rank) for i, level in enumerate(levels) for j, rank in enumerate(_ranks(F.col("_total"), level, accuracy))]
+    here = {name: (F.col("n") > 0) & (F.col("_upto") > rank) & (F.col("_upto") - F.col("n") <= rank) for name, rank in picks}
+    marked = ranked.withColumns({f"{name}_h": condition for name, condition in here.items()})
+    carried = {"v": F.col("_v")}
+    if "s" in sums:
+        n, s, ss = (F.col(f"_from_{name}") for name in ("n_amount", "s", "ss"))
+        spread = moments.stddev(n, s.cast(moments.SUMS), ss.cast(moments.SUMS), scale)
+        some = reduce(or_, (F.col(f"{name}_h") for name in here))
+        marked = marked.withColumn("_spread", F.when(some & (n > 0), spread))
+        carried |= {"n": F.col("_from_n"), "a": n, "d": F.col("_spread")}
+    taken = [F.max(F.when(F.col(f"{pick}_h"), c)).alias(f"{pick}_{name}") for pick in here for name, c in carried.items()]
+    totals = [F.max(name).alias(name) for name in ("_total", "order_count")]
+    found = marked.groupBy("_k").agg(*totals, *taken)
+
+    shown, outcomes = [], []
+    for i, level in enumerate(levels):
+        low, reached = F.col(f"_{i}_0_v"), {name: F.col(f"_{i}_0_{name}") for name in carried}
+        if level.exact:
+            high = F.col(f"_{i}_1_v")
+            at = (F.col("_total").cast("double") - 1.0) * float(level.probability)
+            between = F.when(low == high, low).otherwise(F.least(low + (at - F.floor(at)) * (high - low), high))
+            shown.append(between.alias(level.name))
+            # Between two values, the rows from the upper one on reach the threshold.
+            reached = {name: F.when(between > low, F.col(f"_{i}_1_{name}")).otherwise(c) for name, c in reached.items()}
+        else:
+            shown.append(low.alias(level.name))
+        if "s" in sums:
+            outcomes += [
+                F.coalesce(reached["n"], F.lit(0)).alias(f"{level.name}_order_count"),
+                F.coalesce(reached["a"], F.lit(0)).alias(f"{level.name}_amount_count"),
+                F.coalesce(reached["d"], F.lit(0.0)).alias(f"{level.name}_stddev"),
+            ]
+    return found.select(*(F.col("_k")[name].alias(name) for name in keys), "order_count", *shown, *outcomes)
 
 
 def profile_levels(
@@ -175,7 +181,6 @@ def profile_levels(
     levels: Sequence[Level],
     scale: int = moments.DEFAULT_SCALE,
     accuracy: int = ACCURACY,
-    source: DataFrame | None = None,
     crowd: int = CROWD,
 ) -> DataFrame:
     """Per group: ``order_count``, every level's value and, if the ``value_profile`` was made with an amount, the counts
@@ -185,54 +190,24 @@ def profile_levels(
     counts and moments of all rows from that value on. So a level with its outcome is one row of the histogram, whatever
     the number of levels, and no thresholds are joined to anything.
 
-    Interpolated levels are exact. The others are the values at rank ceil(p * n), which is what ``percentile_approx``
-    returns while its sketch drops nothing; groups with ``accuracy / 2`` rows or more are sketched from ``source``, the
-    rows that the profile was made of, if that is given.
+    Interpolated levels are exact. The others are the values at rank ceil(p * n), the ends of the scale at probabilities
+    within ``1 / accuracy`` of them: what ``percentile_approx`` returns for groups of less than ``accuracy / 2`` rows, whose
+    sketch drops nothing, and what it comes within ``n / accuracy`` ranks of for larger ones.
 
-    Groups of more than ``crowd`` values are divided first, so that no task ranks all of a large group's values.
+    Groups of more than ``crowd`` values are divided first, so that no task ranks all of a large group's values. They are
+    told by a join that spreads a group by its values over ``SALTS`` tasks.
     """
-    rows, sketched = _bounded(profile, keys, value, levels, accuracy, crowd, source)
-    sums = _sums(profile)
-    own = Window.partitionBy("_k")
-    upto = own.orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = rows.select("_k", value, "n", F.sum("n").over(upto).alias("_upto"), *(
-        (F.sum(name).over(own) - F.sum(name).over(upto) + F.col(name)).alias(f"_from_{name}") for name in sums
-    ), F.sum("n").over(own).alias("_total"), F.sum("_all").over(own).alias("order_count"))
-    if sketched is not None:
-        ranked = ranked.join(sketched, "_k", "left")
-
-    place = F.struct(F.col(value).cast("double").alias("v"), *(F.col(f"_from_{name}").alias(name) for name in sums))
-    placed, picks = F.col("n") > 0, []
-    for number, level in enumerate(levels):
-        for i, rank in enumerate(_ranks(F.col("_total"), level, accuracy)):
-            reached = F.col("_upto") > rank
-            if sketched is not None and not level.exact:
-                mark = F.col(f"_mark{number}")
-                reached = F.when(mark.isNull(), reached).otherwise(F.col(value) >= mark)
-            picks.append(F.min(F.when(placed & reached, place)).alias(f"_pick{number}_{i}"))
-    found = ranked.groupBy("_k").agg(F.max("_total").alias("_total"), F.max("order_count").alias("order_count"), *picks)
-
-    shown, outcomes = [], []
-    for number, level in enumerate(levels):
-        low = F.col(f"_pick{number}_0")
-        if level.exact:
-            high = F.col(f"_pick{number}_1")
-            at = (F.col("_total").cast("double") - 1.0) * float(level.probability)
-            between = low["v"] + (at - F.floor(at)) * (high["v"] - low["v"])
-            threshold = F.when(low["v"] == high["v"], low["v"]).otherwise(F.least(between, high["v"]))
-            reached = F.when(low["v"] >= threshold, low).otherwise(high)
-        else:
-            threshold, reached = low["v"], low
-        shown.append(threshold.alias(level.name))
-        if "s" in sums:
-            n, s, ss = reached["n_amount"], reached["s"].cast(moments.SUMS), reached["ss"].cast(moments.SUMS)
-            spread = F.when(n > 0, moments.stddev(n, s, ss, scale))
-            outcomes += [
-                F.coalesce(reached["n"], F.lit(0)).alias(f"{level.name}_order_count"),
-                F.coalesce(n, F.lit(0)).alias(f"{level.name}_amount_count"),
-                F.coalesce(spread, F.lit(0.0)).alias(f"{level.name}_stddev"),
-            ]
-    return found.select(*(F.col("_k")[name].alias(name) for name in keys), "order_count", *shown, *outcomes)
+    known = F.col(value).isNotNull()
+    sums = [F.when(known, F.coalesce(name, F.lit(0))).otherwise(0).alias(name) for name in _sums(profile)]
+    salt = F.hash(value).bitwiseAND(SALTS - 1).alias("_salt")  # never null, so joins on it add no filter below the profile
+    rows = profile.select(F.struct(*keys).alias("_k"), salt, value, *sums, F.col("n").alias("_all"))
+    totals = rows.groupBy("_k").agg(F.count(value).alias("_values"), F.sum("n").alias("_total"))
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt")
+    crowded = totals.where(F.col("_values") > crowd).select("_k", "_total", salts)
+    tagged = rows.join(crowded, ["_k", "_salt"], "left")
+    few, many = tagged.where("_total IS NULL"), tagged.where("_total IS NOT NULL")
+    given = (keys, value, levels, scale, accuracy)
+    return _outcomes(few, *given).unionByName(_outcomes(_divided(many, value, levels, accuracy), *given))
 
 
 def profile_thresholds(
@@ -286,15 +261,15 @@ def approx_statistics(
     accuracy: int = ACCURACY,
     scale: int = moments.DEFAULT_SCALE,
 ) -> DataFrame:
-    """``threshold_statistics`` at the approximate percentiles. ``df`` is read again only for groups of ``accuracy / 2``
-    rows or more, whose sketches are not exact.
+    """``threshold_statistics`` at the nearest ranks, within the tolerance of ``approx_thresholds``; see ``profile_levels``.
+
+    From one read of ``df``. To see what a sketch makes of large groups, join its thresholds by ``threshold_statistics``.
     """
     if accuracy <= 0:
         raise ValueError("accuracy must be greater than 0")
-    known = _with_keys(df, keys)
     levels = [Level(level_name(p), p, exact=False) for p in probs]
-    profile = value_profile(known, keys, value, amount, scale)
-    return profile_levels(profile, keys, value, levels, scale, accuracy, known)
+    profile = value_profile(_with_keys(df, keys), keys, value, amount, scale)
+    return profile_levels(profile, keys, value, levels, scale, accuracy)
 
 
 def profile_statistics(

@@ -98,10 +98,10 @@ def percentile_statistics(
     """Thresholds and spread per group, approximate and exact, of ``records.percentile_records``.
 
     The rows are folded into one histogram, and all four levels of a group are read off it together, so both methods'
-    thresholds and statistics come from one aggregation and the comparison is a projection. The approximate levels are
-    the sketch's own: of ``percentile_approx`` for groups too large for it to be exact, the only ones that are read again;
-    of the histogram for the others, where it gives the same. A workspace keeps the histogram and the outcome. Groups
-    with a null key have no part in any of the results.
+    thresholds and statistics come from one aggregation of one read, and the comparison is a projection. The approximate
+    levels are nearest ranks: those of ``percentile_approx`` for groups of less than ``accuracy / 2`` rows, and within its
+    tolerance for larger ones. A workspace keeps the histogram and the outcome. Groups with a null key have no part in
+    any of the results.
     """
     if accuracy <= 0:
         raise ValueError("accuracy must be greater than 0")
@@ -114,7 +114,7 @@ def percentile_statistics(
         for method in ("approx", "exact")
         for p in pct.PROBABILITIES
     ]
-    outcome = pct.profile_levels(profile, keys, value, levels, scale, accuracy, known)
+    outcome = pct.profile_levels(profile, keys, value, levels, scale, accuracy)
     both = staged(outcome, workspace, "statistics")
 
     def of(method: str) -> DataFrame:
