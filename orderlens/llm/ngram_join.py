@@ -1,7 +1,8 @@
 """Exact Jaccard self-join on word shingles by a size-aware, heavy-light scheme.
 
-Equal sets are folded into one first. Shingles have one global order, frequent ones last, and a set's prefix in that
-order is long enough that linked sets share something there. Small (light) sets enumerate the pairs of shingles in
+Equal sets are folded into one first. Shingles have one global order, those of ``OFTEN`` or more documents last, by their
+exact counts over all documents, and a set's prefix in that order is long enough that linked sets share something there.
+So a list in a prefix is short, however many documents there are, unless it has to be long. Small (light) sets enumerate the pairs of shingles in
 their prefix, a subset of fixed size: few false partners, but a number of rows quadratic in the prefix. Large (heavy)
 sets, and those small enough to link to one, stand in inverted lists of single prefix shingles. The boundary is where
 the estimated cost of both is smallest.
@@ -20,17 +21,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderlens.llm.components import components
-from orderlens.llm.staging import written
+from orderlens.llm.staging import discard, written
 from orderlens.llm.words import SPACES, Splitter, grams, mix, parts, signed, texts_of
 
-BUFFER = 1 << 21
-OFTEN = 8
-FREQUENT_ENTRIES = 1 << 16
+BUFFER = 1 << 21  # shingles that a task counts before it sends their counts on
+OFTEN = 8  # documents from which on a shingle counts as frequent
+FREQUENT_ENTRIES = 1 << 20  # most frequent shingles whose place in the order is known; 16 MB
 LARGEST_LIGHT = 256
 ROW_COST, POSTING_COST = 8.0, 1.0
 FIRST_SHARE = 4
 
-KEYS = "id long, n long, k1 long, k2 long, shingle long, times long"
+KEYS = "id long, n long, k1 long, k2 long"
+COUNTS = "shingle long, times long"
 SIGNATURES = "sig long, id long, n long, pos long"
 
 
@@ -56,41 +58,66 @@ def record_batch(schema: str, columns: list):
 
 
 def _keys(size: int):
-    """Two hashes of every row's set, and the shingles that are frequent among about two million."""
-
-    def often(buffer: list) -> tuple[np.ndarray, np.ndarray]:
-        shingles, times = np.unique(np.concatenate(buffer), return_counts=True)
-        return signed(shingles[times >= OFTEN]), times[times >= OFTEN]
+    """Two hashes of every row's set."""
 
     def run(batches) -> Iterator:
-        import pyarrow as pa
-
-        splitter, buffer, held = Splitter(SPACES), [], 0
+        splitter = Splitter(SPACES)
         for batch in parts(batches):
             n, k1, k2 = [], [], []
             for _, found in sets_of(batch, size, splitter):
                 n.append(len(found))
                 k1.append(int(signed(found.sum(keepdims=True, dtype=np.uint64))[0]))
                 k2.append(int(signed(mix(found ^ np.uint64(len(found))).sum(keepdims=True, dtype=np.uint64))[0]))
+            yield record_batch(KEYS, [batch.column(0), n, k1, k2])
+
+    return run
+
+
+def _counts(size: int):
+    """Shingles and in how many rows of about two million shingles they are."""
+
+    def run(batches) -> Iterator:
+        splitter, buffer, held = Splitter(SPACES), [], 0
+
+        def counted():
+            shingles, times = np.unique(np.concatenate(buffer), return_counts=True)
+            for a in range(0, len(shingles), 1 << 18):
+                yield record_batch(COUNTS, [signed(shingles[a : a + (1 << 18)]), times[a : a + (1 << 18)]])
+
+        for batch in parts(batches):
+            for _, found in sets_of(batch, size, splitter):
                 buffer.append(found)
                 held += len(found)
                 if held >= BUFFER:
-                    yield _frequent(often(buffer))
+                    yield from counted()
                     buffer, held = [], 0
-            none = pa.nulls(batch.num_rows, pa.int64())
-            arrays = [batch.column(0), *(pa.array(c, pa.int64()) for c in (n, k1, k2)), none, none]
-            yield pa.RecordBatch.from_arrays(arrays, names=[part.split()[0] for part in KEYS.split(", ")])
         if held:
-            yield _frequent(often(buffer))
+            yield from counted()
 
-    def _frequent(found):
-        import pyarrow as pa
+    return run
 
-        none = pa.nulls(len(found[0]), pa.int64())
-        arrays = [none] * 4 + [pa.array(c, pa.int64()) for c in found]
-        return pa.RecordBatch.from_arrays(arrays, names=[part.split()[0] for part in KEYS.split(", ")])
 
-    return run
+def frequent_shingles(bodies: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The most frequent shingles of all rows, sorted by hash, and the place of each in the order: most frequent last.
+
+    Counts are exact and combined before their shuffle. If more than ``FREQUENT_ENTRIES`` are in ``OFTEN`` rows or more,
+    a higher count is taken that no more of them reach. The others come first in the order.
+    """
+    counted = bodies.mapInArrow(_counts(size), COUNTS).groupBy("shingle").agg(F.sum("times").alias("times"))
+    often = written(counted.where(F.col("times") >= OFTEN), "frequent")
+    least, held = OFTEN, 0
+    for row in often.groupBy("times").count().orderBy(F.desc("times")).toLocalIterator():
+        held += row["count"]
+        if held > FREQUENT_ENTRIES:
+            least = row.times + 1
+            break
+    rows = often.where(F.col("times") >= least).toPandas()
+    hashes, times = rows["shingle"].to_numpy(np.int64).view(np.uint64), rows["times"].to_numpy(np.int64)
+    by_hash, by_count = np.argsort(hashes), np.lexsort((hashes, times))
+    places = np.empty(len(hashes), np.int64)
+    places[by_count] = np.arange(len(hashes))
+    discard(often)
+    return hashes[by_hash], places[by_hash]
 
 
 def least_overlap(n, m, percent: int):
@@ -106,8 +133,7 @@ def size_class(n, percent: int):
 def boundary(sizes: dict[int, int], percent: int) -> int:
     """The size up to which sets are light, by estimated cost; ``sizes`` counts the sets of each size.
 
-    Frequent shingles stand last, so a list in the prefix is taken to hold as many sets as an infrequent shingle can
-    have in one buffer.
+    Frequent shingles stand last, so a list in the prefix is taken to hold as many sets as an infrequent shingle can have.
     """
 
     def light(n: int) -> float:
@@ -224,26 +250,21 @@ def near_duplicates(
         raise ValueError("percent must be from 51 to 100")
     spark = docs.sparkSession
     named = docs.select(F.col(f"`{doc_id}`").cast("long").alias("id"), F.col(f"`{text}`").alias("body"))
-    table = written(named.mapInArrow(_keys(words), KEYS), "keys")
-    keys = table.where("n is not null").select("id", "n", "k1", "k2")
+    keys = written(named.mapInArrow(_keys(words), KEYS), "keys")
     distinct = keys.where("n > 0 and id is not null").groupBy("n", "k1", "k2").agg(F.min("id").alias("rep"))
     reps = written(distinct, "reps")
-
-    counted = table.where("shingle is not null").groupBy("shingle").agg(F.sum("times").alias("times"))
-    top = counted.orderBy(F.desc("times"), "shingle").limit(FREQUENT_ENTRIES).collect()
-    hashes = np.array([row.shingle for row in top], np.int64).view(np.uint64)
-    by_hash = np.argsort(hashes)
-    frequent = spark.sparkContext.broadcast((hashes[by_hash], -by_hash))
+    ids = reps.select(F.col("rep").alias("id"))
+    bodies = named.join(ids.hint("merge"), "id", "left_semi")
+    frequent = spark.sparkContext.broadcast(frequent_shingles(named, words))
 
     grouped = reps.groupBy(F.least("n", F.lit(LARGEST_LIGHT * 2)).alias("n")).count().collect()
     sizes = {row.n: row["count"] for row in grouped}
     limit = boundary(sizes, percent)
 
-    ids = reps.select(F.col("rep").alias("id"))
-    bodies = named.join(ids.hint("merge"), "id", "left_semi")
     signatures = written(bodies.mapInArrow(_signatures(words, percent, limit, frequent), SIGNATURES), "signatures")
     shared = signatures.groupBy("sig").agg(F.count("*").alias("members")).where("members > 1")
     lists = written(signatures.join(shared.hint("merge"), "sig"), "lists")
+    discard(signatures)
 
     score = lists.groupBy("id").agg(F.sum("members").alias("score"))
     best = F.max(F.struct("score", (-F.col("id")).alias("minus"), "n", "pos"))
@@ -252,13 +273,17 @@ def near_duplicates(
     pair = (F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))
     near = lists.alias("x").join(hubs.alias("y").hint("merge"), F.col("x.sig") == F.col("y.sig"))
     stars = near.where((F.col("x.id") != F.col("y.id")) & possible("x", "y", percent)).select(*pair).distinct()
-    links = written(linked(written(stars, "stars"), named, words, percent), "links")
+    stars = written(stars, "stars")
+    links = written(linked(stars, named, words, percent), "links")
+    discard(stars)
 
     label = F.coalesce("label", "id").alias("label")
     placed = lists.join(components(links).hint("merge"), "id", "left").select("sig", "id", "n", "pos", label)
     placed = written(placed, "placed")
+    discard(lists)
     mixed = placed.groupBy("sig").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
     rest = written(placed.join(mixed.select("sig").hint("merge"), "sig", "left_semi"), "open-lists")
+    discard(placed)
     # Sets that link stand in the same class of sizes or in neighbouring ones: of two classes the smaller comes to meet.
     kind = size_class(F.col("n"), percent).alias("kind")
     larger = rest.select("*", kind)

@@ -37,3 +37,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_folder(spark)}/llm-{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(df: DataFrame) -> None:
+    """Delete the files of a table from ``written`` that nothing still to be computed reads."""
+    spark = df.sparkSession
+    for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+        remove(spark, folder)
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
