@@ -16,7 +16,7 @@ from orderlens.llm.decontamination import decontaminate
 from orderlens.llm.ngram_join import near_duplicates
 from orderlens.llm.queries import split_pattern, table, tokenizer_file
 from orderlens.llm.secrets import redacted, scan_secrets
-from orderlens.llm.staging import shared_folder
+from orderlens.llm.staging import remove, shared_folder
 from orderlens.llm.toxicity import score_toxicity, train
 
 
@@ -33,11 +33,12 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group linked by five-word shingles at 0.8 or more: the one with the smallest id.
 
-    Rows that share an id are one document; rows without an id, and texts without words, all stay.
+    Rows that share an id are one document to the links, but texts of it that differ all stay, once each, if it stays.
+    Rows without an id, and texts without words, all stay.
     """
     found = near_duplicates(docs, words=5, percent=80)
     first = found.where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(first.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    kept = docs.join(first.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
     return kept.union(docs.where("doc_id is null")).select(docs.columns)
 
 
@@ -80,11 +81,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rows of the last stage."""
-    docs = table(spark, sf_dir, "documents")
+    """The rows of the last stage. A stage's table goes when the next one is written."""
+    docs, last = table(spark, sf_dir, "documents"), None
     folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     for name, stage in STAGES:
         path = f"{folder}/{name}"
         stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        if last is not None:
+            remove(spark, last)
+        docs, last = spark.read.parquet(path), path
     return docs
