@@ -171,7 +171,8 @@ def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
 
 def op13_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
-    return score_quality(docs, language_references(docs))
+    distances = {name: F.round(name, 6) for name in ("class_distance", "word_distance")}
+    return score_quality(docs, language_references(docs)).withColumns(distances)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
