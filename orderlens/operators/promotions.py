@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from orderlens.functions import moments
 from orderlens.functions.text import distinct_tokens
-from orderlens.operators.lookup import Workspace, lookup_join
+from orderlens.operators.lookup import Workspace, lookup_join, prefiltered
 
 MIN_ACTIVE_DAYS = 2
 MIN_PROMOTIONS = 3
@@ -51,10 +51,16 @@ def valid_promotion_counts(
     """Appearances of valid promotions per order, for orders with at least ``min_count``.
 
     If the valid list is broadcast, the appearances are never shuffled one by one: each task counts its own per order
-    first. If it is too big, adaptive execution splits promotions that are everywhere.
+    first. If it was measured and is too big, a filter of its ids, of bounded size, keeps most appearances of other
+    promotions from being shuffled, and adaptive execution splits promotions that are everywhere.
     """
+    listed = valid.select("promotion_id")
+    if workspace is not None:
+        listed = workspace.lookup(listed, "valid-promotions")
+        if not listed.fits():
+            appearances = prefiltered(appearances, listed, "promotion_id", workspace)
     return (
-        lookup_join(appearances, valid.select("promotion_id"), "promotion_id", workspace=workspace)
+        lookup_join(appearances, listed, "promotion_id")
         .groupBy(order)
         .agg(F.count(F.lit(1)).alias("valid_promotion_count"))
         .where(F.col("valid_promotion_count") >= min_count)

@@ -46,15 +46,24 @@ def read_sales_lines(spark: SparkSession, path: str, unescape_quotes: bool = Tru
 
 
 def _cut_lines(lines: DataFrame) -> DataFrame:
-    """Lines (``value``) as fields. Reading backwards, a comma parts fields unless a quote is open."""
+    """Lines (``value``) as fields. Those without a quote are split at their commas. In the others a comma parts fields,
+    reading backwards, unless a quote is open.
+    """
     backwards = F.reverse("value")
     open_quote = F.length(F.regexp_replace("value", '[^"]', "")) % 2 == 1
     closed = F.concat(backwards, F.when(open_quote, '"').otherwise(""), F.lit(","))
     parts = F.regexp_extract_all(closed, F.lit('((?:[^",]|"[^"]*+")*+),'), F.lit(1))
-    fields = F.transform(F.reverse(parts), lambda part: F.regexp_replace(strip(F.reverse(part)), '^"|"$', ""))
+    cut = F.transform(F.reverse(parts), lambda part: F.reverse(part))
+    quoted = F.contains("value", F.lit('"'))
+    rows = lines.select("value", quoted.alias("quoted"), F.when(quoted, cut).otherwise(F.split("value", ",")).alias("fields"))
+
+    def field(i: int) -> Column:
+        text = strip(F.get("fields", F.lit(i)))
+        return F.when(F.col("quoted"), F.regexp_replace(text, '^"|"$', "")).otherwise(text)
+
     wide = F.size("fields") == len(SALES_COLUMNS)
-    columns = [F.get("fields", F.lit(i)).alias(name) for i, name in enumerate(SALES_COLUMNS)]
-    return lines.select("value", fields.alias("fields")).select(*columns, F.when(~wide, F.col("value")).alias(CORRUPT))
+    columns = [field(i).alias(name) for i, name in enumerate(SALES_COLUMNS)]
+    return rows.select(*columns, F.when(~wide, F.col("value")).alias(CORRUPT))
 
 
 def is_header() -> Column:

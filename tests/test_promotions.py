@@ -3,6 +3,7 @@ from __future__ import annotations
 import pytest
 from tests.conftest import day, rows_of
 
+from orderlens.operators import lookup
 from orderlens.operators import promotions as promo
 from orderlens.plans import promotion_percentages, promotion_records
 
@@ -37,6 +38,39 @@ def test_counts_add_up_over_the_records_of_an_order(spark):
     }
 
 
+def test_a_list_too_large_to_broadcast_filters_before_the_shuffle(spark, tmp_path):
+    """Of 200,000 appearances 5 % are of valid promotions; with no room to broadcast, few others reach the join."""
+    appearances = spark.range(200_000).selectExpr(
+        "CAST(id % 9000 AS STRING) AS order_id", "date_add(date'2022-01-01', CAST(id % 7 AS INT)) AS order_date",
+        "CASE WHEN id % 20 = 0 THEN concat('v', id % 500) ELSE concat('x', id) END AS promotion_id",
+    )
+    valid = promo.valid_promotions(appearances)
+    plain = rows_of(promo.valid_promotion_counts(appearances, valid, 1))
+    spark.conf.set(lookup.BROADCAST_SETTING, "0")
+    try:
+        with lookup.Workspace(spark, str(tmp_path)) as workspace:
+            listed = workspace.lookup(valid.select("promotion_id"))
+            passed = lookup.prefiltered(appearances, listed, "promotion_id", workspace)
+            hits = passed.where("promotion_id LIKE 'v%'").count()
+            assert (hits, listed.rows) == (10_000, 25)
+            assert passed.count() - hits <= 190_000 * 0.05
+            counts = promo.valid_promotion_counts(appearances, valid, 1, workspace=workspace)
+            plan = counts._jdf.queryExecution().executedPlan().toString()
+            assert "SortMergeJoin" in plan and plan.count("BroadcastHashJoin") == 1
+            assert rows_of(counts) == plain
+    finally:
+        spark.conf.unset(lookup.BROADCAST_SETTING)
+
+
+@pytest.mark.parametrize(("keys", "share"), [(50, 0.1), (20_000, 0.015)])
+def test_share_of_other_keys_that_pass(spark, tmp_path, keys, share):
+    with lookup.Workspace(spark, str(tmp_path)) as workspace:
+        listed = workspace.lookup(spark.range(keys).selectExpr("concat('k', id) AS k"))
+        others = spark.range(keys, keys + 100_000).selectExpr("concat('k', id) AS k")
+        assert lookup.prefiltered(listed.table, listed, "k", workspace).count() == keys
+        assert lookup.prefiltered(others, listed, "k", workspace).count() < share * 100_000
+
+
 def test_amount_equal_to_the_average_is_not_below(spark):
     averages = promo.benchmark_averages(
         spark.createDataFrame([("A", 0.1)] * 3 + [("B", None), (None, 5.0)], "state string, amount double")
