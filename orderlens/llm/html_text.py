@@ -3,7 +3,8 @@
 The builder closes what HTML lets authors leave open (paragraphs, list items, rows, cells, options) and supplies the
 rows and bodies that tables imply. The renderer walks the tree once, without recursion. It collapses white space, puts
 blocks on lines of their own with blank lines around paragraphs, headings and the like, marks and indents list items,
-keeps preformatted text, and lays table cells out in aligned columns.
+keeps preformatted text, and lays table cells out in aligned columns, those over several columns or rows included.
+Labels of drawings and formulas are text, their titles, descriptions and annotations are not.
 """
 
 from __future__ import annotations
@@ -16,6 +17,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from orderlens.llm.words import parts
+
 TOKEN = re.compile(
     r"<!--.*?(?:-->|--!>|\Z)|<[!?][^>]*+(?:>|\Z)|</[a-zA-Z][^\s/>]*+[^>]*+(?:>|\Z)"
     r"|<[a-zA-Z][^\s/>]*+(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+[^>]*+(?:>|\Z)",
@@ -28,11 +31,14 @@ UNSEEN = re.compile(r"(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)
 # Element names by how they behave.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-INVISIBLE = frozenset("head script style template noscript noembed noframes iframe object audio video canvas svg math title datalist".split())
+INVISIBLE = frozenset(
+    "head script style template noscript noembed noframes iframe object audio video canvas title datalist "
+    "desc metadata defs symbol annotation annotation-xml".split()
+)
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl pre blockquote table figure form fieldset hr article section".split())
 BLOCKS = SPACED | frozenset(
     "html body div li dt dd address aside nav header footer main center figcaption legend details summary dialog menu "
-    "search hgroup option optgroup tr td th thead tbody tfoot caption".split()
+    "search hgroup option optgroup tr td th thead tbody tfoot caption svg text".split()
 )
 CLOSES_PARAGRAPH = SPACED | frozenset(
     "div address aside nav header footer main center figcaption details summary dialog menu search hgroup li dt dd".split()
@@ -57,14 +63,25 @@ BARRIERS = frozenset({"td", "th", "caption", "table"})
 HEAD_ONLY = frozenset("base link meta title style script noscript template head html".split())
 
 
+MOST_COLUMNS, MOST_ROWS = 1000, 65534  # that a cell may span
+
+
 class Node:
-    __slots__ = ("tag", "hidden", "children", "start")
+    __slots__ = ("tag", "hidden", "children", "start", "span")
 
-    def __init__(self, tag: str, hidden: bool = False, start: int = 1):
-        self.tag, self.hidden, self.start = tag, hidden, start
+    def __init__(self, tag: str, hidden: bool = False, start: int = 1, span: tuple[int, int] = (1, 1)):
+        self.tag, self.hidden, self.start, self.span = tag, hidden, start, span
         self.children: list[Node | str] = []
 
 
+def spanned(given: dict[str, str]) -> tuple[int, int]:
+    """Columns and rows of a cell; 0 rows are all that follow. What is no number is 1."""
+    columns, rows = (given.get(name, "1").strip() for name in ("colspan", "rowspan"))
+    wide = int(columns) if re.fullmatch("[0-9]{1,9}", columns) else 1
+    high = int(rows) if re.fullmatch("[0-9]{1,9}", rows) else 1
+    return min(max(wide, 1), MOST_COLUMNS), min(high, MOST_ROWS) or MOST_ROWS
+
+
 def tokens(page: str) -> Iterator[tuple[str, str]]:
     """(kind, content): text, start or end tags; comments and declarations are left out."""
     at, lowered = 0, None
@@ -163,7 +180,8 @@ def build(page: str) -> Node:
         given = {} if plain else attributes(content)
         hidden = name in INVISIBLE or "hidden" in given or bool(UNSEEN.search(given.get("style", "")))
         start = given.get("start", "1")
-        node = Node(name, hidden, int(start) if name == "ol" and re.fullmatch(r"-?[0-9]{1,9}", start) else 1)
+        first = int(start) if name == "ol" and re.fullmatch(r"-?[0-9]{1,9}", start) else 1
+        node = Node(name, hidden, first, spanned(given) if name in CELLS else (1, 1))
         if name in VOID:
             stack[-1].children.append(node)
         elif not (name == "body" and open_tags.get("body")):
@@ -219,6 +237,17 @@ class Canvas:
         elif content:
             self.space = True
 
+    def preformatted(self, content: str) -> None:
+        """Text as it is. It goes on in the current line; the first line end of a block is dropped."""
+        for i, line in enumerate(content.split("\n")):
+            if i and self.parts:
+                self.finish_line()
+            elif i and not self.gap:
+                self.lines.append("")
+            if line:
+                self._begin()
+                self.parts.append(line)
+
     def exact(self, lines: list[str]) -> None:
         """Whole lines as they are."""
         self.finish_line()
@@ -239,27 +268,57 @@ class Canvas:
         return self.lines[first:last]
 
 
-def aligned(rows: list[list[list[str]]]) -> list[str]:
-    """Rows of cells, each a list of lines, with every column as wide as its widest line."""
-    widths: list[int] = []
-    for row in rows:
-        for i, cell in enumerate(row):
-            width = max(map(len, cell), default=0)
-            if i == len(widths):
-                widths.append(width)
-            widths[i] = max(widths[i], width)
-    lines = []
+Cell = tuple[list[str], int, int]  # lines, columns, rows
+
+
+def placed(rows: list[list[Cell]]) -> list[list[tuple[int, Cell]]]:
+    """The cells of every row with their first column, beside cells that reach down from rows above."""
+    down: dict[int, int] = {}  # column -> rows for which it is still taken
+    out = []
     for row in rows:
-        for k in range(max((len(cell) for cell in row), default=0)):
-            parts = [(cell[k] if k < len(cell) else "").ljust(widths[i]) for i, cell in enumerate(row)]
-            lines.append("  ".join(parts).rstrip())
-    return lines
+        taken, down = down, {column: left - 1 for column, left in down.items() if left > 1}
+        own, at = [], 0
+        for cell in row:
+            _, wide, high = cell
+            while any(column in taken for column in range(at, at + wide)):
+                at += 1
+            own.append((at, cell))
+            if high > 1:
+                down |= dict.fromkeys(range(at, at + wide), high - 1)
+            at += wide
+        out.append(own)
+    return out
+
+
+def aligned(rows: list[list[Cell]]) -> list[str]:
+    """Lines of a table, with every column as wide as its widest line. A cell over several columns widens the last of them
+    if it needs to; a cell over several rows stands in the first.
+    """
+    table = placed(rows)
+    widths: dict[int, int] = {}
+    for at, (lines, wide, _) in sorted((one for row in table for one in row), key=lambda one: (one[1][1], one[0])):
+        room = sum(widths.get(at + i, 0) for i in range(wide)) + 2 * (wide - 1)
+        last = at + wide - 1
+        widths[last] = widths.get(last, 0) + max(0, max(map(len, lines), default=0) - room)
+    starts, place = [], 0
+    for i in range(max(widths, default=-1) + 1):
+        starts.append(place)
+        place += widths.get(i, 0) + 2
+    out = []
+    for row in table:
+        for k in range(max((len(lines) for _, (lines, _, _) in row), default=0)):
+            line = ""
+            for at, (lines, _, _) in row:
+                if k < len(lines):
+                    line = line.ljust(starts[at]) + lines[k]
+            out.append(line.rstrip())
+    return out
 
 
 def render(page: str | None) -> str:
     """All visible text of a page; null and empty pages have none."""
     canvases = [Canvas()]
-    tables: list[list[list[list[str]]]] = []
+    tables: list[list[list[Cell]]] = []
     lists: list[list] = []
     pre = 0
     walk: list[tuple[Node, bool]] = [(build(page or ""), False)]
@@ -271,8 +330,7 @@ def render(page: str | None) -> str:
             if not pre:
                 canvas.text(content)
             elif content:
-                lines = content.split("\n")
-                canvas.exact(lines)
+                canvas.preformatted(content)
             continue
         tag = node.tag
         if node.hidden:
@@ -311,7 +369,7 @@ def render(page: str | None) -> str:
             cell = canvases.pop().done()
             if not tables[-1]:
                 tables[-1].append([])
-            tables[-1][-1].append(cell)
+            tables[-1][-1].append((cell, *node.span))
             continue
         if tag == "table":
             astray = canvases.pop().done()
@@ -344,7 +402,7 @@ def extract_text(pages: DataFrame, keep: tuple[str, ...] = ("page_id",), html: s
     def run(batches) -> Iterator:
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in parts(batches):
             texts = [render(page) for page in batch.column(len(keep)).to_pylist()]
             arrays = [*(batch.column(i) for i in range(len(keep))), pa.array(texts, pa.string())]
             yield pa.RecordBatch.from_arrays(arrays, names=[f.name for f in schema])

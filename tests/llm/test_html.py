@@ -1,8 +1,10 @@
 from __future__ import annotations
 
+import random
 import re
 from html.parser import HTMLParser
 
+import pytest
 from tests.llm.conftest import SMALL
 
 from orderlens.llm import html_text, queries
@@ -79,3 +81,76 @@ def test_odd_rows(spark):
     assert got.columns == ["page_id", "n_chars", "text"]
     assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, [(1, 1, "a"), (1, 1, "a"), (None, 0, ""), (2, 0, "")]))
     assert html_text.extract_text(df.limit(0)).count() == 0
+
+
+def grid(rows):
+    """First column of every cell, by filling a grid of squares one by one."""
+    taken, firsts = set(), {}
+    for y, row in enumerate(rows):
+        x = 0
+        for name, wide, high in row:
+            while any((y, x + i) in taken for i in range(wide)):
+                x += 1
+            firsts[name] = (y, x)
+            taken |= {(y + j, x + i) for i in range(wide) for j in range(high)}
+            x += wide
+    return firsts
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_generated_tables_are_aligned(seed):
+    rng = random.Random(seed)
+    rows, pieces = [], []
+    for y in range(rng.randint(1, 6)):
+        row = [(f"r{y}c{i}" + "x" * rng.randrange(9), rng.choice((1, 1, 1, 2, 3)), rng.choice((1, 1, 1, 2))) for i in range(rng.randint(1, 5))]
+        rows.append(row)
+        cells = "".join(f"<td colspan={wide} rowspan='{high}'>{name}" for name, wide, high in row)
+        pieces.append(f"<tr>{cells}")
+    lines = render("<table>" + "".join(pieces) + "</table>").split("\n")
+    firsts, offsets = grid(rows), {}
+    assert [line.split() for line in lines] == [[name for name, _, _ in row] for row in rows]
+    for name, (y, x) in firsts.items():
+        at = lines[y].index(name)
+        assert offsets.setdefault(x, at) == at
+        assert at == 0 or lines[y][:at].endswith("  ")
+    assert [offsets[x] for x in sorted(offsets)] == sorted(offsets.values())
+
+
+def brute_list(items, depth=0):
+    lines = []
+    for number, (text, inner) in enumerate(items, 1):
+        lines.append("  " * depth + (f"{number}. " if depth % 2 else "- ") + text)
+        lines += brute_list(inner, depth + 1)
+    return lines
+
+
+@pytest.mark.parametrize("seed", range(10))
+def test_generated_lists_are_indented(seed):
+    rng = random.Random(seed)
+
+    def make(depth):
+        return [(f"t{rng.randrange(99)}", make(depth + 1) if depth < 3 and rng.random() < 0.4 else []) for _ in range(rng.randint(1, 4))]
+
+    def page(items, depth=0):
+        tag = "ol" if depth % 2 else "ul"
+        return f"<{tag}>" + "".join(f"<li>{text}" + (page(inner, depth + 1) if inner else "") for text, inner in items) + f"</{tag}>"
+
+    items = make(0)
+    assert render(page(items)).split("\n") == brute_list(items)
+
+
+def test_preformatted_lines_go_on_across_elements():
+    assert render("<pre>one <b>two</b> three\n  <i>four</i>\n\nfive</pre>six") == "one two three\n  four\n\nfive\n\nsix"
+    assert render("a<pre>\nx\n y\n</pre>b") == "a\n\nx\n y\n\nb"
+
+
+def test_spans():
+    page = "<table><tr><th colspan=2>both<th>n<tr><td rowspan=2>a<td>b<td>1<tr><td>c<td>2<tr><td colspan=x>d<td rowspan=0>e<td>3</table>"
+    assert render(page) == "both  n\na  b  1\n   c  2\nd  e  3"
+    assert render("<table><tr><td colspan=99999999999>a<td>b</table>") == "a  b"
+
+
+def test_drawings_and_formulas():
+    page = "<p>see <svg><title>t</title><desc>d</desc><text>axis</text><text>label</text></svg>"
+    page += "<math><mi>x</mi><mo>+</mo><mn>1</mn><annotation>x+1</annotation></math>"
+    assert render(page) == "see\naxis\nlabel\nx+1"
