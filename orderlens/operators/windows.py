@@ -129,7 +129,8 @@ def trailing_buckets(
     sized = _with_length(cells, key, totals, threshold, short, long, how, workspace)
     if counters is not None:
         sized = sized.observe(counters, *sums_of(window_rules(date, category))).where(F.col("_length").isNotNull())
-    sized = sized.where(_placed(date, category))
+    # With the count in the condition, it stays above the cells: below, they would no longer be those of the totals.
+    sized = sized.where(F.when(_placed(date, category), F.col("n")) > 0)
     first = F.unix_date(date) + 1
     last = F.unix_date(date) + F.col("_length")
     start, stop = F.col("block") * block_days, (F.col("block") + 1) * block_days

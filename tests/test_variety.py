@@ -1,9 +1,12 @@
 from __future__ import annotations
 
+import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 from tests.conftest import rows_of
 
 from orderlens.operators import variety
+from orderlens.operators.checks import observed_profile
 from orderlens.plans import variety_medians, variety_quality, variety_records
 
 SCHEMA = "month string, state string, style string, sku string, size string"
@@ -69,3 +72,22 @@ def test_quality(raw):
     assert dict(rows_of(variety_quality(raw(*RECORDS)))) == {
         "QUALIFYING_XXL_ROWS": 2, "BAD_DATE_ROWS": 1, "MISSING_GROUP_FIELDS": 1, "QUALIFIED_STYLE_ROWS": 4,
     }
+
+
+def test_one_read_of_the_records(spark, tmp_path):
+    path = str(tmp_path / "records")
+    frame(spark, ("2022-01", "S", "A", "a", "XXL"), ("2022-02", "S", "A", "b", "S"), ("2022-02", "S", "B", "c", "S")).write.parquet(path)
+    medians = variety.median_variety(spark.read.parquet(path))
+    assert rows_of(medians) == {("2022-01", "S", 1.0), ("2022-02", "S", 1.0)}
+    plan = medians._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("FileScan") == 1 and "Join" not in plan
+
+
+def test_counters_come_with_the_run(spark, raw):
+    counters = Observation()
+    medians = rows_of(variety_medians(raw(*RECORDS), counters=counters))
+    assert medians == rows_of(variety_medians(raw(*RECORDS)))
+    assert rows_of(observed_profile(spark, counters)) == rows_of(variety_quality(raw(*RECORDS)))
+    records = variety_records(raw(*RECORDS))
+    with pytest.raises(ValueError):
+        variety.median_variety(records, styles=records.select("style"), counters=Observation())

@@ -7,10 +7,12 @@ from fractions import Fraction
 from statistics import pvariance
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 from tests.conftest import day, rows_of
 
 from orderlens.operators import windows
+from orderlens.operators.checks import observed_profile
 from orderlens.plans import bought_records, trailing_winners
 
 SCHEMA = "state string, order_date date, size string, amount double"
@@ -175,3 +177,41 @@ def test_from_text_records(raw):
     winner = trailing_winners(df, threshold=3).where("window_date = '2022-01-02'").first()
     assert tuple(winner)[2:] == ("M", 2, 27.5625)
     assert trailing_winners(df, threshold=3).count() == 5
+
+
+def test_one_read_of_the_source(spark, tmp_path):
+    path = str(tmp_path / "bought")
+    bought(spark, ("A", "2022-01-01", "M", 1.0), ("B", "2022-01-02", "L", None), ("A", None, "M", 2.0)).write.parquet(path)
+    winners = windows.trailing_window_winner(spark.read.parquet(path))
+    winners.collect()
+    plan = winners._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("FileScan") == 1 and "ReusedExchange" in plan
+
+
+@pytest.mark.parametrize("given", [False, True])
+def test_counters_come_with_the_run(spark, given):
+    rng = random.Random(9)
+    rows = [(rng.choice(["A", "B", "C", ""]), rng.choice([None, "2022-01-01", "2022-02-03"]), rng.choice(["M", "L", "", None]),
+             rng.choice([None, 1.5])) for _ in range(200)]
+    df = bought(spark, *rows)
+    totals = spark.createDataFrame([("A", 99), ("B", 1)], "state string, n bigint") if given else None
+    counters = Observation()
+    plain = rows_of(windows.trailing_window_winner(df, threshold=50, totals=totals))
+    assert rows_of(windows.trailing_window_winner(df, threshold=50, totals=totals, counters=counters)) == plain
+    expected = rows_of(windows.window_quality(df, threshold=50, totals=totals))
+    assert rows_of(observed_profile(spark, counters)) == expected and len(expected) == 5
+
+
+def test_events_take_in_and_out_what_the_days_hold(spark):
+    """Every bucket against the sum over its days, with windows longer than a block and amounts far apart."""
+    rng = random.Random(10)
+    rows = [("A", str(dt.date(2022, 1, 1) + dt.timedelta(rng.randrange(60))), rng.choice("SML"), rng.choice([1e9, 0.01, -3.5, None])) for _ in range(150)]
+    buckets = windows.trailing_buckets(bought(spark, *rows), long=40, block_days=7, scale=2)
+    expected = defaultdict(lambda: [0, 0, 0])
+    for state, date, size, amount in rows:
+        cents = round((amount or 0) * 100)
+        for ahead in range(1, 41):
+            cell = expected[state, day(date) + dt.timedelta(ahead), size]
+            cell[0], cell[1], cell[2] = cell[0] + 1, cell[1] + cents, cell[2] + cents * cents
+    found = {(r.state, r.window_date, r.size): [r.n, int(r.s), int(r.ss)] for r in buckets.collect()}
+    assert found == dict(expected)
