@@ -27,6 +27,7 @@ from orderlens.llm.words import SPACES, Splitter, grams, mix, parts, signed, tex
 BUFFER = 1 << 21  # shingles that a task counts before it sends their counts on
 OFTEN = 8  # documents from which on a shingle counts as frequent
 FREQUENT_ENTRIES = 1 << 20  # most frequent shingles whose place in the order is known; 16 MB
+RANGE_SHINGLES = 1 << 21  # shingles whose counts meet in one task
 LARGEST_LIGHT = 256
 ROW_COST, POSTING_COST = 8.0, 1.0
 FIRST_SHARE = 4
@@ -73,38 +74,64 @@ def _keys(size: int):
     return run
 
 
-def _counts(size: int):
-    """Shingles and in how many rows of about two million shingles they are."""
+def _counts(size: int, bits: int):
+    """Shingles of about two million at a time, by hash range, with the number of rows that hold each."""
 
     def run(batches) -> Iterator:
+        import pyarrow as pa
+
         splitter, buffer, held = Splitter(SPACES), [], 0
 
         def counted():
             shingles, times = np.unique(np.concatenate(buffer), return_counts=True)
-            for a in range(0, len(shingles), 1 << 18):
-                yield record_batch(COUNTS, [signed(shingles[a : a + (1 << 18)]), times[a : a + (1 << 18)]])
+            part = shingles >> np.uint64(64 - bits) if bits else np.zeros(len(shingles), np.uint64)
+            cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(shingles)]
+            spans = [slice(*ends) for ends in zip(cuts, cuts[1:], strict=False)]
+            arrays = [
+                pa.array([int(part[span.start]) for span in spans], pa.int64()),
+                pa.array([shingles[span].tobytes() for span in spans], pa.binary()),
+                pa.array([times[span].astype(np.int32).tobytes() for span in spans], pa.binary()),
+            ]
+            return pa.RecordBatch.from_arrays(arrays, names=["part", "shingles", "times"])
 
         for batch in parts(batches):
             for _, found in sets_of(batch, size, splitter):
-                buffer.append(found)
-                held += len(found)
+                if len(found):
+                    buffer.append(found)
+                    held += len(found)
                 if held >= BUFFER:
-                    yield from counted()
+                    yield counted()
                     buffer, held = [], 0
         if held:
-            yield from counted()
+            yield counted()
 
     return run
 
 
-def frequent_shingles(bodies: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
+def _often(table):
+    """The shingles of a range that ``OFTEN`` or more rows hold."""
+    import pyarrow as pa
+
+    columns = [(table.column("shingles"), np.uint64), (table.column("times"), np.int32)]
+    shingles, times = (np.concatenate([np.frombuffer(one.as_buffer(), kind) for one in column]) for column, kind in columns)
+    order = np.argsort(shingles)
+    shingles = shingles[order]
+    starts = np.flatnonzero(np.concatenate([[True], shingles[1:] != shingles[:-1]]))
+    sums = np.add.reduceat(times[order].astype(np.int64), starts)
+    often = sums >= OFTEN
+    return pa.table({"shingle": pa.array(signed(shingles[starts][often])), "times": pa.array(sums[often])})
+
+
+def frequent_shingles(bodies: DataFrame, total: int, size: int) -> tuple[np.ndarray, np.ndarray]:
     """The most frequent shingles of all rows, sorted by hash, and the place of each in the order: most frequent last.
 
-    Counts are exact and combined before their shuffle. If more than ``FREQUENT_ENTRIES`` are in ``OFTEN`` rows or more,
-    a higher count is taken that no more of them reach. The others come first in the order.
+    Counts are exact: tasks count what they read, and counts meet by hash range, of which there are as many as ``total``,
+    the number of shingles in all sets, asks for. If more than ``FREQUENT_ENTRIES`` are in ``OFTEN`` rows or more, a higher
+    count is taken that no more of them reach. The others come first in the order.
     """
-    counted = bodies.mapInArrow(_counts(size), COUNTS).groupBy("shingle").agg(F.sum("times").alias("times"))
-    often = written(counted.where(F.col("times") >= OFTEN), "frequent")
+    bits = (total // RANGE_SHINGLES).bit_length()
+    ranges = bodies.mapInArrow(_counts(size, bits), "part long, shingles binary, times binary")
+    often = written(ranges.groupBy("part").applyInArrow(_often, COUNTS), "frequent")
     least, held = OFTEN, 0
     for row in often.groupBy("times").count().orderBy(F.desc("times")).toLocalIterator():
         held += row["count"]
@@ -255,7 +282,8 @@ def near_duplicates(
     reps = written(distinct, "reps")
     ids = reps.select(F.col("rep").alias("id"))
     bodies = named.join(ids.hint("merge"), "id", "left_semi")
-    frequent = spark.sparkContext.broadcast(frequent_shingles(named, words))
+    total = keys.agg(F.sum("n")).first()[0] or 0
+    frequent = spark.sparkContext.broadcast(frequent_shingles(named, total, words))
 
     grouped = reps.groupBy(F.least("n", F.lit(LARGEST_LIGHT * 2)).alias("n")).count().collect()
     sizes = {row.n: row["count"] for row in grouped}
