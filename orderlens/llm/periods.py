@@ -239,7 +239,9 @@ def find_runs(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc
     stage = written(docs.select(*sent).mapInArrow(_explode(len(keep)), schema), "tiles")
 
     tiles = stage.where("size IS NOT NULL").select("key", "size", "first", "tile", "bounds")
-    spread = tiles.repartition("key", "size", "first")
+    # By number: few bytes of tiles are much work, so they must not be drawn together into few tasks.
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = tiles.repartition(tasks, "key", "size", "first")
     fragments = spread.mapInArrow(_solve, "key bigint, period bigint, low bigint, high bigint")
     listed = F.sort_array(F.collect_list(F.struct("start", "period", "length")))
     fields = ("start", "length", "period")
