@@ -92,3 +92,29 @@ def test_components(spark):
             label[a] = label[b] = min(label[a], label[b])
     assert got == set(label.items())
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+@pytest.mark.parametrize(("total", "entries"), [(0, 1 << 20), (50 << 21, 1 << 20), (0, 30)])
+def test_frequent_shingles_are_counted_over_all_documents(spark, monkeypatch, total, entries):
+    """A passage once per buffer is frequent all the same; ranges do not matter, and a full table keeps the most frequent."""
+    monkeypatch.setattr(ngram_join, "BUFFER", 64)
+    monkeypatch.setattr(ngram_join, "FREQUENT_ENTRIES", entries)
+    rng, docs = random.Random(3), []
+    for i in range(60):
+        own = [f"o{i}_{k}" for k in range(60)]
+        shared = [f"s{k}" for k in range(20)] if i % 2 else [f"t{k}" for k in range(20)] if i % 4 == 0 else ["a"] * 30
+        docs.append((i, " ".join([*own, *shared] if rng.random() < 0.5 else [*shared, *own])))
+    docs += [(100, None), (101, ""), (102, "x")]
+    df = spark.createDataFrame(docs, "id long, body string").repartition(4)
+    splitter, counts = ngram_join.Splitter(ngram_join.SPACES), {}
+    for _, text in docs:
+        words = splitter.split([(text or "").encode()])
+        for shingle in ngram_join.shingle_set(words.hashes, 5).tolist():
+            counts[shingle] = counts.get(shingle, 0) + 1
+    often = sorted((n, shingle) for shingle, n in counts.items() if n >= ngram_join.OFTEN)
+    if len(often) > entries:
+        least = sorted((n for n, _ in often), reverse=True)[entries] + 1
+        often = [one for one in often if one[0] >= least]
+    known, places = ngram_join.frequent_shingles(df, total, 5)
+    assert known.tolist() == sorted(shingle for _, shingle in often) and len(known) >= 16
+    assert [shingle for _, shingle in sorted(zip(places.tolist(), known.tolist(), strict=True))] == [s for _, s in often]
