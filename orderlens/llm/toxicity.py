@@ -3,7 +3,8 @@
 Words are read as symbols: insult, threat verb, target, negator, reporting verb, other. A cascade of transducers is
 composed into one deterministic machine. Negation marks what follows a negator closely, reported speech what follows a
 reporting verb, targets what follows a person addressed; a threat verb counts only once its target follows. A clause
-scores the weights of its marked matches, each times the factors of its marks; an isolated word counts nowhere else.
+scores the weights of its matches, each times the factors of its marks. An insult without any mark keeps its plain
+weight, which can be enough by itself; a threat verb without a target counts for nothing.
 
 Insults are learned from labelled documents: words and word beginnings (stems, for inflected languages) that together
 explain the toxic ones. Weights, context factors and the final curve are fitted on the same bounded sample.
