@@ -67,7 +67,8 @@ def csv_quote_keeping_scan(spark: SparkSession, folder: str) -> DataFrame:
     promotions = F.concat(F.lit('"'), F.col("promotion-ids"), F.lit('"'))
     line = F.concat_ws(",", *plain, promotions, F.lit("x"), F.lit(" y "), F.lit(""))
     path = base.scratch_path(spark, "quoted-lines")
-    rows.select(line.alias("value")).unionByName(rows.limit(1).select(F.lit(",".join(SALES_COLUMNS)).alias("value"))).write.text(path)
+    header = spark.range(1).select(F.lit(",".join(SALES_COLUMNS)).alias("value"))
+    rows.select(line.alias("value")).unionByName(header).write.text(path)
     back = readers.read_sales_rows(spark, path, unescape_quotes=False)
     kept = {"order_id": "Order ID", "category": "Category", "asin": "ASIN", "courier": "Courier Status", "promotions": "promotion-ids"}
     return back.select(*(F.col(f"`{name}`").alias(alias) for alias, name in kept.items()))

@@ -46,20 +46,24 @@ def read_sales_lines(spark: SparkSession, path: str, unescape_quotes: bool = Tru
 
 
 def _cut_lines(lines: DataFrame) -> DataFrame:
-    """Lines (``value``) as fields. Those without a quote are split at their commas. In the others a comma parts fields,
-    reading backwards, unless a quote is open.
+    """Lines (``value``) as fields. Those without a quote are split at their commas. The others are split at their
+    quotes: counted from the end, every second piece, the last one first, has an even number of quotes behind it, and
+    its commas part fields. A line break marks these commas, since no line holds one.
     """
-    backwards = F.reverse("value")
-    open_quote = F.length(F.regexp_replace("value", '[^"]', "")) % 2 == 1
-    closed = F.concat(backwards, F.when(open_quote, '"').otherwise(""), F.lit(","))
-    parts = F.regexp_extract_all(closed, F.lit('((?:[^",]|"[^"]*+")*+),'), F.lit(1))
-    cut = F.transform(F.reverse(parts), lambda part: F.reverse(part))
     quoted = F.contains("value", F.lit('"'))
-    rows = lines.select("value", quoted.alias("quoted"), F.when(quoted, cut).otherwise(F.split("value", ",")).alias("fields"))
+
+    def marked(piece: Column, i: Column) -> Column:
+        return F.when(i % 2 == 0, F.replace(piece, F.lit(","), F.lit("\n"))).otherwise(piece)
+
+    backwards = F.transform(F.reverse(F.split("value", '"')), marked)
+    cut = F.split(F.array_join(F.reverse(backwards), '"'), "\n")
+    # Exploded, so that filters on fields are not turned into filters that cut each line again.
+    fields = F.explode(F.array(F.when(quoted, cut).otherwise(F.split("value", ","))))
+    rows = lines.select("value", fields.alias("fields"))
 
     def field(i: int) -> Column:
         text = strip(F.get("fields", F.lit(i)))
-        return F.when(F.col("quoted"), F.regexp_replace(text, '^"|"$', "")).otherwise(text)
+        return F.when(F.contains(text, F.lit('"')), F.regexp_replace(text, '^"|"$', "")).otherwise(text)
 
     wide = F.size("fields") == len(SALES_COLUMNS)
     columns = [field(i).alias(name) for i, name in enumerate(SALES_COLUMNS)]

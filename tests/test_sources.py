@@ -67,6 +67,22 @@ def test_rows_keep_doubled_quotes_on_request(spark, csv):
     assert dict(rows_of(quality)) == {"BAD_CSV_ROWS": 2, "HEADER_ROWS": 3}
 
 
+def test_kept_quotes_are_cut_once_and_however_long(spark, csv):
+    """Long quoted fields, and lines whose first quote has no partner: what precedes it is one field."""
+
+    def line(start: str) -> str:
+        return start + ",x" * 22
+
+    long = "y," * 50_000 + "y"
+    path = csv(line(f'a,"{long}"'), line('"b,c'), line('e,,f"g'), "h")
+    df = readers.read_sales_rows(spark, path, unescape_quotes=False).select("index", "`Order ID`")
+    assert rows_of(df) == {("a", long), ("b", "c")}
+    corrupt = readers.read_sales_lines(spark, path, unescape_quotes=False).where("_corrupt is not null")
+    assert rows_of(corrupt.select("_corrupt")) == {(line('e,,f"g'),), ("h",)}
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(value") == 2  # at commas alone, or at quotes
+
+
 def test_line_quality(spark, csv):
     found = dict(rows_of(readers.line_quality(readers.read_sales_lines(spark, csv(*LINES)))))
     assert found == {"BAD_CSV_ROWS": 2, "HEADER_ROWS": 3}
