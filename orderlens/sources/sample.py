@@ -18,7 +18,8 @@ def load(spark: SparkSession, folder: str, table: str) -> DataFrame:
 def sales(spark: SparkSession, folder: str) -> DataFrame:
     """One sales record per line item: 14 columns, typed.
 
-    ``promotion_ids`` holds a blank, a repeat with a leading space and up to six equal bulk ids per record.
+    ``promotion_ids`` holds a blank, a repeat with a leading space and up to six equal bulk ids per record. Orders meet
+    their customers first, so that the many line items are shuffled once for their parts and once for their orders.
     """
     lineitem, orders, customer, nation, part = (load(spark, folder, t) for t in TABLES)
     day = F.col("l_shipdate").cast("date")
@@ -41,11 +42,11 @@ def sales(spark: SparkSession, folder: str) -> DataFrame:
     size_name = size_name.when(size > 20, "L").when(size > 10, "M").otherwise("S")
     status = F.when(flag == "A", "Shipped").when(flag == "N", "Shipped - Delivered to Buyer").otherwise("Cancelled")
     courier = F.when(flag == "R", "Cancelled").when(F.col("o_orderstatus") == "P", "Unshipped").otherwise("Shipped")
+    buyers = customer.join(nation, F.col("n_nationkey") == F.col("c_nationkey"))
+    bought = orders.join(buyers, F.col("c_custkey") == F.col("o_custkey"))
     return (
-        lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(customer, F.col("c_custkey") == F.col("o_custkey"))
-        .join(nation, F.col("n_nationkey") == F.col("c_nationkey"))
-        .join(part, F.col("p_partkey") == F.col("l_partkey"))
+        lineitem.join(part, F.col("p_partkey") == F.col("l_partkey"))
+        .join(bought, F.col("l_orderkey") == F.col("o_orderkey"))
         .select(
             F.col("l_orderkey").cast("string").alias("order_id"),
             day.alias("order_date"),

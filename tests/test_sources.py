@@ -5,6 +5,7 @@ from tests.conftest import rows_of
 
 from orderlens.operators import checks
 from orderlens.sources import readers, writers
+from orderlens.sources.sample import sales
 from orderlens.sources.schema import SALES_COLUMNS
 
 HEADER = ",".join(SALES_COLUMNS)
@@ -83,6 +84,14 @@ def test_kept_quotes_are_cut_once_and_however_long(spark, csv):
     assert plan.count("split(value") == 2  # at commas alone, or at quotes
 
 
+def test_orders_meet_customers_before_line_items(spark):
+    plan = sales(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    depth = [len(line) - len(line.lstrip(" :+-")) for line in plan]
+    at = next(i for i, line in enumerate(plan) if "Join Inner" in line and "o_custkey" in line)
+    end = next((i for i in range(at + 1, len(plan)) if depth[i] <= depth[at]), len(plan))
+    assert not any("l_orderkey" in line for line in plan[at:end])
+
+
 def test_line_quality(spark, csv):
     found = dict(rows_of(readers.line_quality(readers.read_sales_lines(spark, csv(*LINES)))))
     assert found == {"BAD_CSV_ROWS": 2, "HEADER_ROWS": 3}
