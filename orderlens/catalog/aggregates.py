@@ -141,7 +141,7 @@ def benchmark_averages(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def below_benchmark_percentage(spark: SparkSession, folder: str) -> DataFrame:
-    return workloads.percentages_of(base.lowered(spark, folder))
+    return workloads.percentages_of(base.lowered(spark, folder), workspace=base.workspace(spark))
 
 
 def percentage_range(spark: SparkSession, folder: str) -> DataFrame:
@@ -230,7 +230,7 @@ def raw_variety_medians(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def raw_promotion_percentages(spark: SparkSession, folder: str) -> DataFrame:
-    return workloads.promotion_percentages(base.raw(spark, folder))
+    return workloads.promotion_percentages(base.raw(spark, folder), workspace=base.workspace(spark))
 
 
 def raw_percentile_comparison(spark: SparkSession, folder: str) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from orderlens.functions.parsing import month_of
 from orderlens.functions.text import token_count
+from orderlens.operators.lookup import Workspace
 from orderlens.operators.promotions import is_cancelled_standard, is_merchant_shipped
 from orderlens.operators.windows import is_bought
 from orderlens.sources.sample import as_raw, sales
@@ -49,6 +50,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def workspace(spark: SparkSession) -> Workspace:
+    """A workspace for an entry whose rows are computed after it returns, so it stays open; its tables go with the folder
+    of ``scratch_path``.
+    """
+    return Workspace(spark, scratch_path(spark, "workspace"))
+
+
 def bought(spark: SparkSession, folder: str) -> DataFrame:
     records = sales(spark, folder)
     return records.where(is_bought(F.col("status"), F.col("qty")))

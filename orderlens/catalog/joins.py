@@ -40,7 +40,9 @@ def valid_style_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 def order_promotion_counts(spark: SparkSession, folder: str) -> DataFrame:
     appearances = promo.promotion_appearances(sales(spark, folder))
-    return promo.valid_promotion_counts(appearances, promo.valid_promotions(appearances))
+    return promo.valid_promotion_counts(
+        appearances, promo.valid_promotions(appearances), workspace=base.workspace(spark)
+    )
 
 
 def record_promotion_counts(spark: SparkSession, folder: str) -> DataFrame:
@@ -71,10 +73,11 @@ def below_benchmark_flags(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def qualifying_share(spark: SparkSession, folder: str) -> DataFrame:
-    rows = base.lowered(spark, folder)
+    rows, workspace = base.lowered(spark, folder), base.workspace(spark)
     appearances = promo.promotion_appearances(rows)
-    counts = promo.valid_promotion_counts(appearances, promo.valid_promotions(appearances))
-    return promo.qualifying_share(rows.where("cancelled_standard"), counts, merchant_averages(rows))
+    counts = promo.valid_promotion_counts(appearances, promo.valid_promotions(appearances), workspace=workspace)
+    averages = merchant_averages(rows)
+    return promo.qualifying_share(rows.where("cancelled_standard"), counts, averages, workspace=workspace)
 
 
 def threshold_membership(spark: SparkSession, folder: str) -> DataFrame:

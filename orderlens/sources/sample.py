@@ -46,7 +46,7 @@ def sales(spark: SparkSession, folder: str) -> DataFrame:
     bought = orders.join(buyers, F.col("c_custkey") == F.col("o_custkey"))
     return (
         lineitem.join(part, F.col("p_partkey") == F.col("l_partkey"))
-        .join(bought, F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(bought.hint("shuffle_hash"), F.col("l_orderkey") == F.col("o_orderkey"))
         .select(
             F.col("l_orderkey").cast("string").alias("order_id"),
             day.alias("order_date"),

@@ -3,6 +3,7 @@ from __future__ import annotations
 import pytest
 from tests.conftest import day, rows_of
 
+from orderlens.catalog import ENTRIES
 from orderlens.operators import lookup
 from orderlens.operators import promotions as promo
 from orderlens.plans import promotion_percentages, promotion_records
@@ -131,3 +132,10 @@ def test_malformed_can_fail(raw):
     assert promotion_records(bad).first()["amount"] is None
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
         promotion_records(bad, malformed="fail").collect()
+
+
+def test_catalog_counts_do_not_shuffle_appearances_by_promotion(spark):
+    """The list of lasting promotions is measured, so it is broadcast; line items are not sorted for their orders."""
+    counts = ENTRIES["order_promotion_counts"].build(spark, "/root/testdata/sf0.001")
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(promotion_id" not in plan and "ShuffledHashJoin [l_orderkey" in plan
