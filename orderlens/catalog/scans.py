@@ -20,7 +20,7 @@ CSV_OPTIONS = {"escape": '"'}
 
 def _written_csv(spark: SparkSession, folder: str) -> str:
     path = base.scratch_path(spark, "sales-csv")
-    base.raw(spark, folder).write.option("header", True).options(**CSV_OPTIONS).csv(path)
+    base.raw(spark, folder).write.option("header", True).option("compression", "snappy").options(**CSV_OPTIONS).csv(path)
     return path
 
 
@@ -48,7 +48,7 @@ def _written_lines(spark: SparkSession, folder: str) -> str:
     header = F.lit(",".join(SALES_COLUMNS))
     lines = rows.select(text.alias("value")).unionByName(rows.select("Style").distinct().select(header.alias("value")))
     path = base.scratch_path(spark, "sales-lines")
-    lines.write.text(path)
+    lines.write.option("compression", "snappy").text(path)
     return path
 
 
@@ -68,7 +68,7 @@ def csv_quote_keeping_scan(spark: SparkSession, folder: str) -> DataFrame:
     line = F.concat_ws(",", *plain, promotions, F.lit("x"), F.lit(" y "), F.lit(""))
     path = base.scratch_path(spark, "quoted-lines")
     header = spark.range(1).select(F.lit(",".join(SALES_COLUMNS)).alias("value"))
-    rows.select(line.alias("value")).unionByName(header).write.text(path)
+    rows.select(line.alias("value")).unionByName(header).write.option("compression", "snappy").text(path)
     back = readers.read_sales_rows(spark, path, unescape_quotes=False)
     kept = {"order_id": "Order ID", "category": "Category", "asin": "ASIN", "courier": "Courier Status", "promotions": "promotion-ids"}
     return back.select(*(F.col(f"`{name}`").alias(alias) for alias, name in kept.items()))
