@@ -49,13 +49,18 @@ SCORES = "id long, held_out boolean, n_tokens long, n_known long, base_score dou
 
 def _blocks(batches) -> Iterator:
     """Blocks of the rows (id, held, trained, text)."""
+    import pandas as pd
     import pyarrow as pa
 
     splitter, number = Splitter(SPACES), TaskContext.get().partitionId() << 32
     ids, held, trained, lengths, hashes, size = [], [], [], [], [], 0
 
     def block():
-        words, places = np.unique(np.concatenate(hashes), return_inverse=True)
+        places, words = pd.factorize(np.concatenate(hashes))
+        order = np.argsort(words)
+        number = np.empty(len(words), np.int32)
+        number[order] = np.arange(len(words), dtype=np.int32)
+        words, places = words[order], number[places]
         learns = np.repeat(np.array(trained, bool), lengths)
         counts = np.bincount(places[learns], minlength=len(words)).astype(np.int32)
         row = {
@@ -66,7 +71,7 @@ def _blocks(batches) -> Iterator:
             "lengths": lengths,
             "dictionary": words.tobytes(),
             "counts": counts.tobytes(),
-            "tokens": places.astype(np.int32).tobytes(),
+            "tokens": places.tobytes(),
             "entries": len(words),
         }
         kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.bool_()), pa.list_(pa.int32())]

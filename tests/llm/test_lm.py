@@ -155,3 +155,53 @@ def test_gradients():
             down = loss(weights)
             value[at] = kept
             assert grads[name][at] == pytest.approx((up - down) / (2 * step), rel=2e-2, abs=2e-3)
+
+
+def test_a_word_meets_few_odds():
+    """Of thousands of words: those of its class, the classes of its bundle and the bundles, not all classes."""
+    counts = (3e6 / np.arange(1, 30001)).astype(np.int64)
+    classes = gru.Classes.of(counts)
+    number = classes.of_words(np.arange(len(counts)))
+    bundle = np.searchsorted(classes.bundles, number, "right") - 1
+    met = np.diff(classes.cuts)[number] + np.diff(classes.bundles)[bundle] + len(classes.bundles) - 1
+    assert np.average(met, weights=counts) < len(classes.cuts) - 1 < len(counts) / 50
+    assert classes.bundles[0] == 0 and classes.bundles[-1] == len(classes.cuts) - 1
+
+
+def test_windows_hold_every_word_once_and_about_as_many_words():
+    lengths = np.array([400, 3, 5, 30, 1, 12, 60, 44, 7, 9] * 4 + [3000])
+    starts = np.cumsum(lengths) - lengths
+    words = np.arange(lengths.sum()) % 7
+    found = list(gru.windows(words, starts, lengths, 8, 16))
+    places = np.concatenate([where[valid] for _, _, where, valid in found])
+    assert sorted(places) == list(range(lengths.sum()))
+    assert sorted(np.concatenate([where[first] for _, first, where, _ in found])) == list(starts)
+    assert all((part == words[where]).all() for part, _, where, _ in found)
+    assert len(found) < 3000 / 16 / 4
+
+
+def test_probabilities_are_those_of_a_plain_network():
+    """Word by word: a gated state, then bundle, class and word each by a softmax."""
+    counts = np.array([900, 500, 300, 200, 100, 90, 80, 50, 40, 30, 20, 10, 9, 8, 7, 6, 5, 4, 3, 2])
+    classes = gru.Classes.of(counts)
+    weights, n = gru.initial(classes, counts, 8.0, size=5), 5
+    words = np.random.default_rng(6).integers(0, classes.words, 40)
+    assert len(classes.bundles) > 2
+
+    def softmax(rows, state):
+        odds = np.exp(rows[:, :n].astype(float) @ state + rows[:, n])
+        return odds / odds.sum()
+
+    expected, state = [], np.zeros(n)
+    for word in words:
+        k = int(classes.of_words(np.array([word]))[0])
+        j = int(np.searchsorted(classes.bundles, k, "right")) - 1
+        (a, b), (c, d) = classes.cuts[k : k + 2], classes.bundles[j : j + 2]
+        p = softmax(weights["word_out"][a:b], state)[word - a] * softmax(weights["class_out"][c:d], state)[k - c]
+        expected.append(math.log(p * softmax(weights["bundle_out"], state)[j]))
+        given, hidden = weights["inputs"][word], state @ weights["recurrent"]
+        z, r = (1 / (1 + np.exp(-(given[i : i + n] + hidden[i : i + n]))) for i in (0, n))
+        new = np.tanh(given[2 * n :] + r * hidden[2 * n :])
+        state = new + z * (state - new)
+    got = gru.log_probabilities(weights, classes, words, np.array([0]), np.array([len(words)]))
+    assert got == pytest.approx(np.array(expected), abs=1e-4)
