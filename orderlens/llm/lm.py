@@ -58,9 +58,9 @@ def _blocks(batches) -> Iterator:
     def block():
         places, words = pd.factorize(np.concatenate(hashes))
         order = np.argsort(words)
-        number = np.empty(len(words), np.int32)
-        number[order] = np.arange(len(words), dtype=np.int32)
-        words, places = words[order], number[places]
+        rank = np.empty(len(words), np.int32)
+        rank[order] = np.arange(len(words), dtype=np.int32)
+        words, places = words[order], rank[places]
         learns = np.repeat(np.array(trained, bool), lengths)
         counts = np.bincount(places[learns], minlength=len(words)).astype(np.int32)
         row = {
