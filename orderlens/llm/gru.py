@@ -118,17 +118,17 @@ def windows(words: np.ndarray, starts: np.ndarray, lengths: np.ndarray, lanes: i
     Where fewer lanes run, as at the end, windows are deeper, so that they hold about as many words.
     """
     dealt = lanes_of(lengths, lanes)
-    places, begins = [], []
-    for texts in dealt:
-        own = np.concatenate([np.arange(starts[t], starts[t] + lengths[t]) for t in texts])
-        first = np.zeros(len(own), bool)
-        first[np.cumsum([0, *(lengths[t] for t in texts[:-1])])] = True
-        places.append(own)
-        begins.append(first)
-    sizes = np.array([len(own) for own in places], np.int64)
+    sizes = np.array([lengths[texts].sum() for texts in dealt], np.int64)
     if not len(sizes):
         return
-    place, begin, offsets = np.concatenate(places), np.concatenate(begins), np.cumsum(sizes) - sizes
+    order, offsets = np.concatenate(dealt), np.cumsum(sizes) - sizes
+    ends = np.cumsum(lengths[order])
+    begin = np.zeros(ends[-1], bool)
+    begin[ends - lengths[order]] = True
+    kind = np.int32 if max(len(words), len(begin)) < 1 << 31 else np.int64
+    place = np.arange(len(begin), dtype=kind)
+    place += np.repeat((starts[order] + lengths[order] - ends).astype(kind), lengths[order])
+    del dealt, order, ends
     at = 0
     while at < sizes[0]:
         running = int((sizes > at).sum())

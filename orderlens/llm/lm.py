@@ -8,13 +8,15 @@ the tokens as places in the dictionary. Every later step reads these blocks inst
    The counts also say from how many occurrences on words are the network's own: those words make up ``COVERAGE`` of
    the training tokens, so that they grow with the corpus. The rest is dealt to hashed groups, which grow with it too.
 2. Training. A gated recurrent network (see ``gru``) starts on one block and then learns from all training documents,
-   each task from its own blocks; the tasks' weights are averaged, a few at a time.
+   each task from its own blocks; the tasks' weights are averaged, a few at a time. They travel in pieces, so that no task
+   holds the whole weights of several others.
 3. Scores. The network reads and predicts its own words and the groups of the others, each by vectors of its own; a word
    of a group has its smoothed share of the group's corpus counts. State is carried through a document to its end.
 """
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,14 +26,14 @@ from pyspark.sql import functions as F
 
 from orderlens.llm.gru import Classes, Network, Trainer, initial, log_probabilities
 from orderlens.llm.staging import written
-from orderlens.llm.words import SPACES, Splitter, signed, texts_of
+from orderlens.llm.words import SPACES, Splitter, parts, signed, texts_of
 
 BLOCK_TOKENS = 1 << 21
 RANGE_ENTRIES = 1 << 17
 COVERAGE, LEAST_COUNT = 0.75, 5
 FIRST_RATE, RATE, FIRST_TOKENS = 0.01, 0.004, 1 << 21
 MOST_STEPS = 2000
-AVERAGED, AVERAGED_BYTES = 16, 1 << 27
+AVERAGED, PIECE_BYTES = 16, 1 << 18
 SMOOTHING = 0.1
 END = np.uint64(0x6A09E667F3BCC909)  # the hash that stands for a document's end
 
@@ -44,9 +46,25 @@ MERGED = (
     "part int, block long, counts binary, known long, total long, words array<long>, times array<long>, "
     "levels array<long>, level_words array<long>, groups array<long>, group_times array<long>, group_words array<long>"
 )
+MODELS = "part long, piece int, seen double, weights binary"
 SCORES = "id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
 
 
+def released(work):
+    """``work`` on batches that gives its freed memory back to the system, as Python workers stay when a task is over."""
+
+    def run(batches) -> Iterator:
+        import pyarrow as pa
+
+        yield from work(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc
+        if trim:
+            trim(0)
+
+    return run
+
+
 def _blocks(batches) -> Iterator:
     """Blocks of the rows (id, held, trained, text)."""
     import pandas as pd
@@ -56,7 +74,10 @@ def _blocks(batches) -> Iterator:
     ids, held, trained, lengths, hashes, size = [], [], [], [], [], 0
 
     def block():
-        places, words = pd.factorize(np.concatenate(hashes))
+        tokens = np.concatenate(hashes)
+        hashes.clear()
+        places, words = pd.factorize(tokens)
+        del tokens
         order = np.argsort(words)
         rank = np.empty(len(words), np.int32)
         rank[order] = np.arange(len(words), dtype=np.int32)
@@ -80,7 +101,7 @@ def _blocks(batches) -> Iterator:
             [pa.array([value], kind) for value, kind in zip(row.values(), kinds, strict=True)], names=list(row)
         )
 
-    for batch in batches:
+    for batch in parts(batches):
         keys, outs, learns = (batch.column(i).to_pylist() for i in range(3))
         for first, found in splitter.chunks(texts_of(batch.column(3))):
             for i in range(len(found.bounds) - 1):
@@ -302,28 +323,55 @@ def _train(vocabulary, start, rate: float, least: int = 0):
                     if least:
                         trainer.network.w = shaped(kept, like)
         if learned:
+            content = flat(trainer.network.w)
+            cuts = [content[at : at + PIECE_BYTES] for at in range(0, len(content), PIECE_BYTES)]
             arrays = [
-                pa.array([TaskContext.get().partitionId()], pa.int64()),
-                pa.array([float(learned)], pa.float64()),
-                pa.array([flat(trainer.network.w)], pa.binary()),
+                pa.array([TaskContext.get().partitionId()] * len(cuts), pa.int64()),
+                pa.array(range(len(cuts)), pa.int32()),
+                pa.array([float(learned)] * len(cuts), pa.float64()),
+                pa.array(cuts, pa.binary()),
             ]
-            yield pa.RecordBatch.from_arrays(arrays, names=["part", "seen", "weights"])
+            yield pa.RecordBatch.from_arrays(arrays, names=["part", "piece", "seen", "weights"])
 
     return run
 
 
-def _average(table):
+def _average(key, table):
+    """The mean of one piece of a group's models, by the tokens that they saw."""
     import pyarrow as pa
 
     seen = np.asarray(table.column("seen"), np.float64)
     values = [np.frombuffer(table.column("weights")[i].as_buffer(), np.float32) for i in range(table.num_rows)]
     mean = sum(w * n for w, n in zip(values, seen / seen.sum(), strict=True)).astype(np.float32)
-    return pa.table({"part": table.column("part").slice(0, 1), "seen": [float(seen.sum())], "weights": [mean.tobytes()]})
+    return pa.table(
+        {
+            "part": pa.array([key[0].as_py()], pa.int64()),
+            "piece": table.column("piece").slice(0, 1),
+            "seen": [float(seen.sum())],
+            "weights": [mean.tobytes()],
+        }
+    )
+
+
+def averaged(models: DataFrame) -> bytes:
+    """The mean of all models, which are in pieces of the same places. A task holds pieces of ``AVERAGED`` models at once."""
+    left = models.where("piece = 0").count()
+    while left > 1:
+        left = -(-left // AVERAGED)
+        group = F.pmod(F.xxhash64("part"), F.lit(left)).alias("group")
+        models = models.groupBy(group, "piece").applyInArrow(_average, MODELS)
+        models = written(models, "weights") if left > 1 else models
+    return whole(models)
+
+
+def whole(model: DataFrame) -> bytes:
+    """The weights of one model from its pieces."""
+    return b"".join(row.weights for row in sorted(model.select("piece", "weights").collect()))
 
 
 def trained_weights(blocks: DataFrame, vocabulary: Vocabulary) -> dict[str, np.ndarray]:
     """The network's weights: a start on one block, then a pass of all tasks over all blocks, averaged in groups."""
-    spark, schema = blocks.sparkSession, "part long, seen double, weights binary"
+    spark = blocks.sparkSession
     weights = initial(vocabulary.classes, vocabulary.counts, vocabulary.last)
     learning = blocks.select("block", "trained", "lengths", "dictionary", "tokens").where(F.exists("trained", lambda x: x))
     first = learning.agg(F.min("block")).first()[0]
@@ -331,43 +379,42 @@ def trained_weights(blocks: DataFrame, vocabulary: Vocabulary) -> dict[str, np.n
         return weights
     sent = spark.sparkContext.broadcast(vocabulary.given)
     head = learning.where(F.col("block") == first)
-    begun = head.mapInArrow(_train(sent, spark.sparkContext.broadcast(weights), FIRST_RATE, FIRST_TOKENS), schema).collect()
-    weights = shaped(begun[0].weights, weights)
-    models = written(learning.mapInArrow(_train(sent, spark.sparkContext.broadcast(weights), RATE), schema), "weights")
-    left, together = models.count(), int(np.clip(AVERAGED_BYTES // len(begun[0].weights), 2, AVERAGED))
-    while left > 1:
-        left = -(-left // together)
-        group = F.pmod(F.xxhash64("part"), F.lit(left)).alias("group")
-        models = models.groupBy(group).applyInArrow(_average, schema)
-        models = written(models, "weights") if left > 1 else models
-    return shaped(models.first().weights, weights)
+    begin = _train(sent, spark.sparkContext.broadcast(weights), FIRST_RATE, FIRST_TOKENS)
+    begun = head.mapInArrow(released(begin), MODELS)
+    weights = shaped(whole(begun), weights)
+    models = learning.mapInArrow(released(_train(sent, spark.sparkContext.broadcast(weights), RATE)), MODELS)
+    return shaped(averaged(written(models, "weights")), weights)
 
 
 def _score(vocabulary, weights):
-    def run(batches) -> Iterator:
+    """Scores the texts of one block at a time; long arrays over its tokens go when they are summed up."""
+
+    def run(table):
         import pyarrow as pa
 
         known = Vocabulary(*vocabulary.value)
-        whole = known.tokens + SMOOTHING * (known.distinct + 1)
-        for batch in batches:
-            for i in range(batch.num_rows):
-                dictionary, tokens, lengths, starts = block_of(batch, i)
-                parts = batch.column("corpus")[i].values
-                counts = np.concatenate([np.frombuffer(part.as_buffer(), np.int64) for part in parts])
-                base = np.log10((counts + SMOOTHING) / whole)
-                words = known.numbers(dictionary)[tokens]
-                natural = log_probabilities(weights.value, known.classes, words, starts, lengths)
-                within = np.log10(known.shares(dictionary, counts))
-                score = natural / np.log(10) + within[tokens]
-                arrays = [
-                    batch.column("ids")[i].values,
-                    batch.column("held")[i].values,
-                    pa.array(lengths, pa.int64()),
-                    pa.array(np.add.reduceat((counts > 0).astype(np.int64)[tokens], starts), pa.int64()),
-                    pa.array(np.add.reduceat(base[tokens], starts), pa.float64()),
-                    pa.array(np.add.reduceat(score, starts), pa.float64()),
-                ]
-                yield pa.RecordBatch.from_arrays(arrays, names=[one.split()[0] for one in SCORES.split(", ")])
+        everything = known.tokens + SMOOTHING * (known.distinct + 1)
+        found = []
+        for i in range(table.num_rows):
+            dictionary, tokens, lengths, starts = block_of(table, i)
+            ranges = table.column("corpus")[i].values
+            counts = np.concatenate([np.frombuffer(part.as_buffer(), np.int64) for part in ranges])
+            words = known.numbers(dictionary)[tokens]
+            score = log_probabilities(weights.value, known.classes, words, starts, lengths)
+            del words
+            score /= np.log(10)
+            score += np.log10(known.shares(dictionary, counts))[tokens]
+            base = np.log10((counts + SMOOTHING) / everything)
+            arrays = [
+                table.column("ids")[i].values,
+                table.column("held")[i].values,
+                pa.array(lengths, pa.int64()),
+                pa.array(np.add.reduceat((counts > 0).astype(np.int64)[tokens], starts), pa.int64()),
+                pa.array(np.add.reduceat(base[tokens], starts), pa.float64()),
+                pa.array(np.add.reduceat(score, starts), pa.float64()),
+            ]
+            found.append(pa.RecordBatch.from_arrays(arrays, names=[one.split()[0] for one in SCORES.split(", ")]))
+        return pa.Table.from_batches(found)
 
     return run
 
@@ -390,7 +437,7 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         F.coalesce(remainder != 0, F.lit(False)).alias("trained"),
         F.col(f"`{text}`").alias("body"),
     )
-    blocks = written(rows.mapInArrow(_blocks, BLOCKS), "blocks")
+    blocks = written(rows.mapInArrow(released(_blocks), BLOCKS), "blocks", {"parquet.block.row.count.limit": "1"})  # read one by one
     entries = blocks.agg(F.sum("entries")).first()[0] or 0
     bits = max(0, (entries // RANGE_ENTRIES).bit_length())
     group_bits = int(entries).bit_length() // 2  # about as many groups as the root of the entries
@@ -403,7 +450,8 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     corpus = corpus.select("block", F.col("parts.counts").alias("corpus"))
     given = blocks.select("block", "ids", "held", "lengths", "dictionary", "tokens").join(corpus.hint("merge"), "block")
     sent = spark.sparkContext.broadcast(vocabulary.given), spark.sparkContext.broadcast(weights)
-    return given.mapInArrow(_score(*sent), SCORES).select(
+    # by block: a group goes to Python alone, while a batch of rows would hold several blocks
+    return given.groupBy("block").applyInArrow(_score(*sent), SCORES).select(
         F.col("id").alias(doc_id),
         "held_out",
         "n_tokens",

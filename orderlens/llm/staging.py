@@ -31,11 +31,14 @@ def shared_folder(spark: SparkSession) -> str:
 _own: list[str] = []
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared folder and read back: computed once, with its lineage cut, safe from lost executors."""
+def written(df: DataFrame, name: str, options: dict[str, str] | None = None) -> DataFrame:
+    """``df`` written to the shared folder and read back: computed once, with its lineage cut, safe from lost executors.
+
+    ``options`` are those of the Parquet writer.
+    """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/llm-{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.options(compression="zstd", **(options or {})).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

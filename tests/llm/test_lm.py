@@ -205,3 +205,48 @@ def test_probabilities_are_those_of_a_plain_network():
         state = new + z * (state - new)
     got = gru.log_probabilities(weights, classes, words, np.array([0]), np.array([len(words)]))
     assert got == pytest.approx(np.array(expected), abs=1e-4)
+
+
+def test_weights_travel_in_pieces(spark, documents, monkeypatch):
+    """No row holds the weights of a whole model; the mean of all models is that of their pieces, over several levels."""
+    tables, learned, learn, keep = [], [], lm.trained_weights, lm.written
+    monkeypatch.setattr(lm, "AVERAGED", 2)
+    monkeypatch.setattr(lm, "FIRST_TOKENS", 1 << 14)
+    monkeypatch.setattr(lm, "written", lambda df, name, *more: tables.append((name, keep(df, name, *more))) or tables[-1][1])
+    monkeypatch.setattr(lm, "trained_weights", lambda *given: learned.append(learn(*given)) or learned[-1])
+    monkeypatch.setattr(lm, "_score", lambda *sent: lambda table: None)
+    lm.score_documents(documents.repartition(5))
+    models = next(table for name, table in tables if name == "weights")
+    rows = models.collect()
+    assert max(len(row.weights) for row in rows) <= 1 << 18 < len(lm.flat(learned[0]))
+    whole = {part: [r for r in sorted(rows, key=lambda r: r.piece) if r.part == part] for part in {r.part for r in rows}}
+    assert len(whole) > 2
+    values = [np.frombuffer(b"".join(r.weights for r in own), np.float32) for own in whole.values()]
+    mean = np.average(values, axis=0, weights=[own[0].seen for own in whole.values()])
+    assert np.frombuffer(lm.flat(learned[0]), np.float32) == pytest.approx(mean, rel=1e-4, abs=1e-5)
+
+
+def test_blocks_are_read_one_by_one(spark, monkeypatch):
+    """Each block is a row group, so that a reader holds one of them whatever a file has."""
+    import pyarrow.parquet as pq
+
+    seen = []
+    monkeypatch.setattr(lm, "trained_weights", lambda blocks, known: seen.append(blocks) or {})
+    docs = spark.range(5, numPartitions=1).selectExpr("id as doc_id", "repeat('some words ', 600000) as text")
+    lm.score_documents(docs)
+    files = [pq.ParquetFile(path.removeprefix("file://")).metadata for path in seen[0].inputFiles()]
+    assert sum(one.num_rows for one in files) == 3
+    assert {one.row_group(i).num_rows for one in files for i in range(one.num_row_groups)} == {1}
+
+
+def test_windows_need_few_bytes_a_word():
+    import tracemalloc
+
+    lengths = np.full(4000, 100)
+    words, starts = np.zeros(lengths.sum(), np.int32), np.cumsum(lengths) - lengths
+    tracemalloc.start()
+    for _ in gru.windows(words, starts, lengths, 64, 8):
+        pass
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 16 * len(words)
